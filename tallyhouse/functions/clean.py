@@ -40,10 +40,8 @@ def _typed(text: Column, value: Column, mode: str, what: str) -> Column:
         return value
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")
-    return F.when(
-        text.isNotNull() & value.isNull(),
-        F.raise_error(F.concat(F.lit(f"not a {what}: "), text)),
-    ).otherwise(value)
+    failure = F.raise_error(F.concat(F.lit(f"not a {what}: "), text))
+    return F.coalesce(value, F.when(text.isNotNull(), failure))
 
 
 def text_to_decimal(c: str | Column, type_name: str = WIDE_DECIMAL, mode: str = "strict") -> Column:

@@ -81,7 +81,7 @@ def build_fact_sales(
     lines = line_measures(
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"), cost_ratio
     ).withColumn("order_item_id", required(text_to_int("order_item_id"), "order_item_id"))
-    lines = skew_join(lines, headers, "order_id", "inner", probe=items)
+    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=orders)
     lines = skew_join(
         lines, dim_product.select("product_id", F.col("product_pk").alias("product_fk")), "product_id", "left", probe=items
     )

@@ -9,6 +9,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+_COMPRESSION = 4
 
 
 @cache
@@ -36,16 +37,18 @@ def _bytes(text: str) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst's own size estimate is below the session's broadcast limit.
+    """True when a side is surely small enough to copy to every executor.
 
-    No job runs. An unknown size counts as too large.
+    Catalyst's estimate is checked against the session's broadcast limit, without a job. Over
+    files the estimate is their compressed size, so rows are taken to need several times that.
+    An unknown size counts as too large.
     """
     limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     try:
         estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except (AttributeError, TypeError):
         return False
-    return estimate <= limit
+    return estimate * _COMPRESSION <= limit
 
 
 def shuffle_width(spark: SparkSession) -> int:

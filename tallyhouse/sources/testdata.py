@@ -27,7 +27,7 @@ def _money(value: Column) -> Column:
 
 
 def _at(day: Column, time: str) -> Column:
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(f" {time}"))
+    return F.concat(F.to_date(day).cast("string"), F.lit(f" {time}"))
 
 
 class TestTables:
