@@ -175,6 +175,9 @@ _CTES = {
         CAST(o.shipped_date - o.approved_date AS INTEGER) AS days_to_ship,
         CAST(o.delivered_date - o.shipped_date AS INTEGER) AS days_to_deliver
         FROM milestones o LEFT JOIN core_dim_customer c ON o.customer_id = c.customer_id""",
+    "merged_orders": f"""SELECT order_id, {", ".join(f"min({n}) AS {n}" for n in _MILESTONES)},
+        arg_max(order_status, CASE order_status WHEN 'delivered' THEN 3 WHEN 'shipped' THEN 2 ELSE 1 END) AS order_status
+        FROM milestones GROUP BY order_id""",
     "channels": """SELECT order_id, CASE WHEN point < 50 THEN 'Website' WHEN point < 80 THEN 'App'
             ELSE 'Pop-up store' END AS channel
         FROM (SELECT DISTINCT order_id, CAST('0x' || substr(md5(order_id), 1, 6) AS INTEGER) % 100 AS point
@@ -386,8 +389,11 @@ def _by_category(measure: str) -> str:
 
 
 _MARGIN = "CAST(sum(profit) AS DOUBLE) / nullif(CAST(sum(revenue) AS DOUBLE), 0)"
-_SNAPSHOT_KEYS = f"""order_id, {", ".join(f"{n}_fk" for n in _MILESTONES)}, order_status,
-    days_to_approve, days_to_ship, days_to_deliver"""
+# One row per order: customers, who may repeat, are not joined.
+_UPSERTED = f"""SELECT order_id, {", ".join(f"coalesce({_date_key(n)}, 19000101) AS {n}_fk" for n in _MILESTONES)},
+    order_status, CAST(approved_date - order_date AS INTEGER) AS days_to_approve,
+    CAST(shipped_date - approved_date AS INTEGER) AS days_to_ship,
+    CAST(delivered_date - shipped_date AS INTEGER) AS days_to_deliver FROM merged_orders"""
 _ALL_RAW = {name: name for name in RAW_SCHEMAS}
 _REVIEW_COLUMNS = RAW_SCHEMAS["raw_order_reviews"].fieldNames()
 
@@ -642,8 +648,8 @@ def _statements() -> dict[str, str]:
             CAST(sum(m.profit) AS DECIMAL(38,2)) AS profit FROM mart_monthly m
             JOIN core_dim_product p ON m.product_fk = p.product_pk
             JOIN core_dim_store s ON m.store_fk = s.store_pk GROUP BY 1, 2""",
-        "fulfilment_upsert": f"SELECT {_SNAPSHOT_KEYS} FROM mart_snapshot",
-        "fulfilment_stream": f"SELECT {_SNAPSHOT_KEYS} FROM mart_snapshot",
+        "fulfilment_upsert": _UPSERTED,
+        "fulfilment_stream": _UPSERTED,
     }
 
 
