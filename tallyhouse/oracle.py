@@ -366,12 +366,8 @@ def _fk_violations() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _row_counts(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{label}' AS tbl, count(*) AS n FROM {table}" for label, table in tables.items())
-
-
-def _names(column: str, values) -> str:
-    return " UNION ALL ".join(f"SELECT '{v}' AS {column}" for v in values)
+def _row_counts(tables: dict[str, str], column: str = "tbl") -> str:
+    return " UNION ALL ".join(f"SELECT '{label}' AS {column}, count(*) AS n FROM {table}" for label, table in tables.items())
 
 
 def _matched(label: str, fk: str, dim: str, pk: str) -> str:
@@ -434,9 +430,16 @@ def _statements() -> dict[str, str]:
         "flatten_newlines": "SELECT doc_id, regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS text FROM documents",
         "insert_if_absent_customers": """SELECT customer_id, customer_state FROM raw_customers
             UNION ALL SELECT 'UNKNOWN', 'Unknown'""",
-        "list_layers": _names("schema_name", ["staging", "core", "mart_finance"]),
-        "list_core_tables": _names("table_name", CORE_CONTRACTS),
-        "list_staging_tables": _names("table_name", RAW_SCHEMAS),
+        "list_layers": " UNION ALL ".join(
+            f"SELECT '{layer}' AS schema_name, count(*) AS tables, CAST(sum(n) AS BIGINT) AS n FROM ({_row_counts(tables)})"
+            for layer, tables in {
+                "staging": _ALL_RAW,
+                CORE: {name: _STORED[CORE, name] for name in CORE_CONTRACTS},
+                MART: {name: _STORED[MART, name] for name in MART_CONTRACTS},
+            }.items()
+        ),
+        "list_core_tables": _row_counts({name: _STORED[CORE, name] for name in CORE_CONTRACTS}, "table_name"),
+        "list_staging_tables": _row_counts(_ALL_RAW, "table_name"),
         "peek_orders": "SELECT * FROM raw_orders ORDER BY ALL LIMIT 20",
         "load_row_counts": _row_counts(_ALL_RAW),
         "dup_orders": _duplicates("raw_orders", "order_id"),

@@ -106,7 +106,7 @@ def avg_order_value_by_segment(fact: DataFrame, dim_customer: DataFrame, segment
     )
     customers = skew_join(dim_customer.select("customer_id", F.col("customer_pk").alias("customer_fk")), segments, "customer_id", "left")
     return (
-        skew_join(per_customer, customers.select("customer_fk", "segment"), "customer_fk", "left")
+        per_customer.join(customers.select("customer_fk", "segment"), "customer_fk", "left")
         .groupBy(F.coalesce("segment", F.lit("Unknown")).alias("segment"))
         .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
         .select("segment", "orders", safe_ratio(F.col("revenue"), F.col("orders")).alias("avg_order_value"))

@@ -58,10 +58,30 @@ def split_rejects(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, marked.where(F.col("reject_reason").isNotNull())
 
 
+def resolve_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Orders with typed milestones and the customer key: what both facts need of an order.
+
+    Write it once and hand it to both, so that orders and customers, each as long as the order
+    book, are parsed and joined once.
+    """
+    resolved = skew_join(
+        orders.select("customer_id", "order_id", "order_status", *MILESTONES.values()),
+        dim_customer.select("customer_id", F.col("customer_pk").alias("customer_fk")),
+        "customer_id",
+        "left",
+        probe=orders,
+    )
+    return resolved.select(
+        "order_id",
+        key_or_unknown("customer_fk").alias("customer_fk"),
+        *[text_to_date(column).alias(name) for name, column in MILESTONES.items()],
+        "order_status",
+    )
+
+
 def build_fact_sales(
     items: DataFrame,
-    orders: DataFrame,
-    dim_customer: DataFrame,
+    resolved_orders: DataFrame,
     dim_product: DataFrame,
     dim_store: DataFrame,
     cost_ratio: Decimal = COST_RATIO,
@@ -69,19 +89,15 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order line with an order; unmatched dimension keys become the unknown member.
 
-    Customers are resolved on the orders, before the wider and longer lines are joined.
+    Customers come with the orders (``resolve_orders``): they are looked up on the shorter side.
     """
-    headers = skew_join(
-        orders.select("customer_id", "order_id", "order_status", milestone_key(MILESTONES["order_date"]).alias("date_fk")),
-        dim_customer.select("customer_id", F.col("customer_pk").alias("customer_fk")),
-        "customer_id",
-        "left",
-    ).select("order_id", "order_status", "date_fk", key_or_unknown("customer_fk").alias("customer_fk"))
-
+    headers = resolved_orders.select(
+        "order_id", "order_status", date_key_or_unknown(dates.date_key("order_date")).alias("date_fk"), "customer_fk"
+    )
     lines = line_measures(
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"), cost_ratio
     ).withColumn("order_item_id", required(text_to_int("order_item_id"), "order_item_id"))
-    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=orders)
+    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders)
     lines = skew_join(
         lines, dim_product.select("product_id", F.col("product_pk").alias("product_fk")), "product_id", "left", probe=items
     )
@@ -122,32 +138,13 @@ def build_monthly(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def build_fulfilment(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def build_fulfilment(resolved_orders: DataFrame) -> DataFrame:
     """One row per order: four milestone keys and the calendar days between them.
 
     ``days_to_deliver`` runs from carrier to customer. Lags are neither clamped nor defaulted.
     """
-    resolved = skew_join(
-        orders.select("customer_id", "order_id", "order_status", *MILESTONES.values()),
-        dim_customer.select("customer_id", F.col("customer_pk").alias("customer_fk")),
-        "customer_id",
-        "left",
-        probe=orders,
-    )
-    return with_lags(
-        resolved.select(
-            "order_id",
-            key_or_unknown("customer_fk").alias("customer_fk"),
-            *[text_to_date(column).alias(name) for name, column in MILESTONES.items()],
-            "order_status",
-        )
-    )
-
-
-def with_lags(milestones: DataFrame) -> DataFrame:
-    """Milestone dates to date keys and lags."""
-    others = [c for c in milestones.columns if c not in MILESTONES and c != "order_status"]
-    return milestones.select(
+    others = [c for c in resolved_orders.columns if c not in MILESTONES and c != "order_status"]
+    return resolved_orders.select(
         *others,
         *[date_key_or_unknown(dates.date_key(name)).alias(f"{name}_fk") for name in MILESTONES],
         "order_status",

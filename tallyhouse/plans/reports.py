@@ -42,10 +42,9 @@ def finance_dataset(monthly: DataFrame, dim_month: DataFrame, dim_product: DataF
 def by_attribute(
     fact: DataFrame, fk: str, dim: DataFrame, pk: str, attributes: list[str], measures: list[str]
 ) -> DataFrame:
-    """Additive measures by attributes of one dimension."""
+    """Additive measures by attributes of one dimension; one row per member on both sides."""
     per_member = report(fact, [fk], measures)
-    named = skew_join(per_member, dim.select(F.col(pk).alias(fk), *attributes), fk)
-    return report(named, attributes, measures)
+    return report(per_member.join(dim.select(F.col(pk).alias(fk), *attributes), fk), attributes, measures)
 
 
 def monthly_trend(monthly: DataFrame) -> DataFrame:
@@ -90,11 +89,11 @@ def revenue_by_city(monthly: DataFrame, dim_store: DataFrame) -> DataFrame:
 def profit_by_category_region(monthly: DataFrame, dim_product: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Profit by product category and store state."""
     per_pair = report(monthly, ["product_fk", "store_fk"], ["profit"])
-    named = skew_join(
-        per_pair, dim_product.select(F.col("product_pk").alias("product_fk"), "product_category_name_english"), "product_fk"
-    )
-    per_category = report(named, ["product_category_name_english", "store_fk"], ["profit"])
-    placed = skew_join(per_category, dim_store.select(F.col("store_pk").alias("store_fk"), "store_state"), "store_fk")
+    categories = dim_product.select(F.col("product_pk").alias("product_fk"), "product_category_name_english")
+    named = skew_join(per_pair, categories, "product_fk", probe=monthly)
+    # At most one row per category and store from here on.
+    per_store = report(named, ["product_category_name_english", "store_fk"], ["profit"])
+    placed = per_store.join(dim_store.select(F.col("store_pk").alias("store_fk"), "store_state"), "store_fk")
     return report(placed, ["product_category_name_english", "store_state"], ["profit"]).orderBy(
         F.desc("profit"), "product_category_name_english", "store_state"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.functions import dates
 from tallyhouse.operators.keys import insert_identity
 from tallyhouse.plans import dims, facts
-from tallyhouse.sources.layers import ensure_layers, has_table, publish, read_table
+from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, publish, read_table
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 
@@ -22,6 +22,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, raw: Callable[[str], DataFrame], prefix: str = ""):
         self.spark, self.raw, self.prefix = spark, raw, prefix
+        self._resolved_orders: DataFrame | None = None
         ensure_layers(spark, prefix)
 
     def staging(self, name: str) -> DataFrame:
@@ -38,8 +39,18 @@ class Warehouse:
             return read_table(self.spark, layer, name, self.prefix)
         return self.load(layer, name)
 
+    def resolved_orders(self) -> DataFrame:
+        """Orders as both facts need them, written once per load of orders and customers."""
+        if self._resolved_orders is None:
+            self._resolved_orders = cut_lineage(
+                facts.resolve_orders(self.staging("raw_orders"), self.core("dim_customer")), "resolved_orders"
+            )
+        return self._resolved_orders
+
     def load(self, layer: str, name: str) -> DataFrame:
         """Build one table from the published ones and replace it."""
+        if name in ("raw_orders", "dim_customer"):
+            self._resolved_orders = None
         if layer == STAGING:
             return publish(self.raw(name), layer, name, self.prefix)
         df, contract = self.build(layer, name), CONTRACTS[layer][name]
@@ -68,8 +79,7 @@ class Warehouse:
             (CORE, "dim_store"): lambda: dims.build_dim_store(self.staging("raw_sellers")),
             (CORE, "fact_sales"): lambda: facts.build_fact_sales(
                 self.staging("raw_order_items"),
-                self.staging("raw_orders"),
-                self.core("dim_customer"),
+                self.resolved_orders(),
                 self.core("dim_product"),
                 self.core("dim_store"),
             ),
@@ -79,9 +89,7 @@ class Warehouse:
             ),
             (MART, "dim_store"): lambda: dims.narrow(self.core("dim_store"), list(CONTRACTS[MART]["dim_store"].columns)),
             (MART, "fact_revenue_by_month"): lambda: facts.build_monthly(self.core("fact_sales"), self.core("dim_date")),
-            (MART, "order_fulfilment_snapshot"): lambda: facts.build_fulfilment(
-                self.staging("raw_orders"), self.core("dim_customer")
-            ),
+            (MART, "order_fulfilment_snapshot"): lambda: facts.build_fulfilment(self.resolved_orders()),
         }
         return builders[layer, name]()
 

@@ -19,9 +19,8 @@ from tallyhouse.operators import validate as val
 from tallyhouse.operators.keys import assign_keys, insert_if_absent
 from tallyhouse.plans import dims, extensions as ext, facts, reports
 from tallyhouse.plans.warehouse import Warehouse, open_warehouse
-from tallyhouse.session import work_root
 from tallyhouse.sources import raw as rawio
-from tallyhouse.sources.layers import layer_names, layer_tables
+from tallyhouse.sources.layers import database, layer_names, layer_tables, work_path
 from tallyhouse.sources.schemas import CONTRACTS, CORE, CORE_CONTRACTS, MART, MART_CONTRACTS, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 from tallyhouse.streaming import fulfilment
@@ -52,7 +51,7 @@ def _text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _scratch(w: Warehouse, name: str) -> str:
-    return f"{work_root(w.spark)}/tallyhouse/{w.spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
+    return work_path(w.spark, f"{name}-{uuid.uuid4().hex}")
 
 
 # --- sources, sinks, catalog -------------------------------------------------------------------
@@ -104,25 +103,45 @@ def insert_if_absent_customers(w, t):
     return insert_if_absent(members, seeds, "customer_id")
 
 
+def _counted(w: Warehouse, layer: str) -> DataFrame:
+    """Tables of a layer as the catalog lists them, with their rows."""
+    names = [r["table_name"] for r in layer_tables(w.spark, layer, w.prefix).collect()]
+    read = {STAGING: w.staging, CORE: w.core, MART: w.mart}[layer]
+    return prof.row_counts({name: read(name) for name in names}).withColumnRenamed("tbl", "table_name")
+
+
 @_query
 def list_layers(w, t):
-    return layer_names(w.spark, w.prefix).select(
-        F.substring_index("schema_name", w.prefix, -1).alias("schema_name")
+    """Layers that exist, with their tables and rows."""
+    for layer in (STAGING, CORE, MART):
+        _load_missing(w, layer)
+    names = {r["schema_name"] for r in layer_names(w.spark, w.prefix).collect()}
+    return prof.union_all(
+        [
+            _counted(w, layer)
+            .agg(F.count(F.lit(1)).alias("tables"), F.sum("n").alias("n"))
+            .select(F.lit(layer).alias("schema_name"), "tables", "n")
+            for layer in (STAGING, CORE, MART)
+            if database(layer, w.prefix) in names
+        ]
     )
 
 
+def _load_missing(w: Warehouse, layer: str) -> None:
+    for name in RAW_SCHEMAS if layer == STAGING else CONTRACTS[layer]:
+        {STAGING: w.staging, CORE: w.core, MART: w.mart}[layer](name)
+
+
 @_query
 def list_core_tables(w, t):
-    for name in CORE_CONTRACTS:
-        w.core(name)
-    return layer_tables(w.spark, CORE, w.prefix)
+    _load_missing(w, CORE)
+    return _counted(w, CORE)
 
 
 @_query
 def list_staging_tables(w, t):
-    for name in RAW_SCHEMAS:
-        w.staging(name)
-    return layer_tables(w.spark, STAGING, w.prefix)
+    _load_missing(w, STAGING)
+    return _counted(w, STAGING)
 
 
 @_query
@@ -504,9 +523,8 @@ def price_rejects(w, t):
 
 @_query
 def fulfilment_lags(w, t):
-    return facts.build_fulfilment(w.staging("raw_orders"), w.core("dim_customer")).select(
-        "order_id", "days_to_approve", "days_to_ship", "days_to_deliver"
-    )
+    resolved = facts.resolve_orders(w.staging("raw_orders"), w.core("dim_customer"))
+    return facts.build_fulfilment(resolved).select("order_id", "days_to_approve", "days_to_ship", "days_to_deliver")
 
 
 @_query
@@ -828,7 +846,7 @@ def _progress(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 
 
 def _snapshot_keys(snapshot: DataFrame) -> DataFrame:
-    return facts.with_lags(snapshot.select("order_id", *dims.MILESTONES, "order_status"))
+    return facts.build_fulfilment(snapshot.select("order_id", *dims.MILESTONES, "order_status"))
 
 
 @_query

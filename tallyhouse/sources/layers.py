@@ -6,6 +6,8 @@ no stage is computed twice.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,7 @@ def ensure_layers(spark: SparkSession, prefix: str = "") -> None:
     """Create the layers that do not exist yet, under the shared work folder."""
     for layer in LAYERS:
         name = database(layer, prefix)
-        location = f"{work_root(spark)}/tallyhouse/{spark.conf.get('spark.app.id')}/{name}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{work_path(spark, name)}'")
 
 
 def reset_layers(spark: SparkSession, prefix: str = "", *, confirm: bool = False) -> None:
@@ -65,6 +66,18 @@ def has_table(spark: SparkSession, layer: str, name: str, prefix: str = "") -> b
     return spark.catalog.tableExists(f"`{database(layer, prefix)}`.`{name}`")
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """A place of this application in the shared work folder."""
+    return f"{work_root(spark)}/tallyhouse/{spark.conf.get('spark.app.id')}/{name}"
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared work folder and go on from the files."""
+    path = work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def publish(
     df: DataFrame, layer: str, name: str, prefix: str = "", partition_by: str | None = None, reload: bool = True
 ) -> DataFrame:

@@ -167,7 +167,7 @@ def shop(spark):
         "product": dims.build_dim_product(products, translation),
         "store": dims.build_dim_store(sellers),
     }
-    return {"items": items, "orders": orders, "products": products, "customers": customers, "dim": dim}
+    return {"items": items, "orders": orders, "resolved": facts.resolve_orders(orders, dim["customer"]), "products": products, "customers": customers, "dim": dim}
 
 
 def test_dimensions(spark, shop):
@@ -205,7 +205,7 @@ def test_repeated_translation_fans_out_products(spark, shop):
 
 def test_fact(spark, shop):
     d = shop["dim"]
-    fact = facts.build_fact_sales(shop["items"], shop["orders"], d["customer"], d["product"], d["store"])
+    fact = facts.build_fact_sales(shop["items"], shop["resolved"], d["product"], d["store"])
     rows = fact.collect()
     by_order = Counter(r["order_id"] for r in rows)
     # The copy stays, the line without an order goes, the customer with two cities doubles.
@@ -223,7 +223,7 @@ def test_fact(spark, shop):
 
 def test_monthly_leaves_undated_lines_out(spark, shop):
     d = shop["dim"]
-    fact = facts.build_fact_sales(shop["items"], shop["orders"], d["customer"], d["product"], d["store"])
+    fact = facts.build_fact_sales(shop["items"], shop["resolved"], d["product"], d["store"])
     calendar = dims.build_dim_date(dims.data_bounds(shop["orders"]))
     monthly = facts.build_monthly(fact, calendar)
     assert {(r["month_fk"], r["quantity"], r["revenue"]) for r in monthly.collect()} == {
@@ -236,7 +236,7 @@ def test_monthly_leaves_undated_lines_out(spark, shop):
 
 def test_reconciliation_shows_a_loss(spark, shop):
     d = shop["dim"]
-    fact = facts.build_fact_sales(shop["items"], shop["orders"], d["customer"], d["product"], d["store"])
+    fact = facts.build_fact_sales(shop["items"], shop["resolved"], d["product"], d["store"])
     short = dims.build_dim_date(dims.fixed_bounds(spark, "2017-01-01", "2017-12-31"))
     assert val.mart_reconciliation(facts.build_monthly(fact, short), fact).first()["difference"] == Decimal("-3.33")
     bad = val.fk_violations(fact, "fact", "date_fk", short, "dim_date", "date_id").first()
@@ -246,7 +246,7 @@ def test_reconciliation_shows_a_loss(spark, shop):
 
 
 def test_snapshot(spark, shop):
-    rows = {r["order_id"]: r for r in facts.build_fulfilment(shop["orders"], shop["dim"]["customer"]).collect()}
+    rows = {r["order_id"]: r for r in facts.build_fulfilment(shop["resolved"]).collect()}
     assert (rows["o1"]["days_to_approve"], rows["o1"]["days_to_ship"], rows["o1"]["days_to_deliver"]) == (1, -2, 9)
     assert rows["o2"]["order_date_fk"] == 19000101 and rows["o2"]["days_to_approve"] is None
     assert rows["o3"]["customer_fk"] == -1
@@ -258,11 +258,11 @@ def test_blank_price_fails_strictly_and_is_split_in_quarantine(spark, shop):
         "price", F.when(F.col("order_id") == "o2", "").when(F.col("order_id") == "o3", "x").otherwise(F.col("price"))
     )
     with pytest.raises(PySparkException, match="missing value in price|not a number"):
-        facts.build_fact_sales(spoiled, shop["orders"], d["customer"], d["product"], d["store"]).collect()
+        facts.build_fact_sales(spoiled, shop["resolved"], d["product"], d["store"]).collect()
     good, rejects = facts.split_rejects(spoiled)
     assert Counter(r["reject_reason"] for r in rejects.collect()) == Counter({"blank price": 1, "bad price": 1})
     assert good.count() + rejects.count() == spoiled.count()
-    assert facts.build_fact_sales(good, shop["orders"], d["customer"], d["product"], d["store"]).count() == 2
+    assert facts.build_fact_sales(good, shop["resolved"], d["product"], d["store"]).count() == 2
 
 
 def test_price_out_of_range_fails(spark, shop):
