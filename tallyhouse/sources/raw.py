@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import null_to_blank
+from tallyhouse.sources.multiline import read_split_csv
 from tallyhouse.sources.schemas import MULTILINE_TABLES, RAW_SCHEMAS
 
 # RFC 4180: fields in double quotes, a quote inside doubled.
@@ -15,14 +16,16 @@ _CSV = {"header": True, "quote": '"', "escape": '"'}
 def load_raw(spark: SparkSession, name: str, path: str, multiline: bool | None = None) -> DataFrame:
     """Read one raw table as it is: header row, every column text, blank fields as ``''``.
 
-    A file read with ``multiline`` cannot be split between tasks, so only the tables with free
-    text use it; land those as several files and publish them once.
+    ``multiline`` says whether quoted fields may hold line breaks; by default only the tables with
+    free text. Either way a file is read in splits, by as many tasks as its size asks for.
     """
     if multiline is None:
         multiline = name in MULTILINE_TABLES
+    if multiline:
+        return read_split_csv(spark, path, RAW_SCHEMAS[name])
     rows = (
         spark.read.schema(RAW_SCHEMAS[name])
-        .options(**_CSV, multiLine=multiline, enforceSchema=False, mode="FAILFAST")
+        .options(**_CSV, enforceSchema=False, mode="FAILFAST")
         .csv(path)
     )
     # The reader gives NULL for an unquoted blank, whatever nullValue says.
