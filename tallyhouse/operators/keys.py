@@ -69,7 +69,7 @@ def insert_identity(df: DataFrame, name: str) -> DataFrame:
 
 def literal_row(df: DataFrame, row: dict) -> DataFrame:
     """One row with the schema of ``df``; columns not named are NULL."""
-    return df.sparkSession.range(1).select(
+    return df.sparkSession.range(0, 1, 1, 1).select(
         *[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import title_case
+from tallyhouse.session import fits_broadcast
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -48,12 +49,15 @@ def blank_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child keys without a parent, with their row counts.
 
-    Both sides shrink to one row per key before they meet, so a frequent key, present or absent,
-    costs no more than a rare one.
+    Beside a small parent the child is filtered where it lies. Otherwise both sides shrink to one
+    row per key before they meet, so a frequent key, present or absent, costs no more than a rare
+    one.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    return per_key.join(known, key, "left_anti")
+    known = parent.select(F.col(parent_key or key).alias(key))
+    count = F.count(F.lit(1)).alias("n")
+    if fits_broadcast(known):
+        return child.select(key).join(F.broadcast(known), key, "left_anti").groupBy(key).agg(count)
+    return child.groupBy(key).agg(count).join(known.distinct(), key, "left_anti")
 
 
 def casing_issues(df: DataFrame, column: str, n: int = 20) -> DataFrame:

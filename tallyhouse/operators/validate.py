@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import UNKNOWN_DATE_KEY
 from tallyhouse.operators.profile import orphans, union_all
+from tallyhouse.session import fits_broadcast
 from tallyhouse.sources.schemas import Contract
 
 
@@ -20,12 +21,24 @@ def matched_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame
 def fk_validation(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Fact rows, and rows that survive the inner join to each dimension; all should be equal.
 
-    ``dims`` maps a label to (dimension, foreign key, dimension key).
+    ``dims`` maps a label to (dimension, foreign key, dimension key). All small dimensions are
+    checked in one pass over the fact, each large one from its key counts.
     """
-    rows = [fact.agg(F.count(F.lit(1)).alias("n")).select(F.lit("baseline_fact_rows").alias("check_name"), "n")]
+    small = {label: d for label, d in dims.items() if fits_broadcast(d[0].select(d[2]))}
+    rows = fact.select(*[fk for _, fk, _ in small.values()])
+    for label, (dim, fk, pk) in small.items():
+        members = dim.groupBy(F.col(pk).alias(fk)).agg(F.count(F.lit(1)).alias(f"m_{label}"))
+        rows = rows.join(F.broadcast(members), fk, "left")
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("baseline_fact_rows"),
+        *[F.coalesce(F.sum(f"m_{label}"), F.lit(0)).alias(f"matched_{label}") for label in small],
+    )
+    shown = [F.struct(F.lit(c).alias("check_name"), F.col(c).alias("n")) for c in counts.columns]
+    parts = [counts.select(F.inline(F.array(*shown)))]
     for label, (dim, fk, pk) in dims.items():
-        rows.append(matched_rows(fact, fk, dim, pk).select(F.lit(f"matched_{label}").alias("check_name"), "n"))
-    return union_all(rows)
+        if label not in small:
+            parts.append(matched_rows(fact, fk, dim, pk).select(F.lit(f"matched_{label}").alias("check_name"), "n"))
+    return union_all(parts)
 
 
 def mart_reconciliation(monthly: DataFrame, fact_sales: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Dashboard questions over the mart.
 
-Each report sums to the key of a dimension before it joins that dimension, so the join sees one
-row per member, and no popular product or store can weigh on one task.
+A small dimension is broadcast and its attribute grouped at once. Before a large one the fact is
+summed to the dimension's key, so the join sees one row per member, and no popular product or
+store can weigh on one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import dates
 from tallyhouse.functions.measures import average, recomputed, report, safe_ratio, total
 from tallyhouse.operators.skew import skew_join
+from tallyhouse.session import fits_broadcast
 
 WIDE_MONEY = "decimal(38,2)"
 
@@ -42,9 +44,11 @@ def finance_dataset(monthly: DataFrame, dim_month: DataFrame, dim_product: DataF
 def by_attribute(
     fact: DataFrame, fk: str, dim: DataFrame, pk: str, attributes: list[str], measures: list[str]
 ) -> DataFrame:
-    """Additive measures by attributes of one dimension; one row per member on both sides."""
-    per_member = report(fact, [fk], measures)
-    return report(per_member.join(dim.select(F.col(pk).alias(fk), *attributes), fk), attributes, measures)
+    """Additive measures by attributes of one dimension."""
+    members = dim.select(F.col(pk).alias(fk), *attributes)
+    if fits_broadcast(members):
+        return report(fact.join(F.broadcast(members), fk), attributes, measures)
+    return report(report(fact, [fk], measures).join(members, fk), attributes, measures)
 
 
 def monthly_trend(monthly: DataFrame) -> DataFrame:
@@ -88,13 +92,16 @@ def revenue_by_city(monthly: DataFrame, dim_store: DataFrame) -> DataFrame:
 
 def profit_by_category_region(monthly: DataFrame, dim_product: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Profit by product category and store state."""
-    per_pair = report(monthly, ["product_fk", "store_fk"], ["profit"])
     categories = dim_product.select(F.col("product_pk").alias("product_fk"), "product_category_name_english")
-    named = skew_join(per_pair, categories, "product_fk", probe=monthly)
-    # At most one row per category and store from here on.
-    per_store = report(named, ["product_category_name_english", "store_fk"], ["profit"])
-    placed = per_store.join(dim_store.select(F.col("store_pk").alias("store_fk"), "store_state"), "store_fk")
-    return report(placed, ["product_category_name_english", "store_state"], ["profit"]).orderBy(
+    stores = dim_store.select(F.col("store_pk").alias("store_fk"), "store_state")
+    sales = monthly
+    if not fits_broadcast(categories):
+        sales = report(monthly, ["product_fk", "store_fk"], ["profit"])
+    sales = skew_join(sales, categories, "product_fk", probe=monthly)
+    if not fits_broadcast(stores):
+        # One row per category and store: no store is hot from here on.
+        sales = report(sales, ["product_category_name_english", "store_fk"], ["profit"])
+    return report(sales.join(stores, "store_fk"), ["product_category_name_english", "store_state"], ["profit"]).orderBy(
         F.desc("profit"), "product_category_name_english", "store_state"
     )
 
