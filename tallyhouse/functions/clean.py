@@ -69,6 +69,13 @@ def required(c: str | Column, what: str) -> Column:
     return F.coalesce(_col(c), F.raise_error(F.lit(f"missing value in {what}")))
 
 
+def within(c: str | Column, type_name: str) -> Column:
+    """Cast to a column's own type; a value out of its range fails the job, ANSI mode or not."""
+    value = _col(c)
+    failure = F.raise_error(F.concat(F.lit(f"out of range of {type_name}: "), value.cast("string")))
+    return F.coalesce(value.try_cast(type_name), F.when(value.isNotNull(), failure))
+
+
 def title_case(c: str | Column) -> Column:
     """Upper-case the first letter after every non-alphanumeric character, lower-case the rest.
 

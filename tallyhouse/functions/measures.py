@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 COST_RATIO = Decimal("0.65")
 MONEY = "decimal(10,2)"
+MONTHLY_MONEY = "decimal(12,2)"
 
 
 def estimated_cost(price: Column, ratio: Decimal = COST_RATIO) -> Column:

@@ -17,8 +17,9 @@ from tallyhouse.functions.clean import (
     text_to_date,
     text_to_decimal,
     text_to_int,
+    within,
 )
-from tallyhouse.functions.measures import COST_RATIO, MONEY, estimated_cost, estimated_profit
+from tallyhouse.functions.measures import COST_RATIO, MONEY, MONTHLY_MONEY, estimated_cost, estimated_profit
 from tallyhouse.operators.skew import skew_join
 from tallyhouse.plans.dims import MILESTONES
 
@@ -30,14 +31,15 @@ def milestone_key(column: str, mode: str = "strict") -> Column:
 def line_measures(items: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity: int = 1) -> DataFrame:
     """Replace the raw amounts of order lines by typed, derived measures. A blank price fails;
     a blank freight value means that none was charged."""
-    wide = items.withColumn("_price", required(text_to_decimal("price"), "price"))
-    price = F.col("_price")
+    wide = items.withColumn("_wide", required(text_to_decimal("price"), "price"))
+    wide = wide.withColumn("price", within("_wide", MONEY))
+    price = F.col("_wide")
     return wide.select(
         *[c for c in items.columns if c not in ("price", "freight_value")],
         F.lit(quantity).alias("quantity"),
-        price.cast(MONEY).alias("price"),
-        F.coalesce(text_to_decimal("freight_value"), F.lit(0)).cast(MONEY).alias("freight_value"),
-        price.cast(MONEY).alias("sales_amount"),
+        "price",
+        within(F.coalesce(text_to_decimal("freight_value"), F.lit(0)), MONEY).alias("freight_value"),
+        F.col("price").alias("sales_amount"),
         estimated_cost(price, cost_ratio).cast(MONEY).alias("product_cost"),
         estimated_profit(price, cost_ratio).cast(MONEY).alias("profit"),
     )
@@ -86,6 +88,7 @@ def build_fact_sales(
     dim_store: DataFrame,
     cost_ratio: Decimal = COST_RATIO,
     channel: str = "Website",
+    quantity: int = 1,
 ) -> DataFrame:
     """One row per order line with an order; unmatched dimension keys become the unknown member.
 
@@ -95,7 +98,9 @@ def build_fact_sales(
         "order_id", "order_status", date_key_or_unknown(dates.date_key("order_date")).alias("date_fk"), "customer_fk"
     )
     lines = line_measures(
-        items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"), cost_ratio
+        items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
+        cost_ratio,
+        quantity,
     ).withColumn("order_item_id", required(text_to_int("order_item_id"), "order_item_id"))
     lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders)
     lines = skew_join(
@@ -130,10 +135,10 @@ def build_monthly(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         skew_join(dated, months, "date_fk", "inner")
         .groupBy("month_fk", "product_fk", "store_fk")
         .agg(
-            F.sum("quantity").cast("int").alias("quantity"),
-            F.sum("sales_amount").cast("decimal(12,2)").alias("revenue"),
-            F.sum("product_cost").cast("decimal(12,2)").alias("cost"),
-            F.sum("profit").cast("decimal(12,2)").alias("profit"),
+            within(F.sum("quantity"), "int").alias("quantity"),
+            within(F.sum("sales_amount"), MONTHLY_MONEY).alias("revenue"),
+            within(F.sum("product_cost"), MONTHLY_MONEY).alias("cost"),
+            within(F.sum("profit"), MONTHLY_MONEY).alias("profit"),
         )
     )
 

@@ -107,8 +107,14 @@ def raw(spark, name, rows):
     return spark.createDataFrame([tuple(r.get(c, "") for c in columns) for r in rows], RAW_SCHEMAS[name])
 
 
-@pytest.fixture
-def shop(spark):
+@pytest.fixture(scope="module")
+def shop(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shop")
+
+    def stored(name, df):
+        df.coalesce(1).write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     customers = raw(
         spark,
         "raw_customers",
@@ -162,12 +168,14 @@ def shop(spark):
             {"order_id": "lost", "order_item_id": "1", "product_id": "p2", "seller_id": "s1", "price": "7", "freight_value": "0"},
         ],
     )
+    items, orders, products = stored("items", items), stored("orders", orders), stored("products", products)
     dim = {
-        "customer": dims.build_dim_customer(customers),
-        "product": dims.build_dim_product(products, translation),
-        "store": dims.build_dim_store(sellers),
+        "customer": stored("dim_customer", dims.build_dim_customer(customers)),
+        "product": stored("dim_product", dims.build_dim_product(products, translation)),
+        "store": stored("dim_store", dims.build_dim_store(sellers)),
     }
-    return {"items": items, "orders": orders, "resolved": facts.resolve_orders(orders, dim["customer"]), "products": products, "customers": customers, "dim": dim}
+    resolved = stored("resolved", facts.resolve_orders(orders, dim["customer"]))
+    return {"items": items, "orders": orders, "resolved": resolved, "products": products, "dim": dim}
 
 
 def test_dimensions(spark, shop):
@@ -265,10 +273,15 @@ def test_blank_price_fails_strictly_and_is_split_in_quarantine(spark, shop):
     assert facts.build_fact_sales(good, shop["resolved"], d["product"], d["store"]).count() == 2
 
 
-def test_price_out_of_range_fails(spark, shop):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_price_out_of_range_fails(spark, shop, ansi):
     big = shop["items"].withColumn("price", F.lit("123456789.00"))
-    with pytest.raises(PySparkException):
-        facts.line_measures(big).collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="out of range"):
+            facts.line_measures(big).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
     assert facts.split_rejects(big)[0].count() == 0
 
 
