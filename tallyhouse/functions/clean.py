@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Fixed values.
 NUMBER_PATTERN = r"\A\d+(\.\d+)?\z"
 TIMESTAMP_PATTERN = r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
-DATE_TEXT_PATTERN = r"\A\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?\z"
+DATE_TEXT_PATTERN = r"\A\d{4}-\d{2}-\d{2}(?:[ T](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?)?\z"
 UNKNOWN_CATEGORY = "Unknown Category"
 UNKNOWN_DATE_KEY = 19000101
 UNKNOWN_KEY = -1
@@ -60,7 +60,7 @@ def text_to_date(c: str | Column, mode: str = "strict") -> Column:
     The pattern comes first because a plain cast to date also accepts trailing junk.
     """
     text = blank_to_null(c)
-    value = F.when(text.rlike(DATE_TEXT_PATTERN), text.try_cast("timestamp_ntz").cast("date"))
+    value = F.when(text.rlike(DATE_TEXT_PATTERN), F.substring(text, 1, 10).try_cast("date"))
     return _typed(text, value, mode, "date")
 
 

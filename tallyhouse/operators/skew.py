@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyhouse.session import fits_broadcast, shuffle_width
 
@@ -121,12 +121,13 @@ def _null_slice(side: DataFrame, on: str, width: int) -> Column:
 
 def _hot_frame(side: DataFrame, on: str, hot_left: dict, hot_right: dict) -> DataFrame:
     """The listed keys with their slices on either side, to broadcast: under 2 * _MAX_SLICES rows."""
-    schema = T.StructType(
-        [
-            T.StructField(on, side.schema[on].dataType),
-            T.StructField("_l", T.IntegerType()),
-            T.StructField("_r", T.IntegerType()),
-        ]
+    keys = list({**hot_left, **hot_right})
+    table = pa.table(
+        {
+            "k": pa.array(keys),
+            "_l": pa.array([hot_left.get(k) for k in keys], pa.int32()),
+            "_r": pa.array([hot_right.get(k) for k in keys], pa.int32()),
+        }
     )
-    rows = [(k, hot_left.get(k), hot_right.get(k)) for k in {**hot_left, **hot_right}]
-    return F.broadcast(side.sparkSession.createDataFrame(rows, schema))
+    listed = side.sparkSession.createDataFrame(table)  # an Arrow table needs no Python worker
+    return F.broadcast(listed.select(F.col("k").cast(side.schema[on].dataType).alias(on), "_l", "_r"))

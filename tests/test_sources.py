@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -116,6 +118,21 @@ def test_published_fact_is_pruned_by_month(spark):
     assert files and "PartitionFilters: [isnotnull(month_fk" in plan
 
 
+def test_hot_partition_value_is_cut(spark):
+    """A value with most of the rows is written by several tasks, others by one."""
+    prefix = "t4_"
+    layers.ensure_layers(spark, prefix)
+    rows = spark.range(200000).select(F.col("id"), F.when(F.col("id") % 5 > 0, 1).otherwise(F.col("id") % 4).alias("m"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        table = layers.publish(rows.repartition(8), CORE, "x", prefix, partition_by="m")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = Counter(r["m"] for r in table.select("m", "_metadata.file_path").distinct().collect())
+    assert files[1] > 2 and table.count() == 200000
+    assert min(files.values()) == 1
+
+
 @pytest.mark.parametrize("layer", [CORE, MART])
 def test_published_tables_meet_their_contracts(spark, layer):
     w, _ = open_warehouse(spark, "/root/testdata/sf0.001")
