@@ -21,7 +21,7 @@ from tallyhouse.plans import dims, extensions as ext, facts, reports
 from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 from tallyhouse.sources import raw as rawio
 from tallyhouse.sources.layers import database, layer_names, layer_tables, work_path
-from tallyhouse.sources.schemas import CONTRACTS, CORE, CORE_CONTRACTS, MART, MART_CONTRACTS, RAW_SCHEMAS, STAGING
+from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, MART_CONTRACTS, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 from tallyhouse.streaming import fulfilment
 

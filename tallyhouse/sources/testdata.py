@@ -38,9 +38,12 @@ class TestTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:  # the schema is read from a file footer: once is enough
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     def raw(self, name: str) -> DataFrame:
         builders: dict[str, Callable[[], DataFrame]] = {
