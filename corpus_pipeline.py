@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bagminhash, lines, quality
+from tallyhouse.llm import bagminhash, lines, mixing, packing, quality
 from tallyhouse.llm.common import read, work_path
 
 
@@ -28,10 +29,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bagminhash.drop_near_duplicates(docs)
 
 
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources again until they have their weight."""
+    return mixing.mixed_documents(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
     ("near dedup", near_dedup),
+    ("mixing", mixing_sources),
+    ("packing", best_fit_packing),
 ]
 
 #: SimHash, Poisson processes and a tokenizer have no SQL form; tests compare with brute force.

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bagminhash, lines, quality
-from tallyhouse.llm.common import read
+from tallyhouse.llm import bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, topk, warc
+from tallyhouse.llm.common import read, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,17 +19,58 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(read(spark, folder, "documents"))
 
 
+def op2_warc_chains(spark: SparkSession, folder: str) -> DataFrame:
+    archives = work_path(spark, f"warc-{uuid.uuid4().hex}")
+    return warc.round_trip(read(spark, folder, "pages"), archives)
+
+
+def op3_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    _, places, _ = mixing.mixture(read(spark, folder, "documents"))
+    return places.drop("row")
+
+
 def op4_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     _, classes, _ = bagminhash.near_duplicates(read(spark, folder, "documents"))
     return classes.select("doc_id", "class_id", "class_size", "is_first")
 
 
+def op5_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(read(spark, folder, "documents"))
+
+
+def op6_license_index(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licence_report(read(spark, folder, "documents"))
+
+
 def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     left = lines.drop_repeated_lines(read(spark, folder, "documents"))
     return left.select("doc_id", "text", "n_lines", "lines_dropped")
 
 
-_QUERIES: list[Query] = [op1_quality_rules, op4_bagminhash, op7_fuzzy_lines]
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract(read(spark, folder, "pages"))
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+_QUERIES: list[Query] = [
+    op1_quality_rules,
+    op2_warc_chains,
+    op3_temperature_mixing,
+    op4_bagminhash,
+    op5_contextual_pii,
+    op6_license_index,
+    op7_fuzzy_lines,
+    op8_html_text,
+    op9_best_fit_packing,
+    op10_pivot_top_k,
+]
 
 
 def queries() -> dict[str, Query]:

@@ -6,6 +6,9 @@ machine, and two different spans meet with a chance of about 2**-64.
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 import numpy as np
 
 _PRIME = 0x9E3779B97F4A7C15
@@ -48,12 +51,16 @@ def spans(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[n
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-_POWERS: list[np.ndarray] = []
+def process_memo() -> dict:
+    """What this process keeps between tasks. Code that travels with a task has new globals in
+    each, so the memo hangs on the interpreter's list of modules."""
+    return sys.modules.setdefault("_tallyhouse_memo", ModuleType("_tallyhouse_memo")).__dict__
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
+    memo = process_memo()
+    if len(memo.get("powers", [()])[0]) < n:
         size = max(n, 1 << 16)
         base = 0xD1342543DE82EF95
         both = []
@@ -61,13 +68,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             steps = np.full(size, b, _U)
             steps[0] = 1
             both.append(np.cumprod(steps))
-        _POWERS[:] = both
-    return _POWERS[0][:n], _POWERS[1][:n]
+        memo["powers"] = both
+    up, down = memo["powers"]
+    return up[:n], down[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each span, from one running sum over the bytes."""
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     values = mix(np.arange(256, dtype=_U))
     total = np.zeros(len(data) + 1, _U)
     np.cumsum(values[data] * up[:-1], out=total[1:])
