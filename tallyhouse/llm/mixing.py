@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import cut_lineage, numbered
+from tallyhouse.llm.common import cut_lineage, free_name, numbered
 from tallyhouse.operators.skew import skew_join
 
 BLOCK_TOKENS = 1 << 20
@@ -142,6 +142,7 @@ def mixture(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mixture in their own columns, one row for each epoch that reads them."""
     stored, places, row = mixture(docs, **options)
-    times = places.groupBy(F.col("row").alias(row)).agg(F.collect_list("epoch").alias("_epochs"))
+    epochs, one = free_name(docs, "_epochs"), free_name(docs, "_epoch")
+    times = places.groupBy(F.col("row").alias(row)).agg(F.collect_list("epoch").alias(epochs))
     kept = stored.join(times.hint("shuffle_hash"), row)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("_epochs").alias("_epoch")).drop("_epoch")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(epochs).alias(one)).drop(one)
