@@ -69,6 +69,8 @@ def total(name: str) -> Column:
 
 
 def average(name: str) -> Column:
+    if MEASURES[name].ratio_of:
+        raise NotAdditive(f"{name} is a ratio: recompute it from its sums")
     return F.avg(name)
 
 

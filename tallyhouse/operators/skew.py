@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import fits_broadcast, shuffle_width
 
-_TRACKED = 8192  # entries of the heavy-hitter sketch
-_MAX_SLICES = 2000  # most keys listed as hot, and most slices one key is cut into
+_TRACKED = 8192  # least entries of the heavy-hitter sketch; it has four for each key that may qualify
+_MOST_TRACKED = 1 << 20
 _SKETCH_GROUPS = 64  # sketches are merged in two steps so that no task merges one per input split
 
 
@@ -23,15 +23,16 @@ def hot_keys(sides: list[DataFrame], key: str, slices_of: int) -> list[dict]:
     ``slices_of`` keys of a side can qualify, which bounds what reaches the driver. A missed key
     costs balance only, never correctness.
     """
+    tracked = min(_MOST_TRACKED, max(_TRACKED, 4 * slices_of))
     keys = reduce(DataFrame.unionByName, [df.select(key, F.lit(i).alias("side")) for i, df in enumerate(sides)])
     partial = (
         keys.where(F.col(key).isNotNull())
         .groupBy("side", (F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(`{key}`, {_TRACKED})").alias("s"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("s"))
     )
     merged = partial.groupBy("side").agg(
         F.sum("n").alias("n"),
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {_TRACKED}), {slices_of})").alias("top"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {min(slices_of, tracked)})").alias("top"),
     )
     slices = F.least(F.ceil(F.col("t.count") * slices_of / F.col("n")).cast("int"), F.lit(slices_of))
     listed = (
@@ -75,7 +76,7 @@ def skew_join(
     if how == "inner" and fits_broadcast(left):
         return F.broadcast(left).join(right, on).select(*columns)
 
-    width = max(2, min(shuffle_width(left.sparkSession), _MAX_SLICES))
+    width = max(2, shuffle_width(left.sparkSession))
     probes = [left if probe is None else probe, right if right_probe is None else right_probe]
     hot_left, hot_right = hot_keys(probes, on, width)
     # The hint keeps to the size check above; a merge join spills where a hash table would not fit.
@@ -120,7 +121,7 @@ def _null_slice(side: DataFrame, on: str, width: int) -> Column:
 
 
 def _hot_frame(side: DataFrame, on: str, hot_left: dict, hot_right: dict) -> DataFrame:
-    """The listed keys with their slices on either side, to broadcast: under 2 * _MAX_SLICES rows."""
+    """The listed keys with their slices on either side, to broadcast: fewer than two per shuffle partition."""
     keys = list({**hot_left, **hot_right})
     table = pa.table(
         {

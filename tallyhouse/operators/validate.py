@@ -109,6 +109,23 @@ def fk_violations(fact: DataFrame, table: str, fk: str, dim: DataFrame, dim_tabl
     )
 
 
+def broken_contract(df: DataFrame, contract: Contract, unique_key: bool = True) -> list[str]:
+    """What a load must not publish: wrong types, NULLs and amounts out of range, in one scan, then
+    repeated keys (``unique_key=False`` where the writer makes them unique). Texts longer than
+    their column hold no wrong data; ``domain_violations`` reports them."""
+    wrong = contract_types(df, contract)
+    if wrong:
+        return wrong
+    tests = [(f"NULL in {c}", F.col(c).isNull()) for c in contract.not_null]
+    tests += [(f"{c} out of {t}", F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in contract.decimals.items()]
+    found = df.agg(*[F.count_if(test).alias(f"c{i}") for i, (_, test) in enumerate(tests)]).first() if tests else ()
+    wrong = [f"{n} rows with {what}" for n, (what, _) in zip(found, tests, strict=True) if n]
+    if unique_key:
+        repeated = df.groupBy(contract.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
+        wrong += [f"{repeated} repeated keys in {contract.key}"] if repeated else []
+    return wrong
+
+
 def contract_types(df: DataFrame, contract: Contract) -> list[str]:
     """Columns whose name or type differs from the contract, by metadata only."""
     actual = dict(df.dtypes)

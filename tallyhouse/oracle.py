@@ -176,7 +176,8 @@ _CTES = {
         CAST(o.delivered_date - o.shipped_date AS INTEGER) AS days_to_deliver
         FROM milestones o LEFT JOIN core_dim_customer c ON o.customer_id = c.customer_id""",
     "merged_orders": f"""SELECT order_id, {", ".join(f"min({n}) AS {n}" for n in _MILESTONES)},
-        arg_max(order_status, CASE order_status WHEN 'delivered' THEN 3 WHEN 'shipped' THEN 2 ELSE 1 END) AS order_status
+        arg_max(order_status, list_position(['created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered', 'unavailable',
+            'canceled'], order_status)) AS order_status
         FROM milestones GROUP BY order_id""",
     "channels": """SELECT order_id, CASE WHEN point < 50 THEN 'Website' WHEN point < 80 THEN 'App'
             ELSE 'Pop-up store' END AS channel
@@ -641,7 +642,7 @@ def _statements() -> dict[str, str]:
             LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = d.customer_id GROUP BY 1""",
         "daily_channel_snapshot": """SELECT d.date_id AS date_fk, n.channel,
             CAST(coalesce(sum(s.sales_amount), 0) AS DECIMAL(38,2)) AS revenue, count(s.sales_amount) AS order_lines
-            FROM core_dim_date d CROSS JOIN (VALUES ('Website'), ('App'), ('Pop-up store')) n(channel)
+            FROM core_dim_date d CROSS JOIN (SELECT DISTINCT channel FROM channels) n
             LEFT JOIN channel_sales s ON s.date_fk = d.date_id AND s.channel = n.channel
             WHERE d.date_id <> 19000101 GROUP BY 1, 2""",
         "dim_product_category": "SELECT * FROM category_dim",

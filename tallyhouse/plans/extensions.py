@@ -114,12 +114,20 @@ def avg_order_value_by_segment(fact: DataFrame, dim_customer: DataFrame, segment
 
 
 def daily_channel_snapshot(fact: DataFrame, dim_date: DataFrame, channels: list[str] | None = None) -> DataFrame:
-    """One row per day and channel, zero where nothing was sold."""
-    names = F.array(*[F.lit(c) for c in channels or CHANNEL_SHARES])
-    grid = dim_date.where(F.col("date_id") != UNKNOWN_DATE_KEY).select(
-        F.col("date_id").alias("date_fk"), F.explode(names).alias("channel")
+    """One row per day and channel, zero where nothing was sold.
+
+    The channels are the listed ones and any others of the fact, and a day with sales has its rows
+    also where the calendar lacks it, so the revenue is that of the fact.
+    """
+    daily = daily_by_channel(fact)
+    listed = fact.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(c) for c in channels or CHANNEL_SHARES])).alias("channel")
     )
-    return grid.join(daily_by_channel(fact), ["date_fk", "channel"], "left").select(
+    names = listed.union(daily.select("channel")).distinct().agg(F.collect_set("channel").alias("names"))
+    days = dim_date.where(F.col("date_id") != UNKNOWN_DATE_KEY).select(F.col("date_id").alias("date_fk"))
+    days = days.union(daily.select("date_fk")).distinct()
+    grid = days.join(F.broadcast(names)).select("date_fk", F.explode("names").alias("channel"))
+    return grid.join(daily, ["date_fk", "channel"], "left").select(
         "date_fk",
         "channel",
         F.coalesce("revenue", F.lit(0)).cast(WIDE_MONEY).alias("revenue"),

@@ -30,16 +30,17 @@ def milestone_key(column: str, mode: str = "strict") -> Column:
 
 def line_measures(items: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity: int = 1) -> DataFrame:
     """Replace the raw amounts of order lines by typed, derived measures. A blank price fails;
-    a blank freight value means that none was charged."""
+    a blank freight value means that none was charged. ``price`` is that of one piece; amount, cost
+    and profit are those of ``quantity`` pieces."""
     wide = items.withColumn("_wide", required(text_to_decimal("price"), "price"))
     wide = wide.withColumn("price", within("_wide", MONEY))
-    price = F.col("_wide")
+    price = F.col("_wide") if quantity == 1 else F.col("_wide") * quantity
     return wide.select(
         *[c for c in items.columns if c not in ("price", "freight_value")],
         F.lit(quantity).alias("quantity"),
         "price",
         within(F.coalesce(text_to_decimal("freight_value"), F.lit(0)), MONEY).alias("freight_value"),
-        F.col("price").alias("sales_amount"),
+        (F.col("price") if quantity == 1 else within(F.col("price") * quantity, MONEY)).alias("sales_amount"),
         estimated_cost(price, cost_ratio).cast(MONEY).alias("product_cost"),
         estimated_profit(price, cost_ratio).cast(MONEY).alias("profit"),
     )

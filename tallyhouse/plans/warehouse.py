@@ -4,26 +4,44 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from functools import cache
+from decimal import Decimal
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates
-from tallyhouse.operators.keys import insert_identity
+from tallyhouse.functions.measures import COST_RATIO
+from tallyhouse.operators.keys import assign_keys
+from tallyhouse.operators.validate import broken_contract
 from tallyhouse.plans import dims, facts
-from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, publish, read_table
+from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, publish, read_table, work_path
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 
 
 class Warehouse:
     """Loads a table on first use. ``raw`` gives a raw table by name; ``prefix`` keeps several
-    warehouses in one catalog apart."""
-
-    def __init__(self, spark: SparkSession, raw: Callable[[str], DataFrame], prefix: str = ""):
+    warehouses in one catalog apart; ``root`` is the folder of the layers, by default
+    ``spark.sql.warehouse.dir``. The calendar covers the whole years of the data, or ``calendar`` (first and
+    last day)."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: Callable[[str], DataFrame],
+        prefix: str = "",
+        root: str | None = None,
+        *,
+        cost_ratio: Decimal = COST_RATIO,
+        channel: str = "Website",
+        calendar: tuple[str, str] | None = None,
+        holidays: DataFrame | None = None,
+    ):
         self.spark, self.raw, self.prefix = spark, raw, prefix
+        self.cost_ratio, self.channel, self.calendar, self.holidays = cost_ratio, channel, calendar, holidays
         self._resolved_orders: DataFrame | None = None
-        ensure_layers(spark, prefix)
+        ensure_layers(spark, prefix, root)
 
     def staging(self, name: str) -> DataFrame:
         return self._table(STAGING, name)
@@ -47,8 +65,13 @@ class Warehouse:
             )
         return self._resolved_orders
 
-    def load(self, layer: str, name: str) -> DataFrame:
-        """Build one table from the published ones and replace it."""
+    def load(self, layer: str, name: str, reload: bool = False) -> DataFrame:
+        """Build one table from the published ones and replace it, if it keeps its contract.
+
+        A staging table that exists is the audit copy: only ``reload`` replaces it.
+        """
+        if layer == STAGING and not reload and has_table(self.spark, layer, name, self.prefix):
+            return read_table(self.spark, layer, name, self.prefix)
         if name in ("raw_orders", "dim_customer"):
             self._resolved_orders = None
         if layer == STAGING:
@@ -56,22 +79,34 @@ class Warehouse:
         df, contract = self.build(layer, name), CONTRACTS[layer][name]
         if layer == CORE and name == "fact_sales":
             df = df.withColumn("sale_month", dates.month_of_date_key("date_fk"))
+        identity = None
         if contract.key not in df.columns:
-            df = insert_identity(df, contract.key)
-        return publish(df, layer, name, self.prefix, partition_by=contract.partition_by)
-
-    def load_all(self) -> None:
-        """Every table, in the order of their dependencies."""
+            if contract.natural_key:
+                df = assign_keys(df, contract.key, list(contract.natural_key))
+            else:
+                identity = contract.key
+        check = partial(broken_contract, contract=contract, unique_key=identity is None)
+        return publish(df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check)
+
+    def load_all(self, reload_staging: bool = False) -> None:
+        """Every table, in the order of their dependencies; staging tables only where they are
+        missing, or asked for."""
         for name in RAW_SCHEMAS:
-            self.load(STAGING, name)
+            self.load(STAGING, name, reload_staging)
         for layer in (CORE, MART):
             for name in CONTRACTS[layer]:
                 self.load(layer, name)
 
+    def _calendar_bounds(self) -> DataFrame:
+        if self.calendar is None:
+            return dims.data_bounds(self.staging("raw_orders"))
+        first, last = (F.lit(day).cast("date") for day in self.calendar)
+        return self.spark.range(0, 1, 1, 1).select(first.alias("start"), last.alias("end"))
+
     def build(self, layer: str, name: str) -> DataFrame:
         """The plan of a core or mart table over published inputs; fact row ids come at load time."""
         builders: dict[tuple[str, str], Callable[[], DataFrame]] = {
-            (CORE, "dim_date"): lambda: dims.build_dim_date(dims.data_bounds(self.staging("raw_orders"))),
+            (CORE, "dim_date"): lambda: dims.build_dim_date(self._calendar_bounds(), self.holidays),
             (CORE, "dim_customer"): lambda: dims.build_dim_customer(self.staging("raw_customers")),
             (CORE, "dim_product"): lambda: dims.build_dim_product(
                 self.staging("raw_products"), self.staging("raw_product_category_translation")
@@ -82,6 +117,8 @@ class Warehouse:
                 self.resolved_orders(),
                 self.core("dim_product"),
                 self.core("dim_store"),
+                self.cost_ratio,
+                self.channel,
             ),
             (MART, "dim_month"): lambda: dims.build_dim_month(self.core("dim_date")),
             (MART, "dim_product"): lambda: dims.narrow(
@@ -98,7 +135,7 @@ class Warehouse:
 def _open(application_id: str, spark: SparkSession, folder: str) -> tuple[Warehouse, TestTables]:
     tables = TestTables(spark, folder)
     mark = hashlib.md5(f"{application_id} {folder}".encode()).hexdigest()[:10]
-    return Warehouse(spark, tables.raw, prefix=f"th_{mark}_"), tables
+    return Warehouse(spark, tables.raw, prefix=f"th_{mark}_", root=work_path(spark, "layers")), tables
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> tuple[Warehouse, TestTables]:

@@ -1,19 +1,30 @@
 """The three layers as databases, and loading tables into them.
 
-The hand-off between stages is a written table, so a lost executor costs its own tasks only and
-no stage is computed twice.
+A published table is a folder per version below ``root``. A load writes a new version, has it
+checked, marks it as published, and only then points the table at it, so a load that fails leaves
+the old rows. The catalog is rebuilt from the folders where a session does not know them yet.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.keys import insert_identity
 from tallyhouse.session import work_root
 from tallyhouse.sources.schemas import LAYERS, STAGING
 
+_PUBLISHED = "_PUBLISHED"
+_KEPT_VERSIONS = 2  # the current one, and the one that running queries may still read
+
+
+class LoadRefused(ValueError):
+    """A new version broke the table's contract; the old one stays."""
+
 
 def database(layer: str, prefix: str = "") -> str:
     if layer not in LAYERS:
@@ -21,20 +32,75 @@ def database(layer: str, prefix: str = "") -> str:
     return f"{prefix}{layer}"
 
 
-def ensure_layers(spark: SparkSession, prefix: str = "") -> None:
-    """Create the layers that do not exist yet, under the shared work folder."""
+class _Folder:
+    """A folder on any file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path
+        self._at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._spark = spark
+
+    def below(self, name: str) -> _Folder:
+        return _Folder(self._spark, f"{self.path}/{name}")
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._at)
+
+    def names(self) -> list[str]:
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at)) if self.exists() else []
+
+    def touch(self) -> None:
+        self._fs.create(self._at).close()
+
+    def delete(self) -> None:
+        self._fs.delete(self._at, True)
+
+
+def layers_root(spark: SparkSession, root: str | None = None) -> str:
+    """Where the layers live: outlasts an application, unlike the work folder."""
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def ensure_layers(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
+    """Create the layers that do not exist yet, and list the tables that an earlier application
+    has published below ``root``."""
     for layer in LAYERS:
         name = database(layer, prefix)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{work_path(spark, name)}'")
+        folder = _Folder(spark, f"{layers_root(spark, root)}/{name}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{folder.path}'")
+        for table in folder.names():
+            versions = _published(folder.below(table))
+            if versions and not has_table(spark, layer, table, prefix):
+                _create(spark, f"`{name}`.`{table}`", versions[-1].path)
 
 
-def reset_layers(spark: SparkSession, prefix: str = "", *, confirm: bool = False) -> None:
+def reset_layers(spark: SparkSession, prefix: str = "", *, confirm: bool = False, root: str | None = None) -> None:
     """Drop the layers with their tables and create them empty."""
     if not confirm:
         raise ValueError("reset_layers drops every table; pass confirm=True")
     for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS `{database(layer, prefix)}` CASCADE")
-    ensure_layers(spark, prefix)
+        name = database(layer, prefix)
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        _Folder(spark, f"{layers_root(spark, root)}/{name}").delete()
+    ensure_layers(spark, prefix, root)
+
+
+def _published(table: _Folder) -> list[_Folder]:
+    """Versions that were marked, oldest first."""
+    return [v for v in map(table.below, table.names()) if v.below(_PUBLISHED).exists()]
+
+
+def _create(spark: SparkSession, table: str, path: str, partition_by: str | None = None) -> None:
+    """A table over a version's folder; what it is partitioned by shows in the folder names."""
+    found = spark.read.parquet(path).schema
+    names = _Folder(spark, path).names()
+    partition_by = partition_by or next((n.split("=")[0] for n in names if "=" in n), None)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found)
+    parts = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
 
 
 def layer_names(spark: SparkSession, prefix: str = "") -> DataFrame:
@@ -79,21 +145,57 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish(
-    df: DataFrame, layer: str, name: str, prefix: str = "", partition_by: str | None = None, reload: bool = True
+    df: DataFrame,
+    layer: str,
+    name: str,
+    prefix: str = "",
+    partition_by: str | None = None,
+    reload: bool = True,
+    identity: str | None = None,
+    check: Callable[[DataFrame], list[str]] | None = None,
 ) -> DataFrame:
-    """Truncate and reload a table, then return it as read back.
+    """Replace a table by a new version, then return it as read back.
 
     With ``partition_by`` the rows are rebalanced by that column first, so that each partition
     gets few, even files; AQE cuts a partition value that holds much of the data into several
-    tasks. The staging layer is the auditable source of the others: it is loaded once, and only
-    an explicit ``reload`` by the landing job replaces it.
+    tasks. ``identity`` names a row id that is given after the last shuffle, by the tasks that
+    write: a repeated task replaces its rows and ids together. ``check`` gets the written rows and returns what is
+    wrong with them; if anything is, the version is deleted and the table stays as it was.
+
+    The staging layer is the auditable source of the others: with ``reload=False`` a table of it
+    that exists is not replaced.
     """
     spark = df.sparkSession
-    if layer == STAGING and not reload and has_table(spark, layer, name, prefix):
+    exists = has_table(spark, layer, name, prefix)
+    if layer == STAGING and not reload and exists:
         raise ValueError(f"staging table {name} is kept across reloads")
-    writer = df.hint("rebalance", F.col(partition_by)).write if partition_by else df.write
-    writer = writer.mode("overwrite").format("parquet")
+    folder = _Folder(spark, spark.catalog.getDatabase(database(layer, prefix)).locationUri).below(name)
+    version = folder.below(f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(f"`{database(layer, prefix)}`.`{name}`")
+        df = df.hint("rebalance", F.col(partition_by))
+    if identity:
+        df = insert_identity(df, identity)
+    try:
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(version.path)
+        wrong = check(spark.read.parquet(version.path)) if check else []
+        if wrong:
+            raise LoadRefused(f"{layer}.{name}: " + "; ".join(wrong))
+    except BaseException:
+        version.delete()
+        raise
+    version.below(_PUBLISHED).touch()
+
+    base = f"`{database(layer, prefix)}`."
+    table, coming, going = (f"{base}`{name}{end}`" for end in ("", "__next", "__last"))
+    for left_over in (coming, going):
+        spark.sql(f"DROP TABLE IF EXISTS {left_over}")
+    _create(spark, coming, version.path, partition_by)
+    if exists:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {going}")
+    spark.sql(f"ALTER TABLE {coming} RENAME TO {table}")
+    if exists:
+        spark.sql(f"DROP TABLE {going}")
+    for old in _published(folder)[:-_KEPT_VERSIONS]:
+        old.delete()
     return read_table(spark, layer, name, prefix)

@@ -38,12 +38,19 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     earlier_lines = in_split.rowsBetween(Window.unboundedPreceding, -1)
     earlier_splits = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
 
-    # One row per split: are the quotes open where it begins?
+    # One row per split: are the quotes open where it begins, and do all quotes of the file close?
+    # An odd quote would make one record of all that follows it.
     opened = (
         lines.groupBy(*_SPLIT)
         .agg(_odd(F.sum("quotes")).alias("odd"))
-        .select(*_SPLIT, _odd(F.sum("odd").over(earlier_splits)).alias("open"))
+        .select(
+            *_SPLIT,
+            _odd(F.sum("odd").over(earlier_splits)).alias("open"),
+            _odd(F.sum("odd").over(Window.partitionBy("file"))).alias("never_closed"),
+        )
     )
+    stray = F.raise_error(F.concat(F.lit("a quote is never closed in "), F.col("file"))).cast("boolean")
+    opened = opened.where(F.when(F.col("never_closed") == 0, True).otherwise(stray)).drop("never_closed")
     placed = (
         lines.withColumn("pos", F.row_number().over(in_split))
         .withColumn("odd_before", _odd(F.sum("quotes").over(earlier_lines)))

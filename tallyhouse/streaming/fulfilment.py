@@ -16,8 +16,17 @@ from tallyhouse.functions.clean import text_to_date
 from tallyhouse.plans.dims import MILESTONES
 from tallyhouse.sources.schemas import RAW_SCHEMAS
 
-# How far each status is along the way; others come first.
-STATUS_RANK = {"processing": 1, "shipped": 2, "delivered": 3}
+# How far each status is along the way. The last two end an order whatever came before.
+STATUS_RANK = {
+    "created": 1,
+    "approved": 2,
+    "invoiced": 3,
+    "processing": 4,
+    "shipped": 5,
+    "delivered": 6,
+    "unavailable": 7,
+    "canceled": 8,
+}
 
 _STATE = T.StructType(
     [
@@ -31,10 +40,13 @@ _STATE = T.StructType(
 
 
 def _rank(status: Column) -> Column:
-    rank = F.lit(0)
+    """Place of a status; blank or missing comes first, and an unknown one fails, as nobody can say where it
+    belongs."""
+    unknown = F.raise_error(F.concat(F.lit("unknown order status: "), status)).cast("int")
+    rank = F.when(F.coalesce(status, F.lit("")) == "", 0)
     for name, value in STATUS_RANK.items():
-        rank = F.when(status == name, value).otherwise(rank)
-    return rank
+        rank = rank.when(status == name, value)
+    return rank.otherwise(unknown)
 
 
 def order_reports(raw_orders: DataFrame, mode: str = "strict") -> DataFrame:

@@ -8,8 +8,8 @@ from tallyhouse.operators.profile import row_counts
 from tallyhouse.session import work_root
 from tallyhouse.sources import layers, raw
 from tallyhouse.sources.schemas import CONTRACTS, CORE, LAYERS, MART, RAW_SCHEMAS, STAGING
-from tallyhouse.operators.validate import contract_types
-from tallyhouse.plans.warehouse import open_warehouse
+from tallyhouse.operators.validate import broken_contract, contract_types
+from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 
 
 def test_raw_schemas_are_all_text():
@@ -100,9 +100,54 @@ def test_table_read_by_its_own_load_is_not_lost(spark):
     prefix = "t3_"
     layers.ensure_layers(spark, prefix)
     first = layers.publish(spark.range(3), CORE, "x", prefix)
+    assert layers.publish(first.where("id > 0"), CORE, "x", prefix).count() == 2
+    assert first.count() == 3  # the version before stays for whoever still reads it
+
+
+@pytest.mark.parametrize("partition_by", [None, "m"])
+def test_failed_or_refused_reload_keeps_the_table(spark, partition_by):
+    prefix = f"t5{partition_by}_"
+    layers.ensure_layers(spark, prefix)
+    rows = spark.range(10).select("id", (F.col("id") % 2).cast("int").alias("m"))
+    layers.publish(rows, CORE, "x", prefix, partition_by)
+    bad = rows.select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("bad row")).cast("long")).alias("id"), "m")
     with pytest.raises(PySparkException):
-        layers.publish(first.where("id > 0"), CORE, "x", prefix)
-    assert layers.read_table(spark, CORE, "x", prefix).count() == 3
+        layers.publish(bad, CORE, "x", prefix, partition_by)
+    with pytest.raises(layers.LoadRefused, match="too few"):
+        layers.publish(rows.limit(1), CORE, "x", prefix, partition_by, check=lambda df: ["too few"] if df.count() < 5 else [])
+    assert layers.read_table(spark, CORE, "x", prefix).count() == 10
+    assert [r[0] for r in layers.layer_tables(spark, CORE, prefix).collect()] == ["x"]
+
+
+def test_tables_outlast_the_catalog_and_old_versions_go(spark, tmp_path):
+    prefix, root = "t6_", str(tmp_path / "home")
+    layers.ensure_layers(spark, prefix, root)
+    for n in range(1, 5):
+        layers.publish(spark.range(n).withColumn("m", F.lit(1)), CORE, "x", prefix, partition_by="m", identity="pk")
+    versions = layers._Folder(spark, f"{root}/{prefix}{CORE}/x").names()
+    assert len(versions) == 2
+    spark.sql(f"DROP TABLE `{prefix}{CORE}`.x")
+    layers.ensure_layers(spark, prefix, root)
+    table = layers.read_table(spark, CORE, "x", prefix)
+    assert table.count() == 4 and table.select("pk").distinct().count() == 4
+
+
+def test_load_is_refused_when_it_breaks_the_contract(spark):
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "store_pk long, store_city string").withColumn("store_state", F.lit("x"))
+    contract = CONTRACTS[MART]["dim_store"]
+    assert broken_contract(good, contract) == []
+    assert "repeated keys" in broken_contract(good.union(good.limit(1)), contract)[0]
+    assert "NULL" in broken_contract(good.withColumn("store_pk", F.lit(None).cast("long")), contract)[0]
+    assert "instead of" in broken_contract(good.withColumn("store_pk", F.lit(1)), contract)[0]
+
+
+def test_staging_is_reloaded_only_when_asked(spark):
+    counts = {"n": 3}
+    w = Warehouse(spark, lambda name: spark.range(counts["n"]), prefix="t7_", root=work_root(spark) + "/t7")
+    assert w.load(STAGING, "raw_orders").count() == 3
+    counts["n"] = 5
+    assert w.load(STAGING, "raw_orders").count() == 3
+    assert w.load(STAGING, "raw_orders", reload=True).count() == 5
 
 
 def test_tables_live_in_the_shared_folder(spark):
