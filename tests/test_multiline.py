@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from tallyhouse.sources import raw
+from tallyhouse.sources.multiline import read_split_csv
 from tallyhouse.sources.schemas import RAW_SCHEMAS
 
 NAME = "raw_order_reviews"
@@ -70,3 +71,17 @@ def test_short_record_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",".join(COLUMNS) + "\n1,o,5\n")
     with pytest.raises(Exception, match="MALFORMED"):
         raw.load_raw(spark, NAME, str(tmp_path)).collect()
+
+
+def test_stray_quote_fails_with_the_file(spark, tmp_path):
+    """One quote that is never closed would swallow the rest of its file, also where rows are only counted."""
+    names = list(RAW_SCHEMAS["raw_order_reviews"].fieldNames())
+    good = ",".join(names) + "\n" + "".join(f"r{i},o,5,t,m,d,a\n" for i in range(50))
+    (tmp_path / "good.csv").write_text(good)
+    rows = read_split_csv(spark, str(tmp_path / "good.csv"), RAW_SCHEMAS["raw_order_reviews"])
+    assert rows.count() == 50
+    (tmp_path / "bad.csv").write_text(good.replace("r7,o,5,t,m", 'r7,o,5,"t,m'))
+    rows = read_split_csv(spark, str(tmp_path / "bad.csv"), RAW_SCHEMAS["raw_order_reviews"])
+    for action in (rows.count, rows.collect):
+        with pytest.raises(Exception, match="bad.csv"):
+            action()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import measures
 from tallyhouse.operators import keys as keys_module
 from tallyhouse.operators import profile as prof
 from tallyhouse.operators import validate as val
@@ -421,3 +422,43 @@ def test_stream_resumes_and_compacts(spark, tmp_path):
     after = {r["order_id"]: r for r in fulfilment.read_state(spark, moved).collect()}
     assert str(after["o1"]["shipped_date"]) == "2017-01-04" and after["o2"]["order_status"] == "delivered"
     assert len(after) == 2
+
+
+def test_status_of_any_life_cycle(spark):
+    rows = [
+        report_row("o1", "created"), report_row("o1", "approved"),
+        report_row("o2", "processing"), report_row("o2", "canceled"), report_row("o2", "shipped"),
+        report_row("o3", "invoiced"), report_row("o3", "unavailable"),
+        report_row("o4", ""), report_row("o4", "created"),
+    ]
+    merged = fulfilment.merge_milestones(fulfilment.order_reports(raw(spark, "raw_orders", rows)))
+    assert {r["order_id"]: r["order_status"] for r in merged.collect()} == {
+        "o1": "approved", "o2": "canceled", "o3": "unavailable", "o4": "created"
+    }
+    strange = fulfilment.order_reports(raw(spark, "raw_orders", [report_row("o5", "teleported")]))
+    with pytest.raises(Exception, match="teleported"):
+        fulfilment.merge_milestones(strange).collect()
+
+
+def test_daily_channels_hold_all_revenue(spark):
+    fact = spark.createDataFrame(
+        [(20170101, "Website", Decimal("1.00")), (20170101, "Fax", Decimal("3.00")), (20190101, "App", Decimal("2.00"))],
+        "date_fk int, channel string, sales_amount decimal(10,2)",
+    )
+    dates = spark.createDataFrame([(19000101,), (20170101,), (20170102,)], "date_id int")
+    rows = extensions.daily_channel_snapshot(fact, dates).collect()
+    assert sum(r["revenue"] for r in rows) == Decimal("6.00")
+    assert len(rows) == 3 * 4 and {r["channel"] for r in rows} == {"Website", "App", "Pop-up store", "Fax"}
+
+
+def test_amounts_of_several_pieces(spark):
+    items = spark.createDataFrame([("10.00", "1.00")], "price string, freight_value string")
+    row = facts.line_measures(items, quantity=3).first()
+    assert (row["price"], row["sales_amount"], row["quantity"]) == (Decimal("10.00"), Decimal("30.00"), 3)
+    assert row["product_cost"] + row["profit"] == Decimal("30.00")
+
+
+def test_ratios_are_not_averaged():
+    for name in ("profit_margin", "unit_price"):
+        with pytest.raises(measures.NotAdditive):
+            measures.average(name)

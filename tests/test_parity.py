@@ -1,4 +1,4 @@
-"""Every registered query against DuckDB: on the given tables, and on tables where single keys
+"""Every registered query of the warehouse against DuckDB: on the given tables, and on tables where single keys
 hold a third of the rows, keys are NULL, and dimension members repeat, with broadcasts off."""
 
 import duckdb
@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry_module
 from parity import TESTDATA, differences, duck
+from tallyhouse import oracle, queries
 from tallyhouse.plans.warehouse import open_warehouse
 from tallyhouse.sources.schemas import CONTRACTS, RAW_SCHEMAS, STAGING
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 SMALL = str(TESTDATA / "sf0.001")
 
 
@@ -49,6 +50,7 @@ def skewed(spark, tmp_path_factory):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
