@@ -191,4 +191,4 @@ def clean_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFram
 
 def quality_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """One row per document: doc_id, measures, base_failed, kept."""
-    return judge_lines(docs, rules, with_text=False).select("doc_id", "quality.*")
+    return judge_lines(docs.select("doc_id", "text"), rules, with_text=False).select("doc_id", "quality.*")

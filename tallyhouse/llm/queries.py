@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, topk, warc
 from tallyhouse.llm.common import read, work_path
+from tallyhouse.llm.oracle import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +78,3 @@ _QUERIES: list[Query] = [
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in _QUERIES}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -5,7 +5,7 @@ import pytest
 
 from tallyhouse.llm.quality import clean_documents, quality_report
 
-PROSE = " ".join(f"word{i}, and so on." for i in range(20))
+PROSE = " ".join(f"alpha{i}, beta{i} and gamma{i}." for i in range(20))
 TEXTS = [
     None,
     "",

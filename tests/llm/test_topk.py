@@ -36,7 +36,7 @@ def test_equal_to_brute_force(spark, monkeypatch):
         return rng.choice((0.0, 0.25, -0.5, 1.5, -1 / 256, 0.3, 3.75))
 
     rows = [(i, [value() for _ in range(6)]) for i in range(700)]
-    rows += [(700, None), (750, [1.0, None, 0, 0, 0, 0]), (800, [float("nan")] * 6), (850, [float("inf")] * 6), (None, [3.75] * 6)]
+    rows += [(700, None), (750, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (800, [float("nan")] * 6), (850, [float("inf")] * 6), (None, [3.75] * 6)]
     rows += [(900, [1.5] * 6)] * 3 + [(901, [1.5] * 6)] * 3 + [(950, [])]
     assert run(spark, rows) == by_force(rows)
     assert run(spark, rows, pivots=2, pivot_sample=1) == by_force(rows)
