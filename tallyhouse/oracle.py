@@ -228,6 +228,10 @@ def _duplicates(table: str, keys: str) -> str:
     return f"SELECT {keys}, count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1"
 
 
+def _repeated(table: str, key: str, n: int) -> str:
+    return f"(SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE CAST({key} AS BIGINT) % {n} = 0) x"
+
+
 def _counts_if(table: str, tests: dict[str, str], total: bool = False) -> str:
     counts = ["count(*) AS total_rows"] if total else []
     counts += [f"count(*) FILTER (WHERE {test}) AS {name}" for name, test in tests.items()]
@@ -544,6 +548,22 @@ def _statements() -> dict[str, str]:
             CAST(sum(product_cost + profit - sales_amount) AS DECIMAL(38,2)) AS total_gap FROM core_fact_sales""",
         "cost_ratio_half": """SELECT CAST(sum(CAST(round(wide * 0.5, 2) AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS cost,
             CAST(sum(CAST(round(wide - wide * 0.5, 2) AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS profit FROM lines""",
+        "dup_orders_injected": _duplicates(_repeated("raw_orders", "order_id", 101), "order_id"),
+        "dup_customers_injected": _duplicates(_repeated("raw_customers", "customer_id", 7), "customer_id"),
+        "dup_products_injected": _duplicates(_repeated("raw_products", "product_id", 11), "product_id"),
+        "orphan_orders_injected": """SELECT order_id, count(*) AS n FROM raw_order_items
+            WHERE order_id NOT IN (SELECT order_id FROM raw_orders WHERE CAST(order_id AS BIGINT) % 103 <> 0) GROUP BY 1""",
+        "price_format_injected": """SELECT 'R$' || price AS price FROM raw_order_items
+            WHERE CAST(order_id AS BIGINT) % 107 = 0 ORDER BY 1 LIMIT 20""",
+        "timestamp_format_injected": """SELECT substr(order_purchase_timestamp, 1, 10) AS order_purchase_timestamp
+            FROM raw_orders WHERE CAST(order_id AS BIGINT) % 109 = 0 AND order_purchase_timestamp <> '' ORDER BY 1 LIMIT 20""",
+        "not_null_violations_injected": """SELECT 'core.fact_sales' AS table_name, c AS column_name, count(*) AS n
+            FROM core_fact_sales f JOIN (VALUES ('price', 13), ('store_fk', 17)) s(c, k)
+            ON CAST(f.order_id AS BIGINT) % s.k = 0 GROUP BY c""",
+        "fk_violations_injected": """SELECT 'core.fact_sales' AS table_name, 'store_fk' AS column_name,
+            'core.dim_store.store_pk' AS "references", count(DISTINCT store_fk) AS missing_keys, count(*) AS rows
+            FROM core_fact_sales WHERE store_fk IN (SELECT store_pk FROM core_dim_store
+            WHERE store_pk <> -1 AND CAST(seller_id AS BIGINT) % 3 = 0)""",
         "price_rejects": """SELECT CASE WHEN k % 131 = 0 THEN 'blank price' WHEN k % 137 = 0 THEN 'bad price'
                 ELSE 'loaded' END AS outcome, count(*) AS n,
             CAST(sum(CASE WHEN k % 131 <> 0 AND k % 137 <> 0 THEN CAST(wide AS DECIMAL(10,2)) END) AS DECIMAL(38,2)) AS price

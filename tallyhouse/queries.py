@@ -781,6 +781,68 @@ def domain_violations(w, t):
     return prof.union_all([p for p in parts if p is not None])
 
 
+# --- checks that must find something -----------------------------------------------------------
+
+
+def _marked(key: str, n: int):
+    """Rows that a fault is put into, by a rule on their key."""
+    return F.coalesce(F.col(key).cast("long") % n == 0, F.lit(False))
+
+
+def _repeated(df: DataFrame, key: str, n: int) -> DataFrame:
+    return df.unionByName(df.where(_marked(key, n)))
+
+
+@_query
+def dup_orders_injected(w, t):
+    return prof.duplicate_keys(_repeated(w.staging("raw_orders"), "order_id", 101), ["order_id"])
+
+
+@_query
+def dup_customers_injected(w, t):
+    return prof.duplicate_keys(_repeated(w.staging("raw_customers"), "customer_id", 7), ["customer_id"])
+
+
+@_query
+def dup_products_injected(w, t):
+    return prof.duplicate_keys(_repeated(w.staging("raw_products"), "product_id", 11), ["product_id"])
+
+
+@_query
+def orphan_orders_injected(w, t):
+    orders = w.staging("raw_orders").where(~_marked("order_id", 103))
+    return prof.orphans(w.staging("raw_order_items"), orders, "order_id")
+
+
+@_query
+def price_format_injected(w, t):
+    price = F.when(_marked("order_id", 107), F.concat(F.lit("R$"), "price")).otherwise(F.col("price"))
+    return prof.pattern_violations(w.staging("raw_order_items").withColumn("price", price), "price", clean.NUMBER_PATTERN)
+
+
+@_query
+def timestamp_format_injected(w, t):
+    column = "order_purchase_timestamp"
+    spoiled = F.when(_marked("order_id", 109), F.substring(column, 1, 10)).otherwise(F.col(column))
+    return prof.pattern_violations(w.staging("raw_orders").withColumn(column, spoiled), column, clean.TIMESTAMP_PATTERN)
+
+
+@_query
+def not_null_violations_injected(w, t):
+    contract = CONTRACTS[CORE]["fact_sales"]
+    gone = {c: F.when(~_marked("order_id", n), F.col(c)) for c, n in (("price", 13), ("store_fk", 17))}
+    return val.not_null_violations(w.core("fact_sales").withColumns(gone), "core.fact_sales", contract).where("n > 0")
+
+
+@_query
+def fk_violations_injected(w, t):
+    """A third of the stores, by their business key, is missing."""
+    stores = w.core("dim_store")
+    gone = stores.where(_marked("seller_id", 3)).select("store_pk")
+    kept = stores.join(gone, "store_pk", "left_anti")
+    return val.fk_violations(w.core("fact_sales"), "core.fact_sales", "store_fk", kept, "core.dim_store", "store_pk")
+
+
 # --- beyond the scripts ------------------------------------------------------------------------
 
 
