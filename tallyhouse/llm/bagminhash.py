@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import cut_lineage, numbered, slices, small_batches, text_buffer
+from tallyhouse.llm.common import cut_lineage, few_rows, numbered, slices, small_batches, text_buffer
 from tallyhouse.llm.linking import link
 from tallyhouse.llm.vector import NOT_SPACE, mix, span_hashes, spans, windows
 
@@ -195,15 +195,26 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
 
-def _verifier(texts: DataFrame):
-    """Confirms pairs (a, b) of representatives by their whole texts (row, text)."""
+def _chooser(texts: DataFrame):
+    """Whole texts (row, text) of some rows, as a stored table. Only chosen texts are shuffled later."""
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        wanted = cut_lineage(rows.distinct(), "wanted")
+        return cut_lineage(texts.join(few_rows(wanted), "row", "left_semi").select("row", "text"), "texts")
+
+    return chosen
+
+
+def _verifier(chosen):
+    """Confirms pairs (a, b) of representatives by their whole texts."""
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut_lineage(pairs, "pairs")
-        needed = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row", "left_semi")
-        needed = cut_lineage(needed.select("row", "text"), "texts")
-        of_a = needed.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-        of_b = needed.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+        if pairs.isEmpty():
+            return pairs
+        needed = chosen(pairs.select(F.explode(F.array("a", "b")).alias("row")))
+        of_a = needed.select(F.col("row").alias("a"), F.col("text").alias("text_a")).hint("merge")
+        of_b = needed.select(F.col("row").alias("b"), F.col("text").alias("text_b")).hint("merge")
         both = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b")
         with small_batches(pairs.sparkSession, 200):
             return cut_lineage(both.mapInArrow(_confirmed, "a long, b long"), "confirmed")
@@ -211,16 +222,14 @@ def _verifier(texts: DataFrame):
     return verify
 
 
-def _all_links(texts: DataFrame, block_words: int):
+def _all_links(chosen, block_words: int):
     """All links between the groups of open buckets. The members outside a bucket's largest group
     are compared with all members, block by block, so that no task gets a whole bucket."""
 
     def rest(still: DataFrame) -> DataFrame:
         spark = still.sparkSession
-        needed = texts.join(still.select(F.col("id").alias("row")).distinct(), "row", "left_semi")
-        needed = cut_lineage(
-            needed.select(F.col("row").alias("id"), "text", (F.length("text") / 6 + 1).cast("long").alias("words")), "texts"
-        )
+        needed = chosen(still.select(F.col("id").alias("row")))
+        needed = needed.select(F.col("row").alias("id"), "text", (F.length("text") / 6 + 1).cast("long").alias("words"))
         sized = still.join(needed.select("id", "words"), "id")
         groups = sized.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"))
         per_key = groups.groupBy("key").agg(
@@ -269,10 +278,11 @@ def near_duplicates(docs: DataFrame, block_words: int = _BLOCK_WORDS) -> tuple[D
     firsts = signs.join(classes.select(F.col("id").alias("row")), "row")
     members = firsts.select(F.explode("keys").alias("key"), F.col("row").alias("id"))
     texts = stored.select(F.col(row).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    labels = link(members, _verifier(texts), _all_links(texts, block_words))
+    chosen = _chooser(texts)
+    labels = link(members, _verifier(chosen), _all_links(chosen, block_words))
 
     classes = classes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    per_class = classes.groupBy("comp").agg(F.min("first").alias("first"), F.sum("n").alias("class_size"))
+    per_class = cut_lineage(classes.groupBy("comp").agg(F.min("first").alias("first"), F.sum("n").alias("class_size")), "sizes")
     classes = cut_lineage(classes.select("digest", "comp").join(per_class, "comp"), "classes")
     result = signs.select("row", "doc_id", "digest").join(classes, "digest")
     return (
@@ -288,4 +298,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each class, in the columns of ``docs``."""
     stored, classes, row = near_duplicates(docs)
     first = classes.where("is_first").select(F.col("row").alias(row))
-    return stored.join(first, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    return stored.join(first.hint("shuffle_hash"), row, "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -7,13 +7,14 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.sources.layers import cut_lineage, work_path
 
-__all__ = ["cut_lineage", "free_name", "numbered", "read", "slices", "small_batches", "text_buffer", "work_path"]
+__all__ = ["cut_lineage", "few_rows", "free_name", "numbered", "read", "slices", "small_batches", "text_buffer", "work_path"]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -28,6 +29,17 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is one row of a file: nothing but columns and filters on a scan."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+            plan = plan.children().head()
+        return plan.nodeName() == "LogicalRelation"
+    except (AttributeError, Py4JError):
+        return False
+
+
 def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The rows with a number each that stays the same in every scan, and its column's name.
 
@@ -36,11 +48,13 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     way a retried task or a second scan sees the same one.
     """
     row = free_name(df, "_row")
+    files: list[str] = []
     try:
         placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-        files = sorted(r[0] for r in placed.select("_file").distinct().toLocalIterator())
+        if _is_scan(df):
+            files = sorted(r[0] for r in placed.select("_file").distinct().toLocalIterator())
     except AnalysisException:
-        files = []
+        pass
     if not files or {"_file", "_at"} & {c.lower() for c in df.columns}:
         return cut_lineage(df.withColumn(row, F.monotonically_increasing_id()), name), row
     # One entry per file; the driver lists them for any scan.
@@ -50,6 +64,15 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return placed.join(known, "_file", "left").select(*[f"`{c}`" for c in df.columns], number.cast("long").alias(row)), row
 
 
+FEW = 500_000
+
+
+def few_rows(df: DataFrame) -> DataFrame:
+    """The side of a join against a wide table: copied to all executors when a count shows that it
+    is small (it must be a stored table of a few numbers a row), else hashed after a shuffle."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df.hint("shuffle_hash")
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within the block, Arrow batches hold few rows, as each row may be a very long text."""

@@ -72,14 +72,14 @@ def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def open_buckets(members: DataFrame) -> DataFrame:
     """The members (key, id, comp) of buckets that hold more than one group."""
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    return members.join(split.select("key"), "key")
+    return members.join(cut_lineage(split.select("key"), "split"), "key")
 
 
 def with_leader(members: DataFrame, rank: F.Column) -> DataFrame:
     """Pairs (a, b): each member with the highest ranked one of its bucket, unless they are of one
     group already. One row per pair, however many buckets it shares."""
     best = members.groupBy("key").agg(F.max(F.struct(rank.alias("r"), F.col("id").alias("b"), F.col("comp").alias("to"))).alias("best"))
-    met = members.join(best, "key").where(F.col("comp") != F.col("best.to"))
+    met = members.join(cut_lineage(best, "leaders"), "key").where(F.col("comp") != F.col("best.to"))
     return met.select(F.col("id").alias("a"), F.col("best.b").alias("b")).distinct()
 
 
@@ -93,7 +93,7 @@ def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3) -> D
     that and returns all links between their groups, so no link within a bucket is lost.
     """
     members = cut_lineage(shared(members), "members")
-    company = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    company = cut_lineage(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "company")
     degree = cut_lineage(members.join(company, "key").groupBy("id").agg(F.sum("n").alias("degree")), "degree")
     ranked = members.join(degree, "id").withColumn("comp", F.col("id"))
     links = cut_lineage(verify(with_leader(ranked, F.struct("degree", -F.col("id")))), "verified")
@@ -102,10 +102,13 @@ def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3) -> D
     for i in range(1, rounds):
         if still.isEmpty():
             return labels
-        size = still.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+        size = cut_lineage(still.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "sizes")
         sized = still.join(size, "comp")
         rank = F.struct("size", "comp", F.xxhash64("key", "id", F.lit(i)))
-        links = cut_lineage(links.union(verify(with_leader(sized, rank))), "verified")
+        new = cut_lineage(verify(with_leader(sized, rank)), "verified")
+        if new.isEmpty():
+            continue
+        links = cut_lineage(links.union(new), "verified")
         labels = cut_lineage(components(links), "labels")
         still = cut_lineage(open_buckets(labelled(still.select("key", "id"), labels)), "open")
     if still.isEmpty():

@@ -107,7 +107,7 @@ def test_open_buckets_lose_no_link(spark):
 def test_rest_compares_across_blocks(spark):
     texts = [" ".join(f"w{i}" for i in range(100)) + f" z{k}" for k in range(30)]
     rows = spark.createDataFrame([(7, i, i, t) for i, t in enumerate(texts)], "key long, id long, comp long, text string")
-    found = bagminhash._all_links(rows.selectExpr("id row", "text"), 500)(rows.select("key", "id", "comp"))
+    found = bagminhash._all_links(bagminhash._chooser(rows.selectExpr("id row", "text")), 500)(rows.select("key", "id", "comp"))
     assert components(found).select("comp").distinct().count() == 1
 
 
