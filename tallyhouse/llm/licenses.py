@@ -1,10 +1,10 @@
-"""Licence notices by a positional index of rare words.
+"""Licence notices by rare phrases, alignment and mandatory phrases.
 
-The templates below are indexed by word: each word's postings are the templates and places where it
-stands. The rarity (IDF) of a licence word is its document frequency over the whole corpus. A file's
-rarest licence words are looked up; where postings of several of them agree on the place at which a
-template would begin, the template is aligned there. It counts when its mandatory phrases
-stand within the aligned region.
+The templates below are known by word and place. The rarity (IDF) of a licence word is its document
+frequency over the whole corpus. In a text that holds all mandatory phrases of a template, the
+template is aligned around each place of the phrase with the rarest word. It counts where at least
+two of its words agree on the place at which it would begin, and its mandatory phrases and enough of
+its words stand within the aligned region. No text has a limit of words or notices looked up.
 """
 
 from __future__ import annotations
@@ -69,7 +69,6 @@ TEMPLATES = [
     ("all-rights-reserved", "all rights reserved", ["all rights reserved"]),
 ]
 
-RAREST = 12  # licence words of a file that are looked up, rarest first
 SHIFT = 3  # words that may be missing or added within an aligned notice
 MIN_SCORE = 0.6  # share of a template's words that must stand in the region
 
@@ -77,7 +76,7 @@ _WORD = ~byte_class((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
 
 class Index:
-    """The templates by word, with words numbered in the order of their hashes."""
+    """The templates, with words numbered in the order of their hashes."""
 
     def __init__(self):
         texts = [(label, text.split(), [p.split() for p in phrases]) for label, text, phrases in TEMPLATES]
@@ -92,10 +91,6 @@ class Index:
         number = {w: i for i, w in enumerate(self.words)}
         self.templates = [(label, [number[w] for w in t], [[number[w] for w in p] for p in ps]) for label, t, ps in texts]
         self.base = [([number[w] for w in p], BASE[" ".join(p)]) for p in (x.split() for x in BASE)]
-        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, text, _) in enumerate(self.templates):
-            for place, w in enumerate(text):
-                self.postings[w].append((t, place))
 
 
 def word_numbers(data: np.ndarray, offsets: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
@@ -139,34 +134,38 @@ def document_frequency(docs: DataFrame) -> dict[str, int]:
     return {r["word"]: r["n"] for r in counts.collect()}
 
 
-def align(numbers: np.ndarray, index: Index, rarity: np.ndarray) -> list[tuple[int, int, float]]:
-    """Verified notices of one text: template, first word, score."""
-    present = np.unique(numbers[numbers >= 0])
-    rare = present[np.argsort(-rarity[present], kind="stable")][:RAREST]
-    votes: dict[tuple[int, int], set[int]] = defaultdict(set)
-    for at in np.flatnonzero(np.isin(numbers, rare)):
-        word = int(numbers[at])
-        for template, place in index.postings.get(word, ()):
-            begin = int(at) - place
-            for near in range((begin - SHIFT) // (SHIFT + 1), (begin + SHIFT) // (SHIFT + 1) + 1):
-                votes[template, near].add(word)
+def align(numbers: np.ndarray, index: Index, rarity: np.ndarray, held: list[int]) -> list[tuple[int, int, float]]:
+    """Verified notices of one text that holds the mandatory phrases of the templates ``held``:
+    template, first word, score. A notice has its rarest phrase inside, so each region around a
+    place of that phrase is tried, and every word of the template votes."""
     found = []
-    for (template, near), words in votes.items():
+    for template in held:
         _, text, phrases = index.templates[template]
-        needed = min(2, len(set(text) & set(rare.tolist())))
-        if len(words) < max(1, needed):
-            continue
-        low = max(0, near * (SHIFT + 1) - SHIFT)
-        high = near * (SHIFT + 1) + SHIFT + 1 + len(text) + SHIFT
-        region = numbers[low:high]
-        here = np.zeros(len(region), np.int64)
-        starts = [phrase_starts(region, here, p) for p in phrases]
-        if any(not len(s) for s in starts):
-            continue
-        common = sum(min(int((region == w).sum()), text.count(w)) for w in set(text))
-        score = common / len(text)
-        if score >= MIN_SCORE:
-            found.append((template, low + int(min(s[0] for s in starts)), score))
+        rarest = max(phrases, key=lambda p: max(rarity[w] for w in p))
+        at = phrase_starts(numbers, np.zeros(len(numbers), np.int64), rarest)
+        first = -((len(text) + 2 * SHIFT + 1 - len(rarest) - at) // (SHIFT + 1))
+        last = (at + SHIFT) // (SHIFT + 1)
+        tried = np.unique(np.concatenate([np.arange(i, j + 1) for i, j in zip(first, last, strict=True)])) if len(at) else at
+        needed = min(2, len(set(text)))
+        for near in tried.tolist():
+            begin = near * (SHIFT + 1) - SHIFT
+            low = max(0, begin)
+            region = numbers[low : begin + len(text) + 3 * SHIFT + 1]
+            common = sum(min(int((region == w).sum()), text.count(w)) for w in set(text))
+            score = common / len(text)
+            if score < MIN_SCORE:
+                continue
+            here = np.zeros(len(region), np.int64)
+            starts = [phrase_starts(region, here, p) for p in phrases]
+            if any(not len(s) for s in starts):
+                continue
+            words = {
+                w
+                for place, w in enumerate(text)
+                if (numbers[max(0, begin + place) : max(0, begin + place + 3 * SHIFT + 1)] == w).any()
+            }
+            if len(words) >= needed:
+                found.append((template, low + int(min(s[0] for s in starts)), score))
     return found
 
 
@@ -204,15 +203,16 @@ def scan(docs: DataFrame, frequency: dict[str, int]) -> DataFrame:
                     for k in np.unique(own):
                         base[k].add(label)
                 # Only a text that holds all mandatory phrases of a template can hold the template.
-                held = np.zeros(n, bool)
-                for _, _, phrases in index.templates:
+                held: dict[int, list[int]] = defaultdict(list)
+                for t, (_, _, phrases) in enumerate(index.templates):
                     with_all = np.ones(n, bool)
                     for phrase in phrases:
                         with_all &= np.bincount(text[phrase_starts(numbers, text, phrase)], minlength=n) > 0
-                    held |= with_all
+                    for k in np.flatnonzero(with_all).tolist():
+                        held[k].append(t)
                 labels, scores = [set(b) for b in base], np.zeros(n)
-                for k in np.flatnonzero(held):
-                    for template, _, score in align(numbers[first_of[k] : first_of[k + 1]], index, rarity):
+                for k, some in held.items():
+                    for template, _, score in align(numbers[first_of[k] : first_of[k + 1]], index, rarity, some):
                         labels[k].add(index.templates[template][0])
                         scores[k] = max(scores[k], score)
                 some = places > 0

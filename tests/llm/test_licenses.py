@@ -57,3 +57,15 @@ def test_notices_are_found_inside_other_text(spark):
 def test_repeated_rows_and_empty_tables(spark, n):
     docs = spark.createDataFrame([(None, "mit license")] * n, "doc_id long, text string")
     assert [r.base_labels for r in licenses.licence_report(docs).collect()] == ["mit"] * n
+
+
+def test_all_notices_of_a_long_text_are_found(spark):
+    rng = random.Random(6)
+    chosen = [licenses.TEMPLATES] + [rng.sample(licenses.TEMPLATES, rng.randint(2, 18)) for _ in range(40)]
+    texts = [NOISE + "".join(f"\n{t}\n{NOISE}" for _, t, _ in rng.sample(some, len(some))) for some in chosen]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = licenses.licence_report(docs).orderBy("doc_id").collect()
+    for row, text in zip(rows, texts, strict=True):
+        plain = {label for label, t, _ in licenses.TEMPLATES if t in text}
+        assert plain <= set(row.labels.split(","))
+    assert set(rows[0].labels.split(",")) == {t[0] for t in licenses.TEMPLATES} | set(licenses.BASE.values())
