@@ -51,6 +51,7 @@ class Node:
     marks: int = 0  # punctuation marks
     words: int = 0
     inline: int = 0  # inline elements
+    place: int = 0  # among its parent's children
     children: list[int] = field(default_factory=list)
 
 
@@ -145,7 +146,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             elif name == "data-training-label" and value.isdigit():
                 node.given = int(value)
         if not m[3].endswith("/"):
-            nodes[stack[-1]].children.append(len(nodes))
+            brothers = nodes[stack[-1]].children
+            node.place = len(brothers)
+            brothers.append(len(nodes))
             stack.append(len(nodes))
             nodes.append(node)
     if at < n:
@@ -185,7 +188,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             above[i] = above[p]
         text, links, marks, words, tags, with_text = sub[i]
         brothers = nodes[p].children if p >= 0 else [0]
-        place = brothers.index(i) if len(brothers) < 200 else min(i - brothers[0], len(brothers) - 1)
+        place = x.place
         prior = sub[brothers[place - 1], 0] if place > 0 else 0.0
         following = sub[brothers[place + 1], 0] if place + 1 < len(brothers) else 0.0
         out[i, :20] = (

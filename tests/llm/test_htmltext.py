@@ -5,7 +5,7 @@ import pytest
 
 from tallyhouse.llm import htmltext
 from tallyhouse.llm.boosting import fit
-from tallyhouse.llm.dom import parse
+from tallyhouse.llm.dom import features, parse
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +71,12 @@ def test_nulls_repeated_rows_and_empty_tables(spark, n):
     rows = [(None, None, None, "x"), (1, "u", "", "x")] * n
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert [(r.text, r.n_chars) for r in htmltext.extract(pages).collect()] == [("", 0)] * 2 * n
+
+
+@pytest.mark.parametrize("n", [199, 200, 300])
+def test_places_among_many_brothers(n):
+    nodes, _ = parse("<ul>" + "".join(f"<li><p>{'x' * (k + 1)}</p></li>" for k in range(n)) + "</ul>")
+    found = [row for x, row in zip(nodes, features(nodes), strict=True) if x.tag == "li"]
+    assert [round(row[13] * n) for row in found] == list(range(n))
+    assert [row[15] for row in found] == list(range(n))
+    assert [row[16] for row in found] == [*range(2, n + 1), 0]
