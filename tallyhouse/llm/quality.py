@@ -3,7 +3,7 @@
 Rules of a line (``LineRules`` holds the thresholds; lines without a word always stay):
 
 * symbols: more than a share of its characters are of ``# * $ % & | < >``
-* navigation: three or more separators (``|``, ``>>``) and one to every few words, or a short line
+* navigation: three or more separators (``|``) and one to every few words, or a short line
   that is a menu entry
 * shouting: most letters are capitals and there are exclamation marks
 * punctuation: a long line without any punctuation mark
