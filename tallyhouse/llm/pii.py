@@ -221,7 +221,11 @@ def joined_spans(spans: Column) -> Column:
 def report(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, counts by kind, a digest of the rules' spans, and all spans."""
     found = personal_data(docs, **options)
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+
+    def of_kind(i: int):
+        return lambda span: span["kind"] == i  # of one parameter: Spark passes the index as a second one
+
+    counts = [F.size(F.filter("base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans")
     )

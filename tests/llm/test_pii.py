@@ -61,6 +61,17 @@ def test_patterns_find_what_no_rule_knows(spark):
             assert got[i].spans == written(spans)
 
 
+def test_counts_and_digests_of_the_sample_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = pii.report(docs).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        spans = by_force(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in spans) for k in range(4)]
+        assert r.base_sha256 == sha256(written(spans).encode()).hexdigest()
+
+
 @pytest.mark.parametrize("n", [0, 3])
 def test_repeated_rows_and_empty_tables(spark, n):
     docs = spark.createDataFrame([(None, "a@b.de")] * n, "doc_id long, text string")
