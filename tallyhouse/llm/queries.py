@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, topk, warc
+from tallyhouse.llm import align, bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, spelling, topk, warc
 from tallyhouse.llm.common import read, work_path
 from tallyhouse.llm.oracle import oracle_sql
 
@@ -62,6 +62,15 @@ def op10_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_bit_sliced_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(read(spark, folder, "documents"), slips=199)
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.report(read(spark, folder, "documents"), *files)
+
+
 _QUERIES: list[Query] = [
     op1_quality_rules,
     op2_warc_chains,
@@ -73,6 +82,8 @@ _QUERIES: list[Query] = [
     op8_html_text,
     op9_best_fit_packing,
     op10_pivot_top_k,
+    op11_bit_sliced_spelling,
+    op13_token_alignment,
 ]
 
 
