@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import align, bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, spelling, topk, warc
+from tallyhouse.llm import align, bagminhash, htmltext, licenses, lines, mixing, packing, pii, quality, sharding, spelling, topk, warc
 from tallyhouse.llm.common import read, work_path
 from tallyhouse.llm.oracle import oracle_sql
 
@@ -66,6 +66,10 @@ def op11_bit_sliced_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_groups(read(spark, folder, "documents"), slips=199)
 
 
+def op12_vector_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, folder, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align.report(read(spark, folder, "documents"), *files)
@@ -83,6 +87,7 @@ _QUERIES: list[Query] = [
     op9_best_fit_packing,
     op10_pivot_top_k,
     op11_bit_sliced_spelling,
+    op12_vector_shards,
     op13_token_alignment,
 ]
 
