@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,25 +32,59 @@ from tallyhouse.llm.tokens import split_places
 from tallyhouse.llm.vector import process_memo, span_hashes
 
 _REMEMBERED = 1_000_000  # pieces a worker keeps, and eight times as many tokens
+_AT_ONCE = 4096  # pieces that a tokenizer gets together
+_TOGETHER = 1 << 19  # bytes of texts that are aligned together; a longer text stays whole
+Learned = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # ids, tokens of each piece, their ends, whether they hold
 _FREQUENT = 65_536
 _SPACE = 0x20
 _SCHEMA = "{row} long, doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 _SPANS = ", a_ids array<int>, a_ends array<long>, b_ids array<int>, b_ends array<long>"
 
 
-def refined(begins: list[int], ends: list[int], sizes: list[int], total: int) -> list[int] | None:
-    """Ends of tokens in bytes. ``begins`` and ``ends`` are the coarse spans, ``sizes`` the decoded lengths.
+def refined(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of tokens in bytes from the start of their piece, and for each piece whether they hold.
 
-    A coarse end holds where the token has a span and the next one starts behind it; between such cuts
-    tokens share characters and their sizes are summed. None if the two disagree at a cut.
+    ``counts`` are the tokens of each piece, none empty, ``begins`` and ``ends`` their coarse spans, ``sizes``
+    their decoded lengths. A coarse end holds where the token has a span and the next one starts
+    behind it; between such cuts tokens share characters and their sizes are summed. A piece whose
+    sizes do not reach each of its cuts does not hold.
     """
-    out, at, n = [], 0, len(ends)
-    for i, size in enumerate(sizes):
-        at += size
-        if ends[i] > begins[i] and (i + 1 == n or begins[i + 1] >= ends[i]) and at != ends[i]:
-            return None
-        out.append(at)
-    return out if at == total else None
+    last = np.cumsum(counts) - 1
+    piece = np.repeat(np.arange(len(counts)), counts)
+    total = np.cumsum(sizes)
+    exact = total - np.repeat(total[last - counts + 1] - sizes[last - counts + 1], counts)
+    behind = np.append(begins[1:], 0) >= ends
+    behind[last] = True
+    wrong = behind & (ends > begins) & (exact != ends)
+    return exact, np.bincount(piece[wrong], minlength=len(counts)) == 0
+
+
+class _Bytes:
+    """The bytes of all tokens of a vocabulary, by id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self._begins = np.cumsum(self.sizes) - self.sizes
+        self._data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        last = np.cumsum(sizes)
+        return self._data[np.repeat(self._begins[ids] - last + sizes, sizes) + np.arange(last[-1] if len(last) else 0)]
+
+
+def _standing_for(tokens: _Bytes, pieces: list[bytes], ids: np.ndarray, counts: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the tokens of pieces, and whether each piece's tokens are its bytes, cut by cut."""
+    exact, good = refined(begins, ends, tokens.sizes[ids], counts)
+    wanted = np.array([len(p) for p in pieces])
+    of = np.repeat(np.arange(len(pieces)), counts)
+    got = np.bincount(of, tokens.sizes[ids], minlength=len(pieces)).astype(np.int64)
+    good &= got == wanted
+    kept = np.flatnonzero(good)
+    a, b = tokens.joined(ids[good[of]]), np.frombuffer(b"".join([pieces[k] for k in kept]), np.uint8)
+    other = np.repeat(kept, wanted[kept])[a != b]
+    good[other] = False
+    return exact, good
 
 
 class ByteLevel:
@@ -69,7 +104,8 @@ class ByteLevel:
         self.splits = rule["normalizer"] is None and cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space")
         self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
         letters = self._letters()
-        self.bytes = {i: bytes(letters[c] for c in t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.tokens = _Bytes([bytes(letters[c] for c in names.get(i, "") if c in letters) for i in range(max(names) + 1)])
 
     @staticmethod
     def _letters() -> dict[str, int]:
@@ -86,15 +122,20 @@ class ByteLevel:
         points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
         return places[split_places(points, np.searchsorted(places, offsets[:-1]))]
 
-    def learn(self, pieces: list[bytes]) -> Iterator[tuple[list[int], list[int] | None]]:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False), strict=True):
-            at = [0]
-            for c in piece.decode():
-                at.append(at[-1] + len(c.encode()))
-            spans = found.offsets
-            tokens = [self.bytes.get(i, b"") for i in found.ids]
-            ends = refined([at[a] for a, _ in spans], [at[b] for _, b in spans], [len(t) for t in tokens], len(piece))
-            yield found.ids, ends if b"".join(tokens) == piece else None
+    def learn(self, pieces: list[bytes]) -> Learned:
+        texts = [p.decode() for p in pieces]
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        ids = [f.ids for f in found]
+        counts = np.array([len(i) for i in ids])
+        spans = np.array([span for f in found for span in f.offsets], np.int64).reshape(-1, 2)
+        # From characters of a piece to bytes of it, by way of all pieces' characters.
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        chars, sizes = np.array([len(t) for t in texts]), np.array([len(p) for p in pieces])
+        first_char, first = np.repeat(np.cumsum(chars) - chars, counts), np.repeat(np.cumsum(sizes) - sizes, counts)
+        begins, ends = (places[spans[:, k] + first_char] - first for k in (0, 1))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
+        return flat, counts, *_standing_for(self.tokens, pieces, flat, counts, begins, ends)
 
 
 class SentencePiece:
@@ -105,14 +146,13 @@ class SentencePiece:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [
-            bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)
-        ]
+        tokens = [bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)]
+        self.tokens = _Bytes(tokens)
         # No entry goes on behind a space that follows other text, and spaces are neither merged nor cut.
         crosses = any("▁" in name.lstrip("▁") for name in names)
         probe = self.model.encode("  x  y ", num_threads=1)
         self.space = self.model.piece_to_id("▁")
-        self.splits = not crosses and self.space in probe and b"".join(self.bytes[i] for i in probe) == b"   x  y "
+        self.splits = not crosses and self.space in probe and b"".join(tokens[i] for i in probe) == b"   x  y "
 
     def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if not self.splits:
@@ -123,17 +163,18 @@ class SentencePiece:
         start[offsets[:-1]] = True
         return np.flatnonzero(start)
 
-    def learn(self, pieces: list[bytes]) -> Iterator[tuple[list[int], list[int] | None]]:
-        for piece in pieces:
-            if piece == b" ":  # that ends a text; the model adds no space to nothing
-                yield [self.space], [1]
-                continue
-            found = self.model.encode(piece[1:].decode(), return_type="proto").pieces
-            ids = [p.id for p in found]
-            tokens = [self.bytes[i] for i in ids]
-            # Spans count from behind the space that the model has added.
-            ends = refined([p.begin + (k > 0) for k, p in enumerate(found)], [p.end + 1 for p in found], [len(t) for t in tokens], len(piece))
-            yield ids, ends if b"".join(tokens) == piece else None
+    def learn(self, pieces: list[bytes]) -> Learned:
+        found = self.model.encode([p[1:] for p in pieces], return_type="proto", num_threads=1)
+        spans = [[(t.id, t.begin, t.end) for t in f.pieces] for f in found]
+        for i, p in enumerate(pieces):
+            if p == b" ":  # that ends a text; the model adds no space to nothing
+                spans[i] = [(self.space, 0, 0)]
+        counts = np.array([len(s) for s in spans])
+        ids, begins, ends = np.array([t for s in spans for t in s], np.int64).reshape(-1, 3).T
+        # Spans count from behind the space that the model has added, which the first token has too.
+        begins, ends = begins + 1, ends + 1
+        begins[np.cumsum(counts) - counts] = 0
+        return ids, counts, *_standing_for(self.tokens, pieces, ids, counts, begins, ends)
 
 
 class Remembered:
@@ -144,46 +185,48 @@ class Remembered:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.sizes, self.begins = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.good = np.zeros(1 << 12, bool)
-        self.ids, self.ends = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _add(self, number: int, ids: list[int], ends: list[int] | None) -> None:
-        n = len(self.known)
-        if n == len(self.sizes):
-            self.sizes, self.begins, self.good = (np.resize(x, 2 * n) for x in (self.sizes, self.begins, self.good))
-        while self.used + len(ids) > len(self.ids):
-            self.ids, self.ends = np.resize(self.ids, 2 * len(self.ids)), np.resize(self.ends, 2 * len(self.ends))
-        there = slice(self.used, self.used + len(ids))
-        self.ids[there] = ids
-        self.ends[there] = ends if ends is not None else 0
-        self.sizes[n], self.begins[n], self.good[n] = len(ids), self.used, ends is not None
-        self.used += len(ids)
-        self.known[number] = n
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes
+        self.sizes, self.begins, self.good = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        parts = [self.tokenizer.learn(pieces[i : i + _AT_ONCE]) for i in range(0, len(pieces), _AT_ONCE)]
+        ids, counts, ends, good = (np.concatenate(p) for p in zip(*parts, strict=True))
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
+        self.entry = np.concatenate([self.entry, len(self.sizes) + np.arange(len(hashes))])
+        self.sizes, self.good = np.concatenate([self.sizes, counts.astype(np.int32)]), np.concatenate([self.good, good])
+        self.ids, self.ends = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.ends, ends.astype(np.int32)])
+        self.known = np.concatenate([self.known, hashes])
+        order = np.argsort(self.known, kind="stable")
+        self.known, self.entry = self.known[order], self.entry[order]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all tokens of the texts that ``offsets`` cut from ``data``, where each ends, and
         for each text whether its tokens stand for its bytes."""
-        if len(self.known) > _REMEMBERED or self.used > 8 * _REMEMBERED:
+        if not len(data):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.ones(len(offsets) - 1, bool)
+        if len(self.known) > _REMEMBERED or len(self.ids) > 8 * _REMEMBERED:
             self._clear()
         starts = self.tokenizer.starts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        different, where, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        numbers = different.tolist()
-        new = [i for i, h in enumerate(numbers) if h not in self.known]
-        raw = data.tobytes()
-        learned = self.tokenizer.learn([raw[starts[where[i]] : ends[where[i]]] for i in new])
-        for i, (ids, cuts) in zip(new, learned, strict=True):
-            self._add(numbers[i], ids, cuts)
-        entry = np.fromiter(map(self.known.__getitem__, numbers), np.int64, len(numbers))[back]
-        sizes = self.sizes[entry]
+        hashes = span_hashes(data, starts, ends)
+        order = np.argsort(hashes)
+        new = np.append(True, hashes[order][1:] != hashes[order][:-1])
+        first = order[new]
+        different = hashes[first]
+        at = np.minimum(np.searchsorted(self.known, different), max(len(self.known) - 1, 0))
+        missing = self.known[at] != different if len(self.known) else np.ones(len(different), bool)
+        if missing.any():
+            raw = data.tobytes()
+            self._learn(different[missing], [raw[i:j] for i, j in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True)])
+        entry = np.empty(len(starts), np.int64)
+        entry[order] = self.entry[np.searchsorted(self.known, different)][np.cumsum(new) - 1]
+        sizes = self.sizes[entry].astype(np.int64)
         last = np.cumsum(sizes)
-        at = np.repeat(self.begins[entry] - last + sizes, sizes) + np.arange(last[-1] if len(last) else 0)
+        at = np.repeat(self.begins[entry] - last + sizes, sizes) + np.arange(last[-1])
         text = np.searchsorted(offsets, starts, "right") - 1
         good = np.bincount(text, ~self.good[entry], minlength=len(offsets) - 1) == 0
-        return self.ids[at], self.ends[at] + np.repeat(starts, sizes), good
+        return self.ids[at].astype(np.int64), self.ends[at] + np.repeat(starts, sizes), good
 
 
 def _remembered(kind: type, path: str) -> Remembered:
@@ -197,9 +240,12 @@ def _remembered(kind: type, path: str) -> Remembered:
 
 def _decimals(ids: np.ndarray, after: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Each number in decimals with one byte behind it (0: none), end to end, and the length of each."""
-    width = len(str(int(ids.max(initial=0))))
-    shown = ids.astype(f"S{width}").view(np.uint8).reshape(len(ids), width)
-    cells = np.concatenate([shown, after[:, None]], axis=1)
+    most = int(ids.max(initial=0))
+    memo = process_memo()
+    if len(memo.get("decimals", ())) <= most:
+        shown = np.arange(most + 1).astype(f"S{len(str(most))}")
+        memo["decimals"] = shown.view(np.uint8).reshape(most + 1, -1)
+    cells = np.concatenate([memo["decimals"][ids], after[:, None]], axis=1)
     return cells[cells > 0].tobytes(), (cells > 0).sum(axis=1)
 
 
@@ -225,20 +271,25 @@ class Aligned:
             found = [t.encode(spaced, firsts) for t in (a, b)]
         self.firsts, self.filled = firsts, filled
         (self.ids_a, self.ends_a, _), (self.ids_b, self.ends_b, _) = found
-        self.text_a, self.text_b = (filled[np.searchsorted(firsts, ends, "left") - 1] for ends in (self.ends_a, self.ends_b))
-        self.common = self.ends_a[np.isin(self.ends_a, self.ends_b, assume_unique=True, kind="sort")]
+        text = np.repeat(filled, np.diff(firsts))  # of each byte
+        self.text_a, self.text_b = text[self.ends_a - 1], text[self.ends_b - 1]
+        in_a, in_b = (np.bincount(ends, minlength=len(spaced) + 1).astype(bool) for ends in (self.ends_a, self.ends_b))
+        self._either = np.flatnonzero(in_a | in_b)
+        self.common = np.flatnonzero(in_a & in_b)
+        self.text_of_group = text[self.common - 1]
+        # How many tokens and groups end before or at each byte.
+        self._a, self._b, self._groups = (np.cumsum(x) for x in (in_a, in_b, in_a & in_b))
 
     def counts(self) -> tuple[np.ndarray, ...]:
         """Per text: tokens of A, of B, groups, links."""
-        n_a, n_b = (np.bincount(t, minlength=self.count) for t in (self.text_a, self.text_b))
-        groups = np.bincount(self.filled[np.searchsorted(self.firsts, self.common, "left") - 1], minlength=self.count)
+        n_a, n_b, groups = (np.bincount(t, minlength=self.count) for t in (self.text_a, self.text_b, self.text_of_group))
         return n_a, n_b, groups, n_a + n_b - groups
 
     def written(self) -> list[str]:
         """Per text the SHA-256 of its groups, empty for a text without tokens."""
-        group_a, group_b = (np.searchsorted(self.common, e, "left") for e in (self.ends_a, self.ends_b))
-        place_a = np.arange(len(group_a)) + np.searchsorted(group_b, group_a, "left")
-        place_b = np.arange(len(group_b)) + np.searchsorted(group_a, group_b, "right")
+        group_a, group_b = (self._groups[e - 1] for e in (self.ends_a, self.ends_b))
+        place_a = np.arange(len(group_a)) + np.append(0, self._b[self.common])[group_a]
+        place_b = np.arange(len(group_b)) + np.append(0, self._a[self.common])[group_b + 1]
         total = len(group_a) + len(group_b)
         ids, after, text = np.zeros(total, np.int64), np.zeros(total, np.uint8), np.zeros(total, np.int64)
 
@@ -258,16 +309,16 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different linked id pairs of each text, as text, pair (A's id shifted by 32, plus B's) and how often."""
-        ends = np.union1d(self.ends_a, self.ends_b)  # each stretch between cuts is one link
-        at_a, at_b = np.searchsorted(self.ends_a, ends, "left"), np.searchsorted(self.ends_b, ends, "left")
-        pair = (self.ids_a[at_a] << 32) | self.ids_b[at_b]
-        text = self.text_a[at_a]
-        order = np.lexsort((pair, text))
-        pair, text = pair[order], text[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])
-        first = np.flatnonzero(new)
-        return text[first], pair[first], np.diff(np.append(first, len(pair)))
+        at = self._either - 1  # each stretch between cuts is one link
+        ids_a, ids_b, text = self.ids_a[self._a[at]], self.ids_b[self._b[at]], self.text_a[self._a[at]]
+        wide = int(ids_b.max(initial=0)) + 1
+        high = int(ids_a.max(initial=0)) + 1
+        if self.count * high * wide >= 1 << 63:
+            raise ValueError("vocabularies too large to write a text and two ids as one number")
+        key = np.sort((text * high + ids_a) * wide + ids_b)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        pair, text = key[first] % (high * wide), key[first] // (high * wide)
+        return text, (pair // wide << 32) | pair % wide, np.diff(np.append(first, len(key)))
 
 
 def _lists(text: np.ndarray, count: int, *values: pa.Array) -> list[pa.Array]:
@@ -293,7 +344,7 @@ def aligned(docs: DataFrame, vocabulary: str, model: str, with_spans: bool = Fal
         a, b = _remembered(ByteLevel, vocabulary), _remembered(SentencePiece, model)
         for batch in batches:
             data, offsets = text_buffer(batch.column(2))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, _TOGETHER):
                 found = Aligned(a, b, data, offsets[i : j + 1])
                 n = j - i
                 counts = [pa.array(c, pa.int64()) for c in found.counts()]
