@@ -185,28 +185,65 @@ class Remembered:
         self._clear()
 
     def _clear(self) -> None:
-        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes
-        self.sizes, self.begins, self.good = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
-        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int32)
-
-    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        parts = [self.tokenizer.learn(pieces[i : i + _AT_ONCE]) for i in range(0, len(pieces), _AT_ONCE)]
-        ids, counts, ends, good = (np.concatenate(p) for p in zip(*parts, strict=True))
-        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
-        self.entry = np.concatenate([self.entry, len(self.sizes) + np.arange(len(hashes))])
-        self.sizes, self.good = np.concatenate([self.sizes, counts.astype(np.int32)]), np.concatenate([self.good, good])
-        self.ids, self.ends = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.ends, ends.astype(np.int32)])
-        self.known = np.concatenate([self.known, hashes])
-        order = np.argsort(self.known, kind="stable")
-        self.known, self.entry = self.known[order], self.entry[order]
+        self.recent, self.known = (np.zeros(0, np.uint64),) * 2  # sorted hashes; recent ones are merged when they are many
+        self.recent_entry, self.entry = (np.zeros(0, np.int64),) * 2
+        self.count = self.used = 0
+        self.sizes, self.begins = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int64)
+        self.good, self.hits = np.zeros(1 << 12, bool), np.zeros(1 << 12, np.int32)
+        self.ids, self.ends = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+
+    @staticmethod
+    def _merged(hashes: np.ndarray, entries: np.ndarray, more: np.ndarray, more_entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, entries = np.concatenate([hashes, more]), np.concatenate([entries, more_entries])
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], entries[order]
+
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray, ends: np.ndarray, good: np.ndarray) -> None:
+        """Adds pieces by their sorted hashes."""
+        n, m = self.count + len(counts), self.used + len(ids)
+        while n > len(self.sizes):
+            self.sizes, self.begins, self.good, self.hits = (np.append(x, np.zeros_like(x)) for x in (self.sizes, self.begins, self.good, self.hits))
+        while m > len(self.ids):
+            self.ids, self.ends = (np.append(x, np.zeros_like(x)) for x in (self.ids, self.ends))
+        new, tokens = slice(self.count, n), slice(self.used, m)
+        self.sizes[new], self.good[new], self.hits[new] = counts, good, 0
+        self.begins[new] = self.used + np.cumsum(counts) - counts
+        self.ids[tokens], self.ends[tokens] = ids, ends
+        self.recent, self.recent_entry = self._merged(self.recent, self.recent_entry, hashes, np.arange(self.count, n))
+        if 8 * len(self.recent) > len(self.known):
+            self.known, self.entry = self._merged(self.known, self.entry, self.recent, self.recent_entry)
+            self.recent, self.recent_entry = self.recent[:0], self.recent_entry[:0]
+        self.count, self.used = n, m
+
+    def _forget(self) -> None:
+        """Keeps the pieces that were met more than once, if these are few enough."""
+        hashes, entries = self._merged(self.known, self.entry, self.recent, self.recent_entry)
+        keep = self.hits[entries] > 1
+        hashes, entries = hashes[keep], entries[keep]
+        sizes, begins, good = self.sizes[entries], self.begins[entries], self.good[entries]
+        last = np.cumsum(sizes, dtype=np.int64)
+        at = np.repeat(begins - last + sizes, sizes) + np.arange(last[-1] if len(last) else 0)
+        ids, ends = self.ids[at], self.ends[at]
+        self._clear()
+        if len(hashes) <= _REMEMBERED // 2 and len(ids) <= 4 * _REMEMBERED:
+            self._add(hashes, ids, sizes, ends, good)
+
+    def _look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """Entries of hashes, -1 for those that are new."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, entries in ((self.known, self.entry), (self.recent, self.recent_entry)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                out = np.where(known[at] == hashes, entries[at], out)
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all tokens of the texts that ``offsets`` cut from ``data``, where each ends, and
         for each text whether its tokens stand for its bytes."""
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.ones(len(offsets) - 1, bool)
-        if len(self.known) > _REMEMBERED or len(self.ids) > 8 * _REMEMBERED:
-            self._clear()
+        if self.count > _REMEMBERED or self.used > 8 * _REMEMBERED:
+            self._forget()
         starts = self.tokenizer.starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
@@ -214,13 +251,17 @@ class Remembered:
         new = np.append(True, hashes[order][1:] != hashes[order][:-1])
         first = order[new]
         different = hashes[first]
-        at = np.minimum(np.searchsorted(self.known, different), max(len(self.known) - 1, 0))
-        missing = self.known[at] != different if len(self.known) else np.ones(len(different), bool)
-        if missing.any():
+        found = self._look_up(different)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
             raw = data.tobytes()
-            self._learn(different[missing], [raw[i:j] for i, j in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True)])
+            pieces = [raw[i:j] for i, j in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True)]
+            parts = [self.tokenizer.learn(pieces[i : i + _AT_ONCE]) for i in range(0, len(pieces), _AT_ONCE)]
+            found[missing] = self.count + np.arange(len(missing))
+            self._add(different[missing], *(np.concatenate(p) for p in zip(*parts, strict=True)))
+        self.hits[found] += 1  # slices it was met in
         entry = np.empty(len(starts), np.int64)
-        entry[order] = self.entry[np.searchsorted(self.known, different)][np.cumsum(new) - 1]
+        entry[order] = found[np.cumsum(new) - 1]
         sizes = self.sizes[entry].astype(np.int64)
         last = np.cumsum(sizes)
         at = np.repeat(self.begins[entry] - last + sizes, sizes) + np.arange(last[-1])

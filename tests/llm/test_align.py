@@ -140,3 +140,20 @@ def test_rules_hold_only_for_files_that_promise_them(tmp_path):
 @pytest.mark.parametrize("texts", [[], [None], ["▁"]])
 def test_tables_without_tokens(spark, texts):
     assert run(spark, texts) == [(0,) * 6 + ("",)] * len(texts)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyhouse.llm.common import text_buffer
+
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abc é") for _ in range(4)) for _ in range(30)) for _ in range(60)]
+    expected = by_force(texts)
+    monkeypatch.setattr(align, "_REMEMBERED", 200)
+    a, b = align.Remembered(align.ByteLevel(A)), align.Remembered(align.SentencePiece(B))
+    for i in range(0, 60, 3):
+        found = align.Aligned(a, b, *text_buffer(pa.array(texts[i : i + 3])))
+        assert found.written() == [e[6] for e in expected[i : i + 3]]
+        assert np.array(found.counts()).T.tolist() == [list(e[:4]) for e in expected[i : i + 3]]
