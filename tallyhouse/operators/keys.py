@@ -13,39 +13,34 @@ def row_digest(columns: list[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
-def assign_keys(df: DataFrame, name: str, columns: list[str] | None = None, unique: bool = True) -> DataFrame:
-    """Dense keys 1..N in the order of a digest of the row.
+def first_keys(counted: DataFrame, columns: list[str], count: str) -> DataFrame:
+    """Adds ``_first``, the first of ``count`` keys for each row, dense from 1 in the order of a digest.
 
     The key of a row depends on the data only: not on partitioning, retries or the load before.
     Rows fall into buckets by the first digest digits; a key is the rows in lower buckets plus the
     position in the own bucket. Digests spread evenly, so buckets are even however the natural
     keys are distributed, and only the bucket sizes (at most 65,536 rows) meet in one place.
-
-    ``unique=False`` allows whole-row copies: they are counted before the shuffle and numbered
-    from the count, so a large group of copies never sorts in one task.
     """
-    columns = columns or df.columns
-    if unique:
-        counted = df.withColumn("_n", F.lit(1).cast("long"))
-    else:
-        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     marked = counted.withColumn("_d", row_digest(columns)).withColumn("_b", F.substring("_d", 1, _BUCKET_DIGITS))
 
     lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over bucket sizes only
     offsets = (
         marked.groupBy("_b")
-        .agg(F.sum("_n").alias("_size"))
+        .agg(F.sum(count).alias("_size"))
         .select("_b", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_offset"))
     )
     up_to_here = (
         Window.partitionBy("_b").orderBy("_d", *columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = marked.withColumn("_last", F.sum("_n").over(up_to_here)).join(F.broadcast(offsets), "_b")
-    first = F.col("_offset") + F.col("_last") - F.col("_n") + 1
-    if unique:
-        return placed.select(first.alias(name), *df.columns)
+    placed = marked.withColumn("_last", F.sum(count).over(up_to_here)).join(F.broadcast(offsets), "_b")
+    first = F.col("_offset") + F.col("_last") - F.col(count) + 1
+    return placed.select(first.alias("_first"), *counted.columns)
 
-    placed = placed.select(first.alias("_first"), "_n", *df.columns)
+
+def unrolled(runs: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """One row per key, from runs of ``_n`` keys from ``_first`` on. Long runs are cut into chunks,
+    which spread over the tasks."""
+    placed = runs.select("_first", "_n", *columns)
     few = placed.where(F.col("_n") <= _COPIES_PER_TASK).withColumn("_from", F.lit(0).cast("long"))
     chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_COPIES_PER_TASK).cast("long")))
     many = (
@@ -57,10 +52,24 @@ def assign_keys(df: DataFrame, name: str, columns: list[str] | None = None, uniq
     return (
         few.unionByName(many)
         .withColumn("_copy", F.explode(F.sequence(F.col("_from"), last_copy)))
-        .select((F.col("_first") + F.col("_copy")).alias(name), *df.columns)
+        .select((F.col("_first") + F.col("_copy")).alias(name), *columns)
     )
 
 
+def assign_keys(df: DataFrame, name: str, columns: list[str] | None = None, unique: bool = True) -> DataFrame:
+    """Dense keys 1..N in the order of a digest of the row (see ``first_keys``).
+
+    ``unique=False`` allows whole-row copies: they are counted before the shuffle and numbered
+    from the count, so a large group of copies never sorts in one task.
+    """
+    columns = columns or df.columns
+    if unique:
+        placed = first_keys(df.withColumn("_n", F.lit(1).cast("long")), columns, "_n")
+        return placed.select(F.col("_first").alias(name), *df.columns)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return unrolled(first_keys(counted, columns, "_n"), name, df.columns)
+
+
 def insert_identity(df: DataFrame, name: str) -> DataFrame:
     """Unique row ids given while the rows are written, without a shuffle. For facts, whose row
     ids nothing refers to; use ``assign_keys`` where a rebuild must give the same keys."""

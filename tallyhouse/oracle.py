@@ -574,6 +574,12 @@ def _statements() -> dict[str, str]:
         "surrogate_keys": f"SELECT {_key(['customer_id'])} AS customer_pk, customer_id FROM raw_customers",
         "surrogate_keys_with_copies": f"""SELECT {_key(["order_id", "order_item_id"])} AS line_pk, order_id, order_item_id
             FROM raw_order_items""",
+        "keys_after_new_members": f"""WITH told AS (SELECT customer_id, customer_id IN
+                (SELECT customer_id FROM raw_orders WHERE customer_id IS NOT NULL) IS TRUE AS old FROM raw_customers),
+            numbered AS (SELECT customer_id, old,
+                row_number() OVER (PARTITION BY old ORDER BY {_digest(["customer_id"])}, customer_id) AS place FROM told)
+            SELECT customer_id, CAST(place + CASE WHEN old THEN 0 ELSE (SELECT count(*) FROM told WHERE old) END AS BIGINT)
+                AS customer_pk FROM numbered""",
         "monthly_fact_keys": f"""SELECT {_key(["month_fk", "product_fk", "store_fk"])} AS revenue_fact_pk,
             month_fk, product_fk, store_fk FROM mart_monthly""",
         "unknown_members": " UNION ALL ".join(
@@ -674,6 +680,11 @@ def _statements() -> dict[str, str]:
             JOIN core_dim_store s ON m.store_fk = s.store_pk GROUP BY 1, 2""",
         "fulfilment_upsert": _UPSERTED,
         "fulfilment_stream": _UPSERTED,
+        "snapshot_after_merge": f"""WITH merged AS ({_UPSERTED}),
+            buyers AS (SELECT m.order_id, min(c.customer_pk) AS pk FROM milestones m
+                LEFT JOIN core_dim_customer c ON m.customer_id = c.customer_id GROUP BY 1)
+            SELECT merged.*, coalesce(buyers.pk, -1) AS customer_fk
+            FROM merged LEFT JOIN buyers ON merged.order_id IS NOT DISTINCT FROM buyers.order_id""",
     }
 
 

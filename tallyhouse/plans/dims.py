@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from tallyhouse.functions.clean import (
 from tallyhouse.operators.keys import assign_keys, with_unknown
 from tallyhouse.operators.skew import skew_join
 
+#: Gives the members a key column: (members, name, unique=...). ``assign_keys``, or ``KeyMap.keyed`` for keys that outlast loads.
+GiveKeys = Callable[..., DataFrame]
+
 MILESTONES = {
     "order_date": "order_purchase_timestamp",
     "approved_date": "order_approved_at",
@@ -93,7 +98,7 @@ def build_dim_date(bounds: DataFrame, holidays: DataFrame | None = None) -> Data
     )
 
 
-def build_dim_customer(customers: DataFrame) -> DataFrame:
+def build_dim_customer(customers: DataFrame, give_keys: GiveKeys = assign_keys) -> DataFrame:
     """Distinct customers with a clean city. Two spellings of one customer stay two members."""
     members = customers.select(
         "customer_id",
@@ -103,7 +108,7 @@ def build_dim_customer(customers: DataFrame) -> DataFrame:
         "customer_zip_code_prefix",
     ).distinct()
     return with_unknown(
-        assign_keys(members, "customer_pk"),
+        give_keys(members, "customer_pk"),
         {
             "customer_pk": UNKNOWN_KEY,
             "customer_id": "-1",
@@ -132,11 +137,13 @@ def translated_products(products: DataFrame, translation: DataFrame, mode: str =
     )
 
 
-def build_dim_product(products: DataFrame, translation: DataFrame, mode: str = "strict") -> DataFrame:
+def build_dim_product(
+    products: DataFrame, translation: DataFrame, mode: str = "strict", give_keys: GiveKeys = assign_keys
+) -> DataFrame:
     """Products are not de-duplicated: repeated ids are for the key checks to report."""
     members = translated_products(products, translation, mode)
     return with_unknown(
-        assign_keys(members, "product_pk", unique=False),
+        give_keys(members, "product_pk", unique=False),
         {
             "product_pk": UNKNOWN_KEY,
             "product_id": "-1",
@@ -146,7 +153,7 @@ def build_dim_product(products: DataFrame, translation: DataFrame, mode: str = "
     )
 
 
-def build_dim_store(sellers: DataFrame) -> DataFrame:
+def build_dim_store(sellers: DataFrame, give_keys: GiveKeys = assign_keys) -> DataFrame:
     members = sellers.select(
         "seller_id",
         clean_city("seller_city").alias("store_city"),
@@ -154,7 +161,7 @@ def build_dim_store(sellers: DataFrame) -> DataFrame:
         F.col("seller_zip_code_prefix").alias("store_zip_code_prefix"),
     ).distinct()
     return with_unknown(
-        assign_keys(members, "store_pk"),
+        give_keys(members, "store_pk"),
         {
             "store_pk": UNKNOWN_KEY,
             "seller_id": "-1",

@@ -15,7 +15,8 @@ from tallyhouse.functions.measures import COST_RATIO
 from tallyhouse.operators.keys import assign_keys
 from tallyhouse.operators.validate import broken_contract
 from tallyhouse.plans import dims, facts
-from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, publish, read_table, work_path
+from tallyhouse.sources.keymap import KeyMap
+from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, layers_root, publish, read_table, work_path
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 
@@ -24,7 +25,8 @@ class Warehouse:
     """Loads a table on first use. ``raw`` gives a raw table by name; ``prefix`` keeps several
     warehouses in one catalog apart; ``root`` is the folder of the layers, by default
     ``spark.sql.warehouse.dir``. The calendar covers the whole years of the data, or ``calendar`` (first and
-    last day)."""
+    last day). With ``keep_keys`` members keep their keys from load to load and new ones follow;
+    otherwise keys are dense in every load, and one new member moves the others'."""
 
     def __init__(
         self,
@@ -37,10 +39,12 @@ class Warehouse:
         channel: str = "Website",
         calendar: tuple[str, str] | None = None,
         holidays: DataFrame | None = None,
+        keep_keys: bool = False,
     ):
         self.spark, self.raw, self.prefix = spark, raw, prefix
         self.cost_ratio, self.channel, self.calendar, self.holidays = cost_ratio, channel, calendar, holidays
         self._resolved_orders: DataFrame | None = None
+        self._key_folder = f"{layers_root(spark, root)}/{prefix}keys" if keep_keys else None
         ensure_layers(spark, prefix, root)
 
     def staging(self, name: str) -> DataFrame:
@@ -103,15 +107,18 @@ class Warehouse:
         first, last = (F.lit(day).cast("date") for day in self.calendar)
         return self.spark.range(0, 1, 1, 1).select(first.alias("start"), last.alias("end"))
 
+    def _keys_of(self, name: str) -> dims.GiveKeys:
+        return KeyMap(self.spark, f"{self._key_folder}/{name}").keyed if self._key_folder else assign_keys
+
     def build(self, layer: str, name: str) -> DataFrame:
         """The plan of a core or mart table over published inputs; fact row ids come at load time."""
         builders: dict[tuple[str, str], Callable[[], DataFrame]] = {
             (CORE, "dim_date"): lambda: dims.build_dim_date(self._calendar_bounds(), self.holidays),
-            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self.staging("raw_customers")),
+            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self.staging("raw_customers"), self._keys_of(name)),
             (CORE, "dim_product"): lambda: dims.build_dim_product(
-                self.staging("raw_products"), self.staging("raw_product_category_translation")
+                self.staging("raw_products"), self.staging("raw_product_category_translation"), give_keys=self._keys_of(name)
             ),
-            (CORE, "dim_store"): lambda: dims.build_dim_store(self.staging("raw_sellers")),
+            (CORE, "dim_store"): lambda: dims.build_dim_store(self.staging("raw_sellers"), self._keys_of(name)),
             (CORE, "fact_sales"): lambda: facts.build_fact_sales(
                 self.staging("raw_order_items"),
                 self.resolved_orders(),

@@ -20,6 +20,7 @@ from tallyhouse.operators.keys import assign_keys, insert_if_absent
 from tallyhouse.plans import dims, extensions as ext, facts, reports
 from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 from tallyhouse.sources import raw as rawio
+from tallyhouse.sources.keymap import KeyMap
 from tallyhouse.sources.layers import database, layer_names, layer_tables, work_path
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, MART_CONTRACTS, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
@@ -548,6 +549,21 @@ def surrogate_keys_with_copies(w, t):
     return assign_keys(lines, "line_pk", unique=False)
 
 
+def _loaded_in_two(w: Warehouse, name: str) -> DataFrame:
+    """Customers as a first load with those that have ordered, and a second one with all."""
+    members = w.staging("raw_customers").select("customer_id")
+    buyers = w.staging("raw_orders").select("customer_id").distinct()
+    keys = KeyMap(w.spark, _scratch(w, name))
+    keys.keyed(members.join(buyers, "customer_id", "left_semi"), "customer_pk", unique=False)
+    return keys.keyed(members, "customer_pk", unique=False)
+
+
+@_query
+def keys_after_new_members(w, t):
+    """Old members keep their keys, new ones follow."""
+    return _loaded_in_two(w, "keys")
+
+
 @_query
 def monthly_fact_keys(w, t):
     """Keys of the monthly fact that a rebuild repeats."""
@@ -926,3 +942,12 @@ def fulfilment_stream(w, t):
         batch.write.mode("append").parquet(f"{folder}/orders")
         fulfilment.follow_orders(w.spark, f"{folder}/orders", f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
     return _snapshot_keys(fulfilment.read_state(w.spark, f"{folder}/state"))
+
+
+@_query
+def snapshot_after_merge(w, t):
+    """The snapshot that two merged batches leave, with the customers' keys."""
+    snapshot = fulfilment.FulfilmentSnapshot(w.spark, _scratch(w, "snapshot"))
+    for number, batch in enumerate(_progress(w)):
+        snapshot.merge(batch, w.core("dim_customer"), number)
+    return snapshot.read()

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.functions.clean import text_to_date
+from tallyhouse.functions.clean import UNKNOWN_KEY, text_to_date
 from tallyhouse.plans.dims import MILESTONES
+from tallyhouse.plans.facts import build_fulfilment, resolve_orders
+from tallyhouse.sources.merged import BUCKETS, MergedTable
 from tallyhouse.sources.schemas import RAW_SCHEMAS
 
 # How far each status is along the way. The last two end an order whatever came before.
@@ -103,3 +105,46 @@ def follow_orders(spark: SparkSession, source: str, state: str, checkpoint: str,
 def compact_state(spark: SparkSession, state: str, target: str) -> None:
     """Fold the batches kept so far into one folder at a new place, for a follower to go on from."""
     read_state(spark, state).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+
+
+def _latest_progress(reports: DataFrame) -> DataFrame:
+    """One row per order of resolved reports: earliest milestones, the furthest status, and the customer
+    of the latest report that knows one (of several the smallest key)."""
+    known = F.struct((F.col("customer_fk") != UNKNOWN_KEY).alias("k"), "reported", (-F.col("customer_fk")).alias("c"))
+    return reports.groupBy("order_id").agg(
+        (-F.max(known)["c"]).alias("customer_fk"),
+        *[F.min(name).alias(name) for name in MILESTONES],
+        F.max(F.struct(_rank(F.col("order_status")).alias("r"), F.col("order_status").alias("s")))["s"].alias("order_status"),
+        F.max("reported").alias("reported"),
+    )
+
+
+class FulfilmentSnapshot:
+    """The accumulating snapshot as a stored table that batches of raw orders are merged into. Only the
+    buckets of orders in a batch are written again."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.table = MergedTable(spark, path, "order_id", _latest_progress, buckets)
+
+    def merge(self, raw_orders: DataFrame, dim_customer: DataFrame, report: int) -> int:
+        """Merges a batch, numbered ``report`` in the order batches came in; repeating it changes nothing."""
+        resolved = resolve_orders(raw_orders, dim_customer)
+        return self.table.merge(resolved.withColumn("reported", F.lit(report).cast("long")))
+
+    def read(self) -> DataFrame:
+        """The snapshot: keys of customer and milestones, status and lags, one row per order."""
+        return build_fulfilment(self.table.read().drop("reported"))
+
+    def follow(self, source: str, dim_customer: DataFrame, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
+        """Streams raw order files (parquet) into the snapshot. A replayed batch merges once more, which
+        changes nothing."""
+        spark = dim_customer.sparkSession
+        return (
+            spark.readStream.schema(RAW_SCHEMAS["raw_orders"])
+            .option("maxFilesPerTrigger", files_per_batch)
+            .parquet(source)
+            .writeStream.foreachBatch(lambda batch, number: self.merge(batch, dim_customer, number) and None)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
