@@ -109,20 +109,64 @@ def fk_violations(fact: DataFrame, table: str, fk: str, dim: DataFrame, dim_tabl
     )
 
 
-def broken_contract(df: DataFrame, contract: Contract, unique_key: bool = True) -> list[str]:
-    """What a load must not publish: wrong types, NULLs and amounts out of range, in one scan, then
-    repeated keys (``unique_key=False`` where the writer makes them unique). Texts longer than
-    their column hold no wrong data; ``domain_violations`` reports them."""
+#: Of each foreign key: the table it refers to, that table's key, and its name in reports.
+Parents = dict[str, tuple[DataFrame, str, str]]
+
+
+def missing_members(fact: DataFrame, parents: Parents) -> DataFrame:
+    """Foreign keys without a member, for all foreign keys in one scan of the fact: column_name, key (as
+    text), rows. Rows are counted per key before the shuffle, so a key that half of the rows carry is one
+    row of it; NULLs refer to nothing."""
+    each = [F.struct(F.lit(fk).alias("column_name"), F.col(fk).cast("string").alias("key")) for fk in parents]
+    carried = fact.select(F.inline(F.array(*each))).where("key IS NOT NULL")
+    counted = carried.groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+    members = union_all([dim.select(F.lit(fk).alias("column_name"), F.col(pk).cast("string").alias("key")) for fk, (dim, pk, _) in parents.items()])
+    return counted.join(members, ["column_name", "key"], "left_anti")
+
+
+def fk_violations_of(fact: DataFrame, table: str, parents: Parents) -> DataFrame:
+    """Per foreign key the distinct keys without a member and the rows that carry them, as ``fk_violations``."""
+    missing = missing_members(fact, parents)
+    of = [F.col("column_name") == fk for fk in parents]
+    counts = missing.agg(
+        *[F.count_if(own).alias(f"k{i}") for i, own in enumerate(of)],
+        *[F.coalesce(F.sum(F.when(own, F.col("rows"))), F.lit(0)).alias(f"n{i}") for i, own in enumerate(of)],
+    )
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"), F.lit(fk).alias("column_name"), F.lit(label).alias("references"),
+            F.col(f"k{i}").alias("missing_keys"), F.col(f"n{i}").alias("rows"),
+        )
+        for i, (fk, (_, _, label)) in enumerate(parents.items())
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def broken_contract(
+    df: DataFrame, contract: Contract, unique_key: bool = True, parents: Parents | None = None, lengths: bool = False
+) -> list[str]:
+    """What a load must not publish: wrong types; NULLs and amounts out of range (with ``lengths`` also
+    texts longer than their column, which otherwise ``domain_violations`` reports), in one scan;
+    repeated keys (``unique_key=False`` where the writer makes them unique); and foreign keys that
+    ``parents`` has no member for, in one more scan."""
     wrong = contract_types(df, contract)
     if wrong:
         return wrong
     tests = [(f"NULL in {c}", F.col(c).isNull()) for c in contract.not_null]
     tests += [(f"{c} out of {t}", F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()) for c, t in contract.decimals.items()]
+    if lengths:
+        tests += [(f"{c} longer than {n}", F.length(c) > n) for c, n in contract.max_length.items()]
     found = df.agg(*[F.count_if(test).alias(f"c{i}") for i, (_, test) in enumerate(tests)]).first() if tests else ()
     wrong = [f"{n} rows with {what}" for n, (what, _) in zip(found, tests, strict=True) if n]
     if unique_key:
         repeated = df.groupBy(contract.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
         wrong += [f"{repeated} repeated keys in {contract.key}"] if repeated else []
+    if parents:
+        gaps = missing_members(df, parents).groupBy("column_name").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("keys"), F.min("key").alias("key"))
+        wrong += [
+            f"{g.n} rows whose {g.column_name} has no member in {parents[g.column_name][2]}: {g.key}" + (f" and {g['keys'] - 1} more" if g["keys"] > 1 else "")
+            for g in sorted(gaps.collect())  # a row per foreign key at most
+        ]
     return wrong
 
 

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import dates
 from tallyhouse.functions.measures import COST_RATIO
 from tallyhouse.operators.keys import assign_keys
-from tallyhouse.operators.validate import broken_contract
+from tallyhouse.operators.validate import Parents, broken_contract
 from tallyhouse.plans import dims, facts
 from tallyhouse.sources.keymap import KeyMap
 from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, layers_root, publish, read_table, work_path
-from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING
+from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING, Contract
 from tallyhouse.sources.testdata import TestTables
 
 
@@ -26,7 +26,8 @@ class Warehouse:
     warehouses in one catalog apart; ``root`` is the folder of the layers, by default
     ``spark.sql.warehouse.dir``. The calendar covers the whole years of the data, or ``calendar`` (first and
     last day). With ``keep_keys`` members keep their keys from load to load and new ones follow;
-    otherwise keys are dense in every load, and one new member moves the others'."""
+    otherwise keys are dense in every load, and one new member moves the others'. With
+    ``check_lengths`` a text longer than its column is declared refuses the load."""
 
     def __init__(
         self,
@@ -40,10 +41,12 @@ class Warehouse:
         calendar: tuple[str, str] | None = None,
         holidays: DataFrame | None = None,
         keep_keys: bool = False,
+        check_lengths: bool = False,
     ):
         self.spark, self.raw, self.prefix = spark, raw, prefix
         self.cost_ratio, self.channel, self.calendar, self.holidays = cost_ratio, channel, calendar, holidays
         self._resolved_orders: DataFrame | None = None
+        self._check_lengths = check_lengths
         self._key_folder = f"{layers_root(spark, root)}/{prefix}keys" if keep_keys else None
         ensure_layers(spark, prefix, root)
 
@@ -89,9 +92,19 @@ class Warehouse:
                 df = assign_keys(df, contract.key, list(contract.natural_key))
             else:
                 identity = contract.key
-        check = partial(broken_contract, contract=contract, unique_key=identity is None)
+        check = partial(
+            broken_contract, contract=contract, unique_key=identity is None, parents=self.parents(layer, contract), lengths=self._check_lengths
+        )
         return publish(df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check)
 
+    def parents(self, layer: str, contract: Contract) -> Parents:
+        """The published tables that a table's foreign keys refer to, in its own layer or else in core."""
+        found = {}
+        for fk, (dim, pk) in contract.foreign_keys.items():
+            home = layer if dim in CONTRACTS[layer] else CORE
+            found[fk] = (self._table(home, dim), pk, f"{home}.{dim}.{pk}")
+        return found
+
     def load_all(self, reload_staging: bool = False) -> None:
         """Every table, in the order of their dependencies; staging tables only where they are
         missing, or asked for."""

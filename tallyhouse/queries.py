@@ -781,13 +781,8 @@ def not_null_violations(w, t):
 
 @_query
 def fk_violations(w, t):
-    parts = []
-    for name, df, contract in _tables(w):
-        layer = name.split(".")[0]
-        for fk, (dim, pk) in contract.foreign_keys.items():
-            home = layer if dim in CONTRACTS[layer] else CORE
-            parent = (w.core if home == CORE else w.mart)(dim)
-            parts.append(val.fk_violations(df, name, fk, parent, f"{home}.{dim}", pk))
+    """All foreign keys of a table in one scan of it."""
+    parts = [val.fk_violations_of(df, name, w.parents(name.split(".")[0], contract)) for name, df, contract in _tables(w) if contract.foreign_keys]
     return prof.union_all(parts)
 
 

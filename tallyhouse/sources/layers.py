@@ -1,8 +1,10 @@
 """The three layers as databases, and loading tables into them.
 
-A published table is a folder per version below ``root``. A load writes a new version, has it
-checked, marks it as published, and only then points the table at it, so a load that fails leaves
-the old rows. The catalog is rebuilt from the folders where a session does not know them yet.
+A published table is a folder per version below ``root``, and a commit log that names the current
+one. A load writes a new version, has it checked, commits it, and only then points the catalog at
+it, so a load that fails leaves the old rows. Of two loads that began with the same version the second
+to commit is refused. The catalog is rebuilt from the logs where a session does not know a table yet,
+and readers go by the log while the catalog is between two versions.
 """
 
 from __future__ import annotations
@@ -11,15 +13,18 @@ import time
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import insert_identity
 from tallyhouse.session import work_root
+from tallyhouse.sources.commits import CommitLog
 from tallyhouse.sources.schemas import LAYERS, STAGING
 
-_PUBLISHED = "_PUBLISHED"
+_LOG = "_log"
 _KEPT_VERSIONS = 2  # the current one, and the one that running queries may still read
+_ABANDONED = 24 * 3600  # seconds after which a version that was never committed is that of a dead load
 
 
 class LoadRefused(ValueError):
@@ -50,9 +55,6 @@ class _Folder:
     def names(self) -> list[str]:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at)) if self.exists() else []
 
-    def touch(self) -> None:
-        self._fs.create(self._at).close()
-
     def delete(self) -> None:
         self._fs.delete(self._at, True)
 
@@ -86,9 +88,28 @@ def reset_layers(spark: SparkSession, prefix: str = "", *, confirm: bool = False
     ensure_layers(spark, prefix, root)
 
 
+def _log_of(spark: SparkSession, table: _Folder) -> CommitLog:
+    return CommitLog(spark, f"{table.path}/{_LOG}")
+
+
 def _published(table: _Folder) -> list[_Folder]:
-    """Versions that were marked, oldest first."""
-    return [v for v in map(table.below, table.names()) if v.below(_PUBLISHED).exists()]
+    """Committed versions that are there, oldest first."""
+    log = _log_of(table._spark, table)
+    return [v for v in (table.below(log.read(n)["version"]) for n in log.numbers()) if v.exists()]
+
+
+def _clean_up(table: _Folder, log: CommitLog) -> None:
+    """Deletes all but the last versions, and what loads that died have left."""
+    kept = log.numbers()[-_KEPT_VERSIONS:]
+    named = {log.read(n)["version"] for n in log.numbers()}
+    current = {log.read(n)["version"] for n in kept}
+    for name in table.names():
+        if not name.startswith("v-") or name in current:
+            continue
+        written = int(name.split("-")[1]) / 1e9
+        if name in named or time.time() - written > _ABANDONED:
+            table.below(name).delete()
+    log.forget_before(kept[0])
 
 
 def _create(spark: SparkSession, table: str, path: str, partition_by: str | None = None) -> None:
@@ -124,8 +145,19 @@ def layer_tables(spark: SparkSession, layer: str, prefix: str = "") -> DataFrame
     )
 
 
+def _table_folder(spark: SparkSession, layer: str, name: str, prefix: str) -> _Folder:
+    return _Folder(spark, spark.catalog.getDatabase(database(layer, prefix)).locationUri).below(name)
+
+
 def read_table(spark: SparkSession, layer: str, name: str, prefix: str = "") -> DataFrame:
-    return spark.table(f"`{database(layer, prefix)}`.`{name}`")
+    """The table's current version."""
+    try:
+        return spark.table(f"`{database(layer, prefix)}`.`{name}`")
+    except AnalysisException:
+        versions = _published(_table_folder(spark, layer, name, prefix))
+        if not versions:
+            raise
+        return spark.read.parquet(versions[-1].path)  # the catalog is being changed
 
 
 def has_table(spark: SparkSession, layer: str, name: str, prefix: str = "") -> bool:
@@ -154,7 +186,8 @@ def publish(
     identity: str | None = None,
     check: Callable[[DataFrame], list[str]] | None = None,
 ) -> DataFrame:
-    """Replace a table by a new version, then return it as read back.
+    """Replace a table by a new version, then return it as read back. Raises ``ConflictingWrite`` where
+    another load has committed since this one began; that one's rows stay.
 
     With ``partition_by`` the rows are rebalanced by that column first, so that each partition
     gets few, even files; AQE cuts a partition value that holds much of the data into several
@@ -169,7 +202,9 @@ def publish(
     exists = has_table(spark, layer, name, prefix)
     if layer == STAGING and not reload and exists:
         raise ValueError(f"staging table {name} is kept across reloads")
-    folder = _Folder(spark, spark.catalog.getDatabase(database(layer, prefix)).locationUri).below(name)
+    folder = _table_folder(spark, layer, name, prefix)
+    log = _log_of(spark, folder)
+    start = log.last()
     version = folder.below(f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
@@ -181,10 +216,10 @@ def publish(
         wrong = check(spark.read.parquet(version.path)) if check else []
         if wrong:
             raise LoadRefused(f"{layer}.{name}: " + "; ".join(wrong))
+        log.commit(start, {"version": version.path.rsplit("/", 1)[1]})
     except BaseException:
         version.delete()
         raise
-    version.below(_PUBLISHED).touch()
 
     base = f"`{database(layer, prefix)}`."
     table, coming, going = (f"{base}`{name}{end}`" for end in ("", "__next", "__last"))
@@ -196,6 +231,5 @@ def publish(
     spark.sql(f"ALTER TABLE {coming} RENAME TO {table}")
     if exists:
         spark.sql(f"DROP TABLE {going}")
-    for old in _published(folder)[:-_KEPT_VERSIONS]:
-        old.delete()
+    _clean_up(folder, log)
     return read_table(spark, layer, name, prefix)

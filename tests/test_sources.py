@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.profile import row_counts
 from tallyhouse.session import work_root
 from tallyhouse.sources import layers, raw
-from tallyhouse.sources.schemas import CONTRACTS, CORE, LAYERS, MART, RAW_SCHEMAS, STAGING
-from tallyhouse.operators.validate import broken_contract, contract_types
+from tallyhouse.sources.commits import ConflictingWrite
+from tallyhouse.sources.schemas import CONTRACTS, CORE, LAYERS, MART, RAW_SCHEMAS, STAGING, Contract
+from tallyhouse.operators.validate import broken_contract, contract_types, fk_violations_of, missing_members
 from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 
 
@@ -124,7 +126,7 @@ def test_tables_outlast_the_catalog_and_old_versions_go(spark, tmp_path):
     layers.ensure_layers(spark, prefix, root)
     for n in range(1, 5):
         layers.publish(spark.range(n).withColumn("m", F.lit(1)), CORE, "x", prefix, partition_by="m", identity="pk")
-    versions = layers._Folder(spark, f"{root}/{prefix}{CORE}/x").names()
+    versions = [n for n in layers._Folder(spark, f"{root}/{prefix}{CORE}/x").names() if n.startswith("v-")]
     assert len(versions) == 2
     spark.sql(f"DROP TABLE `{prefix}{CORE}`.x")
     layers.ensure_layers(spark, prefix, root)
@@ -141,6 +143,71 @@ def test_load_is_refused_when_it_breaks_the_contract(spark):
     assert "instead of" in broken_contract(good.withColumn("store_pk", F.lit(1)), contract)[0]
 
 
+def test_two_loads_from_one_version(spark, tmp_path):
+    """The second to commit is refused, and the table can be read all the time."""
+    prefix, root = "t8_", str(tmp_path / "two")
+    layers.ensure_layers(spark, prefix, root)
+    layers.publish(spark.range(1), CORE, "x", prefix)
+
+    def meanwhile(df):
+        layers.publish(spark.range(5), CORE, "x", prefix)
+        return []
+
+    with pytest.raises(ConflictingWrite):
+        layers.publish(spark.range(3), CORE, "x", prefix, check=meanwhile)
+    assert layers.read_table(spark, CORE, "x", prefix).count() == 5
+    folder = layers._Folder(spark, f"{root}/{prefix}{CORE}/x")
+    assert len([n for n in folder.names() if n.startswith("v-")]) == 2
+    spark.sql(f"DROP TABLE `{prefix}{CORE}`.`x`")  # as between two renames
+    assert layers.read_table(spark, CORE, "x", prefix).count() == 5
+    layers.ensure_layers(spark, prefix, root)
+    assert layers.has_table(spark, CORE, "x", prefix)
+
+
+def test_versions_of_dead_loads_go(spark, tmp_path, monkeypatch):
+    prefix, root = "t9_", str(tmp_path / "dead")
+    layers.ensure_layers(spark, prefix, root)
+    folder = layers._Folder(spark, f"{root}/{prefix}{CORE}/x")
+    spark.range(1).write.parquet(folder.below(f"v-{1:020d}-dead").path)
+    fresh = folder.below(f"v-{time.time_ns():020d}-busy")
+    spark.range(1).write.parquet(fresh.path)
+    layers.publish(spark.range(2), CORE, "x", prefix)
+    names = [n for n in folder.names() if n.startswith("v-")]
+    assert len(names) == 2 and fresh.path.endswith(tuple(names)) and not folder.below(f"v-{1:020d}-dead").exists()
+
+
+def test_foreign_keys_and_lengths_at_load(spark):
+    fact = spark.createDataFrame([(1, 10), (1, 11), (2, None), (7, 10), (7, 12), (8, 10)], "a_fk long, b_fk int")
+    a, b = spark.createDataFrame([(1,), (2,)], "a long"), spark.createDataFrame([(10,), (11,)], "b int")
+    parents = {"a_fk": (a, "a", "core.a.a"), "b_fk": (b, "b", "core.b.b")}
+    missing = sorted(tuple(r) for r in missing_members(fact, parents).collect())
+    assert missing == [("a_fk", "7", 2), ("a_fk", "8", 1), ("b_fk", "12", 1)]
+    plan = missing_members(fact, parents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("a_fk#") >= 1 and plan.count("LogicalRDD") == 3  # the fact once, each parent once
+    shown = sorted(tuple(r) for r in fk_violations_of(fact, "core.f", parents).collect())
+    assert shown == [("core.f", "a_fk", "core.a.a", 2, 3), ("core.f", "b_fk", "core.b.b", 1, 1)]
+    contract = Contract(columns={"a_fk": "bigint", "b_fk": "int"}, key="a_fk", foreign_keys={"a_fk": ("a", "a")})
+    wrong = broken_contract(fact, contract, unique_key=False, parents=parents)
+    assert wrong == ["3 rows whose a_fk has no member in core.a.a: 7 and 1 more", "1 rows whose b_fk has no member in core.b.b: 12"]
+    long_text = Contract(columns={"t": "string"}, key="t", max_length={"t": 2})
+    assert broken_contract(spark.createDataFrame([("ab",), ("abc",), (None,)], "t string"), long_text, lengths=True) == ["1 rows with t longer than 2"]
+
+
+def test_load_with_a_missing_member_is_refused(spark, tmp_path):
+    w = Warehouse(spark, lambda name: None, prefix="t10_", root=str(tmp_path / "fk"))
+    contract = CONTRACTS[CORE]["fact_sales"]
+    for dim, key in (("dim_date", "date_id"), ("dim_customer", "customer_pk"), ("dim_product", "product_pk"), ("dim_store", "store_pk")):
+        kind = CONTRACTS[CORE][dim].columns[key]
+        layers.publish(spark.createDataFrame([(1,)], f"{key} {kind}"), CORE, dim, "t10_")
+    parents = w.parents(CORE, contract)
+    assert {fk: label for fk, (_, _, label) in parents.items()}["store_fk"] == "core.dim_store.store_pk"
+    rows = spark.createDataFrame([(1, 1, 1, 5)], "date_fk int, customer_fk long, product_fk long, store_fk long")
+    small = Contract(columns=dict(rows.dtypes), key="date_fk", foreign_keys=contract.foreign_keys)
+    with pytest.raises(layers.LoadRefused, match="store_fk has no member in core.dim_store.store_pk: 5"):
+        layers.publish(rows, CORE, "fact_sales", "t10_", check=lambda df: broken_contract(df, small, parents=parents))
+    assert not layers.has_table(spark, CORE, "fact_sales", "t10_")
+
+
 def test_staging_is_reloaded_only_when_asked(spark):
     counts = {"n": 3}
     w = Warehouse(spark, lambda name: spark.range(counts["n"]), prefix="t7_", root=work_root(spark) + "/t7")
