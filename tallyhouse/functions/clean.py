@@ -45,8 +45,16 @@ def _typed(text: Column, value: Column, mode: str, what: str) -> Column:
 
 
 def text_to_decimal(c: str | Column, type_name: str = WIDE_DECIMAL, mode: str = "strict") -> Column:
+    """A decimal. The two wide types stand for numbers of any length, so text with more digits than they
+    keep is no value of theirs; a column's own type rounds, as a load into that column does."""
     text = blank_to_null(c)
-    return _typed(text, text.try_cast(type_name), mode, "number")
+    value = text.try_cast(type_name)
+    if type_name in (WIDE_DECIMAL, SIZE_DECIMAL):
+        scale = int(type_name.rstrip(")").split(",")[1])
+        lost = text.rlike(rf"\.\d{{{scale}}}\d*[1-9]") | F.coalesce(text.try_cast("decimal(38,18)") != value, F.lit(False))
+        value = F.when(~lost, value)
+        return _typed(text, value, mode, f"number of at most {scale} decimals")
+    return _typed(text, value, mode, "number")
 
 
 def text_to_int(c: str | Column, mode: str = "strict") -> Column:

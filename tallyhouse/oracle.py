@@ -568,6 +568,14 @@ def _statements() -> dict[str, str]:
                 ELSE 'loaded' END AS outcome, count(*) AS n,
             CAST(sum(CASE WHEN k % 131 <> 0 AND k % 137 <> 0 THEN CAST(wide AS DECIMAL(10,2)) END) AS DECIMAL(38,2)) AS price
             FROM (SELECT CAST(order_id AS BIGINT) AS k, wide FROM lines) GROUP BY 1""",
+        "order_rejects": """SELECT CASE WHEN coalesce(order_id, '') = '' THEN 'blank order_id'
+                WHEN CAST(order_id AS BIGINT) % 127 = 0 THEN 'bad order_date'
+                WHEN CAST(order_id AS BIGINT) % 131 = 0 THEN 'bad approved_date' ELSE 'loaded' END AS outcome, count(*) AS n
+            FROM raw_orders GROUP BY 1""",
+        "product_rejects": """SELECT CASE WHEN coalesce(product_id, '') = '' THEN 'blank product_id'
+                WHEN CAST(product_id AS BIGINT) % 13 = 0 THEN 'bad product_weight_g'
+                WHEN CAST(product_id AS BIGINT) % 17 = 0 THEN 'bad product_length_cm' ELSE 'loaded' END AS outcome, count(*) AS n
+            FROM raw_products GROUP BY 1""",
         "fulfilment_lags": "SELECT order_id, days_to_approve, days_to_ship, days_to_deliver FROM mart_snapshot",
         "month_start": """SELECT month_id, CAST(make_date(month_id // 100, month_id % 100, 1) AS VARCHAR) AS month_start_date
             FROM mart_dim_month""",
@@ -651,7 +659,8 @@ def _statements() -> dict[str, str]:
         "domain_violations": _domain_violations(),
         "channel_assignment": "SELECT order_id, channel FROM channels",
         "channel_by_payment": """SELECT order_id, CASE payment_type WHEN 'wallet' THEN 'App'
-            WHEN 'voucher' THEN 'Pop-up store' ELSE 'Website' END AS channel FROM raw_order_payments""",
+            WHEN 'voucher' THEN 'Pop-up store' WHEN 'card' THEN 'Website' WHEN 'transfer' THEN 'Website' ELSE 'Other' END AS channel
+            FROM raw_order_payments""",
         "mtd_revenue_by_channel": """SELECT channel, date_fk // 100 AS month_id, date_fk,
             CAST(revenue AS DECIMAL(38,2)) AS revenue,
             CAST(sum(revenue) OVER (PARTITION BY channel, date_fk // 100 ORDER BY date_fk) AS DECIMAL(38,2)) AS mtd_revenue

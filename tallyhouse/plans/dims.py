@@ -32,6 +32,9 @@ MILESTONES = {
 }
 
 
+SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
+
+
 def fixed_bounds(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
 
@@ -132,7 +135,7 @@ def translated_products(products: DataFrame, translation: DataFrame, mode: str =
         category_or_unknown("product_category_name_english").alias("product_category_name_english"),
         *[
             text_to_decimal(c, SIZE_DECIMAL, mode).alias(c)
-            for c in ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
+            for c in SIZES
         ],
     )
 

@@ -16,6 +16,8 @@ from tallyhouse.plans.reports import WIDE_MONEY
 CHANNEL_SHARES = {"Website": 50, "App": 30, "Pop-up store": 20}
 # Channel by payment type.
 CHANNEL_OF_PAYMENT = {"card": "Website", "transfer": "Website", "wallet": "App", "voucher": "Pop-up store"}
+#: Channel of orders whose payment type no list names.
+UNLISTED_CHANNEL = "Other"
 
 
 def assign_channel(df: DataFrame, shares: dict[str, int] | None = None) -> DataFrame:
@@ -37,12 +39,13 @@ def assign_channel(df: DataFrame, shares: dict[str, int] | None = None) -> DataF
 
 
 def channel_of_payments(payments: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Channel per order from the type of its first payment."""
+    """Channel per order from the type of its first payment; types that the mapping lacks have a
+    channel of their own."""
     mapping = mapping or CHANNEL_OF_PAYMENT
     first = payments.groupBy("order_id").agg(
         F.min_by("payment_type", F.struct(F.col("payment_sequential").cast("int"), F.col("payment_type"))).alias("payment_type")
     )
-    channel = F.lit("Website")
+    channel = F.lit(UNLISTED_CHANNEL)
     for payment_type, name in mapping.items():
         channel = F.when(F.col("payment_type") == payment_type, name).otherwise(channel)
     return first.select("order_id", channel.alias("channel"))

@@ -46,17 +46,21 @@ def line_measures(items: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity:
     )
 
 
-def split_rejects(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Quarantine mode: (lines that load, lines that would fail the load with the reason)."""
+def line_reject_reason() -> Column:
+    """Why an order line would fail the load, NULL where it loads."""
     price = text_to_decimal("price", mode="lenient")
     freight = text_to_decimal("freight_value", mode="lenient")
-    reason = (
+    return (
         F.when(blank_to_null("price").isNull(), "blank price")
         .when(price.isNull() | price.try_cast(MONEY).isNull(), "bad price")
         .when(blank_to_null("freight_value").isNotNull() & freight.try_cast(MONEY).isNull(), "bad freight value")
         .when(text_to_int("order_item_id", mode="lenient").isNull(), "bad order item")
     )
-    marked = items.withColumn("reject_reason", reason)
+
+
+def split_rejects(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Quarantine mode: (lines that load, lines that would fail the load with the reason)."""
+    marked = items.withColumn("reject_reason", line_reject_reason())
     good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.where(F.col("reject_reason").isNotNull())
 

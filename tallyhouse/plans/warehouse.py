@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 from functools import cache, partial
@@ -15,6 +16,7 @@ from tallyhouse.functions.measures import COST_RATIO
 from tallyhouse.operators.keys import assign_keys
 from tallyhouse.operators.validate import Parents, broken_contract
 from tallyhouse.plans import dims, facts
+from tallyhouse.plans.rejects import REASONS, Routed, route
 from tallyhouse.sources.keymap import KeyMap
 from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, layers_root, publish, read_table, work_path
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING, Contract
@@ -27,7 +29,8 @@ class Warehouse:
     ``spark.sql.warehouse.dir``. The calendar covers the whole years of the data, or ``calendar`` (first and
     last day). With ``keep_keys`` members keep their keys from load to load and new ones follow;
     otherwise keys are dense in every load, and one new member moves the others'. With
-    ``check_lengths`` a text longer than its column is declared refuses the load."""
+    ``check_lengths`` a text longer than its column is declared refuses the load. With ``quarantine`` orders,
+    products and lines that would fail a load are left out of it; ``routed`` has them with the reason."""
 
     def __init__(
         self,
@@ -42,11 +45,13 @@ class Warehouse:
         holidays: DataFrame | None = None,
         keep_keys: bool = False,
         check_lengths: bool = False,
+        quarantine: bool = False,
     ):
         self.spark, self.raw, self.prefix = spark, raw, prefix
         self.cost_ratio, self.channel, self.calendar, self.holidays = cost_ratio, channel, calendar, holidays
         self._resolved_orders: DataFrame | None = None
-        self._check_lengths = check_lengths
+        self._check_lengths, self._quarantine = check_lengths, quarantine
+        self._routed: dict[str, Routed] = {}
         self._key_folder = f"{layers_root(spark, root)}/{prefix}keys" if keep_keys else None
         ensure_layers(spark, prefix, root)
 
@@ -64,11 +69,22 @@ class Warehouse:
             return read_table(self.spark, layer, name, self.prefix)
         return self.load(layer, name)
 
+    def routed(self, name: str) -> Routed:
+        """A staging table's rows that load and its rejects, written once per load of the table."""
+        if name not in self._routed:
+            path = work_path(self.spark, f"routed-{name}-{uuid.uuid4().hex}")
+            self._routed[name] = route(self.spark, self.staging(name), REASONS[name](), path)
+        return self._routed[name]
+
+    def _input(self, name: str) -> DataFrame:
+        """A staging table as core is built from it."""
+        return self.routed(name).loaded if self._quarantine and name in REASONS else self.staging(name)
+
     def resolved_orders(self) -> DataFrame:
         """Orders as both facts need them, written once per load of orders and customers."""
         if self._resolved_orders is None:
             self._resolved_orders = cut_lineage(
-                facts.resolve_orders(self.staging("raw_orders"), self.core("dim_customer")), "resolved_orders"
+                facts.resolve_orders(self._input("raw_orders"), self.core("dim_customer")), "resolved_orders"
             )
         return self._resolved_orders
 
@@ -82,6 +98,7 @@ class Warehouse:
         if name in ("raw_orders", "dim_customer"):
             self._resolved_orders = None
         if layer == STAGING:
+            self._routed.pop(name, None)
             return publish(self.raw(name), layer, name, self.prefix)
         df, contract = self.build(layer, name), CONTRACTS[layer][name]
         if layer == CORE and name == "fact_sales":
@@ -116,7 +133,7 @@ class Warehouse:
 
     def _calendar_bounds(self) -> DataFrame:
         if self.calendar is None:
-            return dims.data_bounds(self.staging("raw_orders"))
+            return dims.data_bounds(self._input("raw_orders"))
         first, last = (F.lit(day).cast("date") for day in self.calendar)
         return self.spark.range(0, 1, 1, 1).select(first.alias("start"), last.alias("end"))
 
@@ -127,13 +144,13 @@ class Warehouse:
         """The plan of a core or mart table over published inputs; fact row ids come at load time."""
         builders: dict[tuple[str, str], Callable[[], DataFrame]] = {
             (CORE, "dim_date"): lambda: dims.build_dim_date(self._calendar_bounds(), self.holidays),
-            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self.staging("raw_customers"), self._keys_of(name)),
+            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self._input("raw_customers"), self._keys_of(name)),
             (CORE, "dim_product"): lambda: dims.build_dim_product(
-                self.staging("raw_products"), self.staging("raw_product_category_translation"), give_keys=self._keys_of(name)
+                self._input("raw_products"), self._input("raw_product_category_translation"), give_keys=self._keys_of(name)
             ),
-            (CORE, "dim_store"): lambda: dims.build_dim_store(self.staging("raw_sellers"), self._keys_of(name)),
+            (CORE, "dim_store"): lambda: dims.build_dim_store(self._input("raw_sellers"), self._keys_of(name)),
             (CORE, "fact_sales"): lambda: facts.build_fact_sales(
-                self.staging("raw_order_items"),
+                self._input("raw_order_items"),
                 self.resolved_orders(),
                 self.core("dim_product"),
                 self.core("dim_store"),

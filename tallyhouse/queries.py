@@ -17,7 +17,7 @@ from tallyhouse.functions import clean, dates
 from tallyhouse.operators import profile as prof
 from tallyhouse.operators import validate as val
 from tallyhouse.operators.keys import assign_keys, insert_if_absent
-from tallyhouse.plans import dims, extensions as ext, facts, reports
+from tallyhouse.plans import dims, extensions as ext, facts, rejects, reports
 from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 from tallyhouse.sources import raw as rawio
 from tallyhouse.sources.keymap import KeyMap
@@ -510,18 +510,38 @@ def price_rejects(w, t):
         "price",
         F.when(order % 131 == 0, "").when(order % 137 == 0, F.concat(F.lit("R$"), "price")).otherwise(F.col("price")),
     )
-    good, rejects = facts.split_rejects(spoiled)
+    good, bad = facts.split_rejects(spoiled)
     loaded = facts.line_measures(good).agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(38,2)").alias("price"))
     return (
         loaded.select(F.lit("loaded").alias("outcome"), "n", "price")
         .unionByName(
-            rejects.groupBy(F.col("reject_reason").alias("outcome")).agg(
+            bad.groupBy(F.col("reject_reason").alias("outcome")).agg(
                 F.count(F.lit(1)).alias("n"), F.lit(None).cast("decimal(38,2)").alias("price")
             )
         )
     )
 
 
+def _routed(w: Warehouse, name: str, key: str, spoil: dict[str, tuple[int, str]]) -> DataFrame:
+    """Outcomes of a raw table of which some rows are spoiled by a rule on the key."""
+    number = F.col(key).try_cast("long")
+    spoiled = w.staging(name).withColumns({c: F.when(number % n == 0, bad).otherwise(F.col(c)) for c, (n, bad) in spoil.items()})
+    return rejects.outcomes(rejects.route(w.spark, spoiled, rejects.REASONS[name](), _scratch(w, "routed")))
+
+
+@_query
+def order_rejects(w, t):
+    """A day that no calendar has, and text behind a date."""
+    bad = {"order_purchase_timestamp": (127, "2017-02-30 10:00:00"), "order_approved_at": (131, "2017-02-03 x")}
+    return _routed(w, "raw_orders", "order_id", bad)
+
+
+@_query
+def product_rejects(w, t):
+    """A weight that is no number, and a length of more digits than are kept."""
+    return _routed(w, "raw_products", "product_id", {"product_weight_g": (13, "heavy"), "product_length_cm": (17, "1.23456")})
+
+
 @_query
 def fulfilment_lags(w, t):
     resolved = facts.resolve_orders(w.staging("raw_orders"), w.core("dim_customer"))
