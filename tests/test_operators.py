@@ -363,7 +363,7 @@ def test_channel_of_first_payment(spark):
             {"order_id": "q", "payment_sequential": "1", "payment_type": "other"},
         ],
     )
-    assert {r["order_id"]: r["channel"] for r in extensions.channel_of_payments(payments).collect()} == {"o": "App", "q": "Website"}
+    assert {r["order_id"]: r["channel"] for r in extensions.channel_of_payments(payments).collect()} == {"o": "App", "q": "Other"}
 
 
 # --- fulfilment upkeep -------------------------------------------------------------------------
