@@ -1,16 +1,20 @@
-"""Fuzzy line dedup: pigeonhole groups of words, SimHash, edit similarity, one per group.
+"""Fuzzy line dedup: pigeonhole blocks of words, SimHash, edit similarity, one per group.
 
 A line is normalised to its words in lower case, without ASCII punctuation and digits. Lines of
 fewer than ``MIN_WORDS`` words are no passages and always stay. Lines of equal words are merged
-before anything else.
+before any are compared.
 
-The words of each other line are dealt into groups by their hashes. An edit touches two groups at
-most, so of more groups than that some agree, and near lines meet in a bucket for these
-(``group_keys``). Those that meet are candidates when at most ``DISTANCE`` bits of their 64-bit
-SimHashes over words differ. A tenth of the words changed turns about 9 bits, so this spares edit
-distances of unlike lines but is no rule of its own.
-Candidates are linked when at most a tenth of the longer one's words are changed, added or left out. Of each
-connected group the line that is stored first stays.
+Lines are linked when at most a tenth of the longer one's words are changed, added or left out. Lines
+of five to nine words are linked when one word differs and at most a tenth of the characters. Near
+lines meet in a bucket (``block_keys``): of k + 1 blocks of a line that k edits cannot all touch one
+is equal in both, and short lines share all words but one. Lines of 36 words and more have keys of a
+sample of their shingles instead, as so many blocks with so many shifts would be too many. Those that
+meet are candidates when at most ``DISTANCE`` bits of their 64-bit SimHashes over words differ. A tenth of the
+words changed turns about 9 bits, so this spares edit distances of unlike lines but is no rule of its
+own. Of each connected group the line that is stored first stays.
+
+Null text stays null, an empty text has one line of no words, equal lines and repeated rows are ties
+that the stored order breaks, an empty table gives an empty one, and columns of ``docs`` may have any names.
 
 Only DataFrame functions are used.
 """
@@ -18,25 +22,27 @@ Only DataFrame functions are used.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import combinations
-from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import FEW, cut_lineage, free_name, numbered
-from tallyhouse.llm.linking import link
+from tallyhouse.llm.linking import link, shared
 
 MIN_WORDS = 5
 #: SimHash bits that may differ; edits of a tenth of the words turn 9 of 64 on average, seldom 20 (see README).
 DISTANCE = 20
 #: Edited words allowed per word of the longer line, as a fraction.
 EDITS = (1, 10)
-#: Lines of up to 39 words: edits to expect, groups of words, and how many of them make a key.
-SHORT = ((1, 5, 3), (2, 6, 2), (3, 8, 2))
-#: Words that a key must hold at least; fewer are shared by too many unlike lines.
-KEY_WORDS = 3
-_RANGE = 1 << 62  # of the hashes that deal words into groups
+#: Lines of fewer words may differ in one word, by that fraction of the characters.
+WHOLE_WORDS = 10
+#: Edits to expect of the longest lines that are cut into blocks; more words are sampled.
+MOST_EDITS = 3
+#: Of longer lines the shingles that begin with the words of smallest hashes are keys: how many, of how many
+#: words, and how few words the last of a line may have. Of pairs at the edit limit 1 in 2,000 shares none.
+SAMPLED, SHINGLE, LEAST_SHINGLE = 12, 6, 4
+#: Members of an open bucket that one task compares with as many others.
+BLOCK = 2000
 _COUNTERS = (8, 16, 32)  # bits of a counter; lines of under half its range in words use it
 
 
@@ -101,96 +107,113 @@ def with_simhash(df: DataFrame, words: Column) -> DataFrame:
     return counted.withColumn("sim", sim).drop("_n", "_s")
 
 
-def _length_class(n: Column) -> Column:
-    """Lengths in words by tens, from 100 on in steps of a quarter."""
-    return F.when(n < 100, F.floor(n / 10)).otherwise(10 + F.floor(F.log(n / 100) / F.log(F.lit(1.25)) + 1e-9)).cast("int")
-
-
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _dealt(hashes: Column, low: Column, step: Column, count: Column) -> Column:
-    """A sorted array in ``count`` parts, each of the values within ``step`` from the last one's end.
-    Marks are sorted in and looked up, as lambdas over the values would take many times as long."""
+def _block_starts(n: Column, m: Column, edits: int) -> list[tuple[int, Column]]:
+    """Number and start of the blocks of ``m`` words in which two lines may agree after ``edits`` edits.
 
-    def mark(i: Column) -> Column:
-        return low + i * step
+    Of blocks 0 to ``edits`` of the shorter line one, i, is untouched with exactly i edits before it
+    (the first at which the edits so far fall behind the blocks so far), so at most ``edits`` - i
+    follow. It lies at most i words from its place in the one line, counted from the front, or
+    ``edits`` - i words, counted from the back.
+    """
+    starts = []
+    for i in range(edits + 1):
+        after = edits - i
+        at = i * m if i <= after else n - (after + 1) * m
+        starts += [(i, at + shift) for shift in range(-min(i, after), min(i, after) + 1)]
+    return starts
 
-    def cut(marked: Column) -> Column:
-        def part(i: Column) -> Column:
-            at = F.call_function("array_position", marked, mark(i)).cast("int")
-            end = F.call_function("array_position", marked, mark(i + 1)).cast("int")
-            return F.slice(marked, at + 1, end - at - 1)
 
-        return F.transform(F.sequence(F.lit(0).cast("long"), count - 1), part)
+def block_keys(words: Column) -> Column:
+    """Bucket keys of a line: an array that two lines share an entry of when the rule may link them.
 
-    marks = F.transform(F.sequence(F.lit(0).cast("long"), count), mark)
-    return _bound(F.sort_array(F.concat(hashes, marks)), cut)
+    The longer line says how many words may be edited, so a line has keys for its own number of
+    edits and for that of the longest line it may be linked with. Blocks are as long as the shorter
+    line allows; the longer one has those of each length that the shorter may have.
+    """
+    n = F.size(words)
+    none = F.array().cast("array<bigint>")
 
+    def key(kind: int, i: int, start: Column, m: Column) -> Column:
+        inside = (start >= 0) & (start + m <= n)
+        return F.when(inside, F.xxhash64(F.lit(kind), F.lit(i), F.slice(words, F.greatest(start, F.lit(0)) + 1, m)))
 
-def _deals() -> Column:
-    """Of each class how its words are dealt: chunks, groups of a chunk, and their ranges of hashes."""
-    rows = []
-    for c in range(100):
-        groups = 2 * (max(c, 1) if c < 10 else ceil(10 * 1.25 ** (c - 9))) + 1
-        wide = isqrt(groups)
-        fine = -(-groups // wide)
-        step = _RANGE // wide + 1
-        rows.append(F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(("wide", "fine", "step", "inner"), (wide, fine, step, step // fine + 1), strict=True)]))
-    return F.array(*rows)
+    def blocks(edits: int) -> Column:
+        own = F.floor(n / (edits + 1)).cast("int")
+        other = F.floor((n - edits) / (edits + 1)).cast("int")
+        as_either = F.array(*[key(edits, i, at, own) for i, at in _block_starts(n, own, edits)])
+        as_longer = F.array(*[key(edits, i, at, other) for i, at in _block_starts(n, other, edits)])
+        both = F.when((n >= 10 * edits) & (own != other), F.concat(as_either, as_longer)).otherwise(as_either)
+        return F.when((F.floor(n * 10 / 9) >= 10 * edits) & (n < 10 * (edits + 1)), both).otherwise(none)
 
+    def all_but(i: int) -> Column:
+        rest = F.xxhash64(F.lit(0), F.lit(i), F.slice(words, 1, i), F.slice(words, F.lit(i + 2), F.greatest(n - i - 1, F.lit(0))))
+        return F.when(n > i, rest)
 
-def group_keys(hashes: Column) -> Column:
-    """Bucket keys of a line by its words' hashes: an array that two lines share an entry of when an
-    edit of at most a tenth of the longer one's words parts them.
+    def sampled(hashes: Column) -> Column:
+        def place(h: Column) -> Column:
+            return (F.call_function("array_position", hashes, h) - 1).cast("int")
 
-    The longer line's class says how many words may be edited, k, so a line has the keys of all
-    classes up to that of the longest line it may be linked with. With 2k + 1 groups at least one
-    is the same in both lines; short lines have more groups, of which several make a key. Only
-    groups of less than ``KEY_WORDS`` words are left out.
-    """
-    n = F.size(hashes)
-    classes = F.sequence(_length_class(n), _length_class(F.floor(n * 10 / 9)))
-    zero = F.lit(0).cast("long")
+        def shingle(at: Column) -> Column:  # a slice within a lambda would read the whole array
+            some = [F.get(hashes, at + i) for i in range(SHINGLE)]
+            return F.when(some[LEAST_SHINGLE - 1].isNotNull(), F.xxhash64(F.lit(MOST_EDITS + 1), *some))
+
+        return F.transform(F.transform(F.slice(F.sort_array(F.array_distinct(hashes)), 1, SAMPLED), place), shingle)
 
-    def long_line(c: Column, own: Column) -> Column:
-        def keys(chunk: Column, i: Column, deal: Column) -> Column:
-            some = _dealt(chunk, i * deal["step"], deal["inner"], deal["fine"])
-            return F.transform(some, lambda g, j: F.when(F.size(g) >= KEY_WORDS, F.xxhash64(c, i, j, g)))
+    short = F.when(n < WHOLE_WORDS, F.array(*[all_but(i) for i in range(WHOLE_WORDS - 1)])).otherwise(none)
+    cut = F.when(n < 10 * (MOST_EDITS + 1), F.concat(short, *[blocks(k) for k in range(1, MOST_EDITS + 1)])).otherwise(none)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    long = F.when(F.floor(n * 10 / 9) >= 10 * (MOST_EDITS + 1), _bound(hashes, sampled)).otherwise(none)
+    return F.array_distinct(F.array_compact(F.concat(cut, long)))
 
-        def dealt(deal: Column) -> Column:
-            return F.flatten(F.transform(_dealt(own, zero, deal["step"], deal["wide"]), lambda chunk, i: keys(chunk, i, deal)))
 
-        return _bound(F.get(_deals(), c), dealt)
+def _near(a: str, b: str) -> Column:
+    """Whether two lines' lengths and hashes allow a link."""
+    short = F.expr(f"{a}.n = {b}.n and {a}.n < {WHOLE_WORDS}")
+    bits = F.expr(f"bit_count({a}.sim ^ {b}.sim) <= {DISTANCE}")
+    return short | bits & F.expr(f"{EDITS[1]} * abs({a}.n - {b}.n) <= {EDITS[0]} * greatest({a}.n, {b}.n)")
 
-    def short_line(c: Column, own: Column, groups: int, together: int) -> Column:
-        def keys(parts: Column) -> Column:
-            out = []
-            for chosen in combinations(range(groups), together):
-                some = [F.get(parts, F.lit(g)) for g in chosen]
-                held = sum((F.size(x) for x in some[1:]), F.size(some[0]))
-                out.append(F.when(held >= KEY_WORDS, F.xxhash64(c, F.lit(len(out)), *some)))
-            return F.array(*out)
 
-        return _bound(_dealt(own, zero, F.lit(_RANGE // groups + 1).cast("long"), F.lit(groups).cast("long")), keys)
+def _linked(a: str, b: str) -> Column:
+    """Whether two lines are linked, by their words or, of few words, by their characters."""
 
-    def of_class(c: Column, own: Column) -> Column:
-        out = F.when(c == 0, F.array().cast("array<bigint>"))
-        for edits, groups, together in SHORT:
-            out = out.when(c == edits, short_line(c, own, groups, together))
-        return out.otherwise(long_line(c, own))
+    def within(column: str) -> str:
+        x, y = f"{a}.{column}", f"{b}.{column}"
+        return f"levenshtein({x}, {y}, cast(floor(greatest(length({x}), length({y})) * {EDITS[0]} / {EDITS[1]}) as int)) >= 0"
 
-    spread = F.sort_array(F.transform(hashes, lambda h: F.shiftrightunsigned(h, 2)))
-    return F.array_compact(_bound(spread, lambda own: F.flatten(F.transform(classes, lambda c: of_class(c, own)))))
+    one_word = f"levenshtein({a}.line, {b}.line, 1) >= 0"
+    short = f"{a}.n = {b}.n and {a}.n < {WHOLE_WORDS}"
+    return F.expr(f"case when {short} then {one_word} and {within('chars')} else {within('line')} end")
 
 
-def _near(a: str, b: str) -> Column:
-    """Whether two lines' hashes and lengths allow a link."""
-    return F.expr(f"bit_count({a}.sim ^ {b}.sim) <= {DISTANCE}") & F.expr(
-        f"{EDITS[1]} * abs({a}.n - {b}.n) <= {EDITS[0]} * greatest({a}.n, {b}.n)"
+def _met_in_blocks(still: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of near members of open buckets (key, id, comp) that are of different groups.
+
+    The members outside a bucket's largest group are compared with all members, block by block, so
+    that no task gets a whole bucket.
+    """
+    groups = still.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"))
+    blocks = sizes.select(
+        "key",
+        F.col("main.comp").alias("main"),
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("of_all"),
+        F.ceil((F.col("all") - F.col("main.n") + 1) / BLOCK).cast("int").alias("of_few"),
     )
+    placed = cut_lineage(still.join(blocks, "key").join(facts.select("id", "sim", "n"), "id"), "placed")
+    few = F.pmod(F.xxhash64("id"), F.col("of_few")).cast("int")
+    every = F.pmod(F.xxhash64("id"), F.col("of_all")).cast("int")
+    columns = ["key", "id", "comp", "main", "sim", "n"]
+    x = placed.where("comp != main").select(*columns, few.alias("i"), F.explode(F.sequence(F.lit(0), F.col("of_all") - 1)).alias("j")).alias("x")
+    y = placed.select(*columns, F.explode(F.sequence(F.lit(0), F.col("of_few") - 1)).alias("i"), every.alias("j")).alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
+    once = F.expr("x.comp != y.comp and (y.comp = y.main or x.id < y.id)")
+    met = x.join(y, [*same, once, _near("x", "y")])
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def _few_places(places: DataFrame) -> DataFrame:
@@ -208,58 +231,47 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     stored, row = numbered(docs, "documents")
     each_line = F.split(F.lower("text"), "\n", -1)
     lines = (
-        stored.select(F.col(row).alias("row"), F.posexplode(F.transform(each_line, words_of)).alias("pos", "words"))
+        stored.select(F.col(row).alias("row"), F.posexplode(each_line).alias("pos", "line"))
+        .select("row", "pos", _once(words_of(F.col("line"))).alias("words"))
         .where(F.size("words") >= MIN_WORDS)
         .select(
             "row",
             "pos",
-            "words",
             F.xxhash64("words").alias("h1"),
             F.xxhash64(F.lit(1), "words").alias("h2"),
-            F.size("words").alias("n"),
-            group_keys(F.transform("words", lambda w: F.xxhash64(w))).alias("keys"),
+            block_keys(F.col("words")).alias("keys"),
+            F.monotonically_increasing_id().alias("line_id"),
         )
     )
-    lines = with_simhash(lines, F.col("words")).drop("words").withColumn("line_id", F.monotonically_increasing_id())
     lines = cut_lineage(lines, "lines")
-    unique = cut_lineage(
-        lines.groupBy("h1", "h2", "sim", "n").agg(F.min("line_id").alias("id"), F.count(F.lit(1)).alias("copies")), "unique"
-    )
+    unique = cut_lineage(lines.groupBy("h1", "h2").agg(F.min("line_id").alias("id"), F.count(F.lit(1)).alias("copies")), "unique")
     first = unique.select(F.col("id").alias("line_id")).hint("shuffle_hash")
     members = lines.select("line_id", "keys").join(first, "line_id", "left_semi").select(F.explode("keys").alias("key"), F.col("line_id").alias("id"))
-    facts = unique.select("id", "sim", "n")
+    members = cut_lineage(shared(members), "members")
 
-    def beside(pairs: DataFrame) -> DataFrame:
-        """Pairs whose hashes and lengths are near."""
-        with_a = pairs.join(facts.select(F.col("id").alias("a"), F.struct("sim", "n").alias("fa")), "a")
-        both = with_a.join(facts.select(F.col("id").alias("b"), F.struct("sim", "n").alias("fb")), "b")
-        return both.where(_near("fa", "fb")).select("a", "b")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = cut_lineage(pairs, "pairs")
-        if pairs.isEmpty():
-            return pairs
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
-        places = lines.join(wanted, "line_id", "left_semi").groupBy("row").agg(F.collect_list(F.struct("line_id", "pos")).alias("places"))
-        texts = (
+    def facts_of(ids: DataFrame) -> DataFrame:
+        """Words, characters, SimHash and number of words of the lines that share a bucket, in one scan."""
+        places = lines.select("row", "pos", "line_id").join(ids, "line_id", "left_semi")
+        places = cut_lineage(places.groupBy("row").agg(F.collect_list(F.struct("line_id", "pos")).alias("places")), "places")
+        found = (
             stored.select(F.col(row).alias("row"), "text")
-            .join(_few_places(cut_lineage(places, "places")), "row")
+            .join(_few_places(places), "row")
             .select(each_line.alias("all"), F.explode("places").alias("p"))
-            .select(F.col("p.line_id").alias("id"), _spelled(words_of(F.get("all", F.col("p.pos")))).alias("line"))
+            .select(F.col("p.line_id").alias("id"), _once(words_of(F.get("all", F.col("p.pos")))).alias("words"))
         )
-        texts = cut_lineage(texts, "texts")
-        of_a = texts.select(F.col("id").alias("a"), F.col("line").alias("x")).hint("merge")
-        of_b = texts.select(F.col("id").alias("b"), F.col("line").alias("y")).hint("merge")
-        allowed = F.floor(F.greatest(F.length("x"), F.length("y")) * EDITS[0] / EDITS[1]).cast("int")
-        both = pairs.join(of_a, "a").join(of_b, "b").withColumn("allowed", allowed)
-        return both.where("levenshtein(x, y, allowed) >= 0").select("a", "b")
-
-    def rest(still: DataFrame) -> DataFrame:
-        some = still.join(facts, "id")
-        met = some.alias("x").join(some.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _near("x", "y"))
-        return confirmed(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-
-    labels = link(members, lambda pairs: confirmed(beside(pairs)), rest)
+        n = F.size("words")
+        chars = F.when(n < WHOLE_WORDS, F.array_join("words", " "))
+        return with_simhash(found, F.col("words")).select("id", n.alias("n"), "sim", _spelled(F.col("words")).alias("line"), chars.alias("chars"))
+
+    facts = cut_lineage(facts_of(members.select(F.col("id").alias("line_id")).distinct()), "facts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        fact = F.struct("sim", "n", "line", "chars")
+        with_a = pairs.join(facts.select(F.col("id").alias("a"), fact.alias("x")), "a")
+        both = with_a.join(facts.select(F.col("id").alias("b"), fact.alias("y")), "b")
+        return both.where(_near("x", "y")).where(_linked("x", "y")).select("a", "b")
+
+    labels = link(members, confirmed, lambda still: confirmed(_met_in_blocks(still, facts)))
     groups = unique.join(labels, "id", "left").withColumn("keeper", F.coalesce("comp", "id"))
     groups = groups.where((F.col("copies") > 1) | (F.col("keeper") != F.col("id"))).select("h1", "h2", "keeper")
     dropped = (
@@ -271,9 +283,10 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     )
     gone, count, total = free_name(docs, "_gone"), free_name(docs, "lines_dropped"), free_name(docs, "n_lines")
     joined = stored.join(dropped.withColumnRenamed("_gone", gone).hint("shuffle_hash"), row, "left")
-    split = F.split("text", "\n", -1)
+    split = free_name(joined, "_split")
+    joined = joined.withColumn(split, _once(F.split("text", "\n", -1)))
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n"))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col(split), i)), "\n"))
     return joined.select(
         *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.coalesce(F.size(F.col(gone)), F.lit(0)).alias(count),

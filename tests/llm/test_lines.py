@@ -43,7 +43,12 @@ def by_force(spark, texts):
     for i in range(len(unique)):
         for j in range(i):
             x, y = unique[i].split(" "), unique[j].split(" ")
-            if (sims[i] ^ sims[j]).bit_count() <= lines.DISTANCE and distance(x, y) <= max(len(x), len(y)) // 10:
+            if len(x) == len(y) < 10:
+                one = sum(a != b for a, b in zip(x, y)) == 1
+                near = one and distance(unique[i], unique[j]) <= max(len(unique[i]), len(unique[j])) // 10
+            else:
+                near = (sims[i] ^ sims[j]).bit_count() <= lines.DISTANCE and distance(x, y) <= max(len(x), len(y)) // 10
+            if near:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     group = {u: find(i) for i, u in enumerate(unique)}
@@ -128,3 +133,53 @@ def test_only_few_places_are_broadcast(spark, n):
     places = spark.range(1).select(F.col("id").alias("row"), F.sequence(F.lit(1), F.lit(n)).alias("places"))
     plan = spark.range(5).select(F.col("id").alias("row")).join(lines._few_places(places), "row")
     assert ("strategy=broadcast" in plan._jdf.queryExecution().analyzed().toString()) == (n == 3)
+
+
+def test_short_lines_may_have_one_typo(spark):
+    kept = "shipping to most of europe takes seven days"
+    rows = [kept, "Shipping to most of Europe takes sevan days!", "shipping to most of africa takes seven days", "shiping to most of europe takes sevan days"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    out = {r.doc_id: r.lines_dropped for r in lines.drop_repeated_lines(docs).collect()}
+    # The last line is two words away from the first, but one from the second.
+    assert out == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
+def test_blocks_meet_after_any_edits(spark):
+    """Every pair of lines up to the sampled lengths shares a key after as many edits as the rule allows."""
+    rng = random.Random(9)
+    rows = []
+    for n in list(range(9, 40)) * 12:
+        x = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        y = list(x)
+        longest = n * 10 // 9
+        for _ in range(longest // 10):
+            at, kind = rng.randrange(len(y)), rng.random()
+            if kind < 0.4:
+                y[at] = "other"
+            elif kind < 0.7:
+                del y[at]
+            else:
+                y.insert(at, "more")
+        if distance(x, y) <= max(len(x), len(y)) // 10:
+            rows.append((x, y))
+    frame = spark.createDataFrame(rows, "x array<string>, y array<string>")
+    apart = frame.where(~F.arrays_overlap(lines.block_keys(F.col("x")), lines.block_keys(F.col("y"))))
+    assert len(rows) > 200 and [] == [(len(r.x), len(r.y)) for r in apart.collect() if not (len(r.x) == len(r.y) == 9)]
+
+
+def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 3)
+    rng = random.Random(4)
+    comp = {i: rng.randrange(8) for i in range(40)}
+    still = spark.createDataFrame([(1, i, c) for i, c in comp.items()] + [(2, i, comp[i]) for i in range(5)], "key long, id long, comp long")
+    facts = spark.createDataFrame([(i, 12, 7) for i in comp], "id long, n int, sim long")
+    got = {tuple(sorted(p)) for p in lines._met_in_blocks(still, facts).collect()}
+    assert got == {(i, j) for i in comp for j in comp if i < j and comp[i] != comp[j]}
+
+
+def test_a_long_text_with_one_repeated_line(spark):
+    many = [f"short {i}" for i in range(60_000)]
+    line = "alpha beta gamma delta epsilon zeta"
+    docs = spark.createDataFrame([(0, "\n".join([line, *many, line, "end"]))], "doc_id long, text string")
+    (row,) = lines.drop_repeated_lines(docs).collect()
+    assert row.text == "\n".join([line, *many, "end"]) and row.n_lines == 60_003
