@@ -19,6 +19,7 @@ from tallyhouse.operators.skew import skew_join
 
 BLOCK_TOKENS = 1 << 20
 MAX_REPEATS = 2.0
+EPOCH_RANGE = 1 << 16
 _STEPS, _POINTS, _DIGITS = 6, 15, 6
 
 
@@ -84,12 +85,20 @@ def source_weights(
     sized = sized.withColumn("budget", F.when(F.abs(F.col("budget") - F.col("total")) <= 1, F.col("total")).otherwise(F.col("budget")))
     return cut_lineage(
         sized.select(
-            "s", "total", "docs", "p", "exponent", "weight", "budget", F.floor(F.col("budget") / F.col("total")).cast("int").alias("epochs")
+            "s", "total", "docs", "p", "exponent", "weight", "budget", F.floor(F.col("budget") / F.col("total")).cast("long").alias("epochs")
         ),
         "weights",
     )
 
 
+def _each_epoch(df: DataFrame) -> DataFrame:
+    """Each row once for each epoch from 0 to ``epochs``. A small source under a large budget is read billions
+    of times, so ranges of epochs come first and no row holds a list of all."""
+    ranges = df.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs"), F.lit(EPOCH_RANGE).cast("long"))))
+    last = F.least(F.col("_from") + (EPOCH_RANGE - 1), F.col("epochs"))
+    return ranges.withColumn("epoch", F.explode(F.sequence(F.col("_from"), last))).drop("_from", "epochs")
+
+
 def mixture(
     docs: DataFrame,
     target_entropy: float | None = None,
@@ -115,16 +124,15 @@ def mixture(
     blocked = skew_join(facts.where("tokens > 0"), weights.drop("docs", "p", "exponent"), "s")
     n_blocks = F.ceil(F.col("total") / block_tokens)
     blocked = blocked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(seed)), n_blocks))
-    each_epoch = F.explode(F.sequence(F.lit(0), F.col("epochs"))).alias("epoch")
     by_block = blocked.groupBy("s", "block").agg(
         F.sum("tokens").alias("tokens"), F.first("total").alias("total"), F.first("budget").alias("budget"), F.first("epochs").alias("epochs")
     )
     in_epoch = Window.partitionBy("s", "epoch").orderBy(F.xxhash64("s", "block", "epoch", F.lit(seed)), "block")
     before = F.sum("tokens").over(in_epoch.rowsBetween(Window.unboundedPreceding, -1))
-    starts = by_block.select("s", "block", "tokens", "total", "budget", each_epoch).select(
+    starts = _each_epoch(by_block.select("s", "block", "tokens", "total", "budget", "epochs")).select(
         "s", "block", "epoch", (F.coalesce(before, F.lit(0)) + F.col("epoch") * F.col("total")).alias("block_start")
     )
-    copies = blocked.select("row", "doc_id", "source", "s", "block", "tokens", "weight", "budget", each_epoch)
+    copies = _each_epoch(blocked.select("row", "doc_id", "source", "s", "block", "tokens", "weight", "budget", "epochs"))
     in_block = Window.partitionBy("s", "block", "epoch").orderBy(F.xxhash64("row", "epoch", F.lit(seed)), "row")
     earlier = F.coalesce(F.sum("tokens").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = (
@@ -134,7 +142,7 @@ def mixture(
         .select("row", "doc_id", "source", "epoch", "block", "tokens", "weight", (F.col("start") / F.col("budget")).alias("position"))
     )
     free = facts.where("tokens = 0").select(
-        "row", "doc_id", "source", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("block"), "tokens", F.lit(0.0).alias("weight"), F.lit(0.0).alias("position")
+        "row", "doc_id", "source", F.lit(0).cast("long").alias("epoch"), F.lit(0).cast("long").alias("block"), "tokens", F.lit(0.0).alias("weight"), F.lit(0.0).alias("position")
     )
     return stored, placed.unionByName(free), row
 

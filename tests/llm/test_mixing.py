@@ -83,3 +83,20 @@ def test_only_built_in_functions(spark):
     docs, _ = corpus(spark)
     plan = mixing.mixed_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_budget_far_beyond_a_small_source(spark):
+    tokens = spark.createDataFrame([("a", 3), ("b", 4)], "s string, tokens long")
+    got = {r.s: r for r in mixing.source_weights(tokens, target_entropy=0.69, budget=10**11).collect()}
+    assert all(r.epochs == r.budget // r.total > 2**31 for r in got.values())
+    assert abs(sum(r.budget for r in got.values()) - 10**11) <= 1
+
+
+def test_epochs_come_in_ranges(spark, monkeypatch):
+    rows = [(i, "w " * (i % 5 + 1), "ab"[i % 2]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    _, whole, _ = mixing.mixture(docs, budget=1000)
+    want = sorted(whole.collect(), key=str)
+    monkeypatch.setattr(mixing, "EPOCH_RANGE", 3)
+    _, cut, _ = mixing.mixture(docs, budget=1000)
+    assert sorted(cut.collect(), key=str) == want and max(r.epoch for r in want) > 9
