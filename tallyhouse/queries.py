@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import clean, dates
 from tallyhouse.operators import profile as prof
+from tallyhouse.operators import repeats
 from tallyhouse.operators import validate as val
 from tallyhouse.operators.keys import assign_keys, insert_if_absent
 from tallyhouse.plans import dims, extensions as ext, facts, rejects, reports
@@ -160,34 +161,34 @@ def load_row_counts(w, t):
 
 @_query
 def dup_orders(w, t):
-    return prof.duplicate_keys(w.staging("raw_orders"), ["order_id"])
+    return repeats.duplicate_rows(w.staging("raw_orders"), ["order_id"])
 
 
 @_query
 def dup_customers(w, t):
-    return prof.duplicate_keys(w.staging("raw_customers"), ["customer_id"])
+    return repeats.duplicate_rows(w.staging("raw_customers"), ["customer_id"])
 
 
 @_query
 def dup_products(w, t):
-    return prof.duplicate_keys(w.staging("raw_products"), ["product_id"])
+    return repeats.duplicate_rows(w.staging("raw_products"), ["product_id"])
 
 
 @_query
 def dup_order_lines(w, t):
-    return prof.duplicate_keys(w.staging("raw_order_items"), ["order_id", "order_item_id"])
+    return repeats.duplicate_rows(w.staging("raw_order_items"), ["order_id", "order_item_id"])
 
 
 @_query
 def dup_reviews_per_order(w, t):
-    return prof.duplicate_keys(w.staging("raw_order_reviews"), ["order_id"])
+    return repeats.duplicate_rows(w.staging("raw_order_reviews"), ["order_id"])
 
 
 @_query
 def dup_review_rows(w, t):
     """Whole-row copies; the message is shown as its digest."""
     reviews = w.staging("raw_order_reviews")
-    return prof.duplicate_keys(reviews, reviews.columns).withColumn(
+    return repeats.duplicate_rows(reviews, reviews.columns).withColumn(
         "review_comment_message", F.md5("review_comment_message")
     )
 
@@ -784,14 +785,9 @@ def _tables(w: Warehouse):
 
 @_query
 def pk_violations(w, t):
-    parts = []
-    for name, df, contract in _tables(w):
-        parts.append(val.pk_violations(df, name, (contract.key,)))
-        if contract.natural_key:
-            parts.append(val.pk_violations(df, name, contract.natural_key))
+    tables = [(name, df, [(contract.key,), *([contract.natural_key] if contract.natural_key else [])]) for name, df, contract in _tables(w)]
     # The line number is no key in the sales fact: its row id is.
-    parts.append(val.pk_violations(w.core("fact_sales"), "core.fact_sales", ("order_id", "order_item_id")))
-    return prof.union_all(parts)
+    return repeats.key_violations([(name, df, keys + ([("order_id", "order_item_id")] if name == "core.fact_sales" else [])) for name, df, keys in tables])
 
 
 @_query
