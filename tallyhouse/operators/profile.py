@@ -92,39 +92,3 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 # Classes of the issue register.
 MEASURE, FOREIGN_KEY, FORMAT = "measure", "foreign key", "format"
-
-
-def _issue_rows(counts: DataFrame, table: str, issues: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Turn a one-row frame with columns c0, c1, ... into one row per issue."""
-    rows = [
-        F.struct(
-            F.lit(issue).alias("issue"),
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(kind).alias("issue_class"),
-            F.lit(fix).alias("fix"),
-            F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("n"),
-        )
-        for i, (issue, column, kind, fix) in enumerate(issues)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def scan_issues(df: DataFrame, table: str, checks: list[tuple[str, str, str, str, Column]]) -> DataFrame:
-    """Issues that a row shows by itself, all in one scan of the table.
-
-    Each check is (issue, column, class, fix, condition).
-    """
-    counts = df.agg(*[F.count_if(check[4]).alias(f"c{i}") for i, check in enumerate(checks)])
-    return _issue_rows(counts, table, [check[:4] for check in checks])
-
-
-def frame_issue(found: DataFrame, table: str, issue: str, column: str, kind: str, fix: str, extra: int = 0) -> DataFrame:
-    """One issue from a frame with counts ``n``; ``extra`` is taken off each (1 counts surplus copies)."""
-    counts = found.agg(F.sum(F.col("n") - extra).alias("c0"))
-    return _issue_rows(counts, table, [(issue, column, kind, fix)])
-
-
-def quality_report(parts: list[DataFrame]) -> DataFrame:
-    """The issue register: every check with its class, its fix and the rows it concerns."""
-    return union_all(parts).orderBy("table_name", "column_name", "issue")

@@ -42,6 +42,14 @@ def _none(df: DataFrame, key: Key) -> DataFrame:
     return df.select(*key, F.lit(0).cast("long").alias("n")).where(F.lit(False))
 
 
+def repeated_in(df: DataFrame, key: Key, digests: DataFrame, digest: Column) -> DataFrame:
+    """Values of ``key`` that occur more than once, with their number n, among the rows whose digest
+    is listed; among all rows where the list is too long to be copied."""
+    if fits_broadcast(digests):
+        df = df.join(F.broadcast(digests), digest == digests["digest"], "left_semi")
+    return _copies(df, key)
+
+
 def repeated_values(tables: list[tuple[DataFrame, list[Key]]]) -> list[DataFrame]:
     """For each key of each table its values that occur more than once, with their number n.
 
@@ -57,10 +65,8 @@ def repeated_values(tables: list[tuple[DataFrame, list[Key]]]) -> list[DataFrame
             digests = found.where(F.col("k") == k).select("digest")
             if k not in some:
                 out.append(_none(df, key))
-            elif fits_broadcast(digests):
-                out.append(_copies(df.join(F.broadcast(digests), _digest(df, key) == digests["digest"], "left_semi"), key))
             else:
-                out.append(_copies(df, key))
+                out.append(repeated_in(df, key, digests, _digest(df, key)))
             k += 1
     return out
 

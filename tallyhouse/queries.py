@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import clean, dates
+from tallyhouse.operators import audit, repeats
 from tallyhouse.operators import profile as prof
-from tallyhouse.operators import repeats
 from tallyhouse.operators import validate as val
 from tallyhouse.operators.keys import assign_keys, insert_if_absent
 from tallyhouse.plans import dims, extensions as ext, facts, rejects, reports
@@ -340,90 +340,44 @@ def shipping_limit_format(w, t):
 
 @_query
 def quality_report(w, t):
-    orders, items = w.staging("raw_orders"), w.staging("raw_order_items")
-    products, customers = w.staging("raw_products"), w.staging("raw_customers")
-
-    def blank(c: str) -> Column:
-        return F.col(c) == ""
-
+    """The issue register: every check with its class, its fix and the rows it concerns."""
+    names = ["raw_orders", "raw_order_items", "raw_products", "raw_customers", "raw_sellers", "raw_product_category_translation"]
     city = F.col("customer_city")
-    to_null = "blank to NULL, then type"
-    unknown = "unknown member -1"
-    return prof.quality_report(
-        [
-            prof.scan_issues(
-                orders,
-                "raw_orders",
-                [
-                    ("blank date", c, prof.FORMAT, to_null, blank(c))
-                    for c in dims.MILESTONES.values()
-                ]
-                + [
-                    ("bad timestamp", c, prof.FORMAT, "reject", prof.violates(c, clean.TIMESTAMP_PATTERN))
-                    for c in dims.MILESTONES.values()
-                ],
-            ),
-            prof.scan_issues(
-                items,
-                "raw_order_items",
-                [
-                    ("blank amount", "price", prof.MEASURE, "reject", blank("price")),
-                    ("blank amount", "freight_value", prof.MEASURE, "default 0", blank("freight_value")),
-                    ("bad number", "price", prof.FORMAT, "reject", prof.violates("price", clean.NUMBER_PATTERN)),
-                    (
-                        "bad timestamp",
-                        "shipping_limit_date",
-                        prof.FORMAT,
-                        "not loaded",
-                        prof.violates("shipping_limit_date", clean.TIMESTAMP_PATTERN),
-                    ),
-                ],
-            ),
-            prof.scan_issues(
-                products,
-                "raw_products",
-                [("blank size", c, prof.MEASURE, to_null, blank(c)) for c in list(_PRODUCT_NULLS)[1:]],
-            ),
-            prof.scan_issues(
-                customers,
-                "raw_customers",
-                [
-                    (
-                        "raw casing",
-                        "customer_city",
-                        prof.FORMAT,
-                        "title case",
-                        (city != clean.title_case(city)) & (city != F.upper(city)),
-                    ),
-                    ("edge spaces", "customer_city", prof.FORMAT, "trim", city != F.trim(city)),
-                ],
-            ),
-            prof.frame_issue(
-                orphan_products(w, t), "raw_order_items", "orphan", "product_id", prof.FOREIGN_KEY, unknown
-            ),
-            prof.frame_issue(orphan_sellers(w, t), "raw_order_items", "orphan", "seller_id", prof.FOREIGN_KEY, unknown),
-            prof.frame_issue(orphan_orders(w, t), "raw_order_items", "orphan", "order_id", prof.FOREIGN_KEY, "left out"),
-            prof.frame_issue(orphan_customers(w, t), "raw_orders", "orphan", "customer_id", prof.FOREIGN_KEY, unknown),
-            prof.frame_issue(
-                orphan_categories(w, t),
-                "raw_products",
-                "untranslated",
-                "product_category_name",
-                prof.FOREIGN_KEY,
-                clean.UNKNOWN_CATEGORY,
-            ),
-            prof.frame_issue(dup_orders(w, t), "raw_orders", "duplicate key", "order_id", prof.FORMAT, "report", 1),
-            prof.frame_issue(
-                dup_order_lines(w, t),
-                "raw_order_items",
-                "duplicate key",
-                "order_id,order_item_id",
-                prof.FORMAT,
-                "keep, own row id",
-                1,
-            ),
-        ]
-    )
+    to_null, unknown = "blank to NULL, then type", "unknown member -1"
+
+    def blank(table: str, issue: str, column: str, kind: str, fix: str) -> audit.Check:
+        return audit.Check(table, issue, column, kind, fix, F.col(column) == "")
+
+    def misfit(table: str, issue: str, column: str, fix: str, pattern: str) -> audit.Check:
+        return audit.Check(table, issue, column, prof.FORMAT, fix, prof.violates(column, pattern))
+
+    def orphan(table: str, column: str, parent: str, fix: str, issue: str = "orphan") -> audit.Reference:
+        return audit.Reference(table, issue, column, prof.FOREIGN_KEY, fix, parent)
+
+    def unique(table: str, key: tuple[str, ...], fix: str) -> audit.Unique:
+        return audit.Unique(table, "duplicate key", ",".join(key), prof.FORMAT, fix, key)
+
+    uneven = (city != clean.title_case(city)) & (city != F.upper(city))
+    issues = [blank("raw_orders", "blank date", c, prof.FORMAT, to_null) for c in dims.MILESTONES.values()]
+    issues += [misfit("raw_orders", "bad timestamp", c, "reject", clean.TIMESTAMP_PATTERN) for c in dims.MILESTONES.values()]
+    issues += [blank("raw_products", "blank size", c, prof.MEASURE, to_null) for c in list(_PRODUCT_NULLS)[1:]]
+    issues += [
+        blank("raw_order_items", "blank amount", "price", prof.MEASURE, "reject"),
+        blank("raw_order_items", "blank amount", "freight_value", prof.MEASURE, "default 0"),
+        misfit("raw_order_items", "bad number", "price", "reject", clean.NUMBER_PATTERN),
+        misfit("raw_order_items", "bad timestamp", "shipping_limit_date", "not loaded", clean.TIMESTAMP_PATTERN),
+        audit.Check("raw_customers", "raw casing", "customer_city", prof.FORMAT, "title case", uneven),
+        audit.Check("raw_customers", "edge spaces", "customer_city", prof.FORMAT, "trim", city != F.trim(city)),
+        orphan("raw_order_items", "product_id", "raw_products", unknown),
+        orphan("raw_order_items", "seller_id", "raw_sellers", unknown),
+        orphan("raw_order_items", "order_id", "raw_orders", "left out"),
+        orphan("raw_orders", "customer_id", "raw_customers", unknown),
+        orphan("raw_products", "product_category_name", "raw_product_category_translation", clean.UNKNOWN_CATEGORY, "untranslated"),
+        unique("raw_orders", ("order_id",), "report"),
+        unique("raw_order_items", ("order_id", "order_item_id"), "keep, own row id"),
+    ]
+    found = audit.issue_counts({name: w.staging(name) for name in names}, issues)
+    return found.orderBy("table_name", "column_name", "issue")
 
 
 # --- cleaning and typing -----------------------------------------------------------------------
