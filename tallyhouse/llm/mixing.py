@@ -7,11 +7,16 @@ budget; it is read epoch by epoch. Its documents lie in blocks of bounded size.
 the blocks in another order, and the documents of a block in another order, until the budget is
 used up. ``position`` is the part of its source's budget that comes before a document, so reading
 all sources by position mixes them by their weights from beginning to end.
+
+A null source is a source of its own. Null, empty and blank texts have no tokens: they are placed once,
+at the start. Very long texts are documents like others, larger than a block if need be. Equal hashes are
+ordered by block and row number, repeated rows are rows of their own, an empty table gives an empty mixture,
+and other columns than ``doc_id``, ``source`` and ``text`` may have any names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import cut_lineage, free_name, numbered
@@ -20,6 +25,7 @@ from tallyhouse.operators.skew import skew_join
 BLOCK_TOKENS = 1 << 20
 MAX_REPEATS = 2.0
 EPOCH_RANGE = 1 << 16
+RANGE_BITS = 12
 _STEPS, _POINTS, _DIGITS = 6, 15, 6
 
 
@@ -99,6 +105,26 @@ def _each_epoch(df: DataFrame) -> DataFrame:
     return ranges.withColumn("epoch", F.explode(F.sequence(F.col("_from"), last))).drop("_from", "epochs")
 
 
+def _block_starts(by_block: DataFrame, seed: int) -> DataFrame:
+    """Tokens of a source that come before each of its blocks (s, block, epoch), epochs before included.
+
+    The blocks of an epoch are ordered by a hash. Its highest bits cut the order into even ranges, so
+    only the ranges' sums meet in one task, and no task gets all the blocks of a large source.
+    """
+    order = F.xxhash64("s", "block", "epoch", F.lit(seed))
+    placed = _each_epoch(by_block).withColumn("place", order).withColumn("range", F.shiftright("place", 64 - RANGE_BITS))
+
+    def before(*keys: str) -> WindowSpec:
+        return Window.partitionBy("s", "epoch", *keys).rowsBetween(Window.unboundedPreceding, -1)
+
+    sums = placed.groupBy("s", "epoch", "range").agg(F.sum("tokens").alias("tokens"))
+    ranges = sums.select("s", "epoch", "range", F.coalesce(F.sum("tokens").over(before().orderBy("range")), F.lit(0)).alias("earlier"))
+    inside = F.coalesce(F.sum("tokens").over(before("range").orderBy("place", "block")), F.lit(0))
+    within = placed.select("s", "epoch", "range", "block", (inside + F.col("epoch") * F.col("total")).alias("start"))
+    start = F.col("start") + F.col("earlier")
+    return within.join(ranges, ["s", "epoch", "range"]).select("s", "block", "epoch", start.alias("block_start"))
+
+
 def mixture(
     docs: DataFrame,
     target_entropy: float | None = None,
@@ -127,11 +153,7 @@ def mixture(
     by_block = blocked.groupBy("s", "block").agg(
         F.sum("tokens").alias("tokens"), F.first("total").alias("total"), F.first("budget").alias("budget"), F.first("epochs").alias("epochs")
     )
-    in_epoch = Window.partitionBy("s", "epoch").orderBy(F.xxhash64("s", "block", "epoch", F.lit(seed)), "block")
-    before = F.sum("tokens").over(in_epoch.rowsBetween(Window.unboundedPreceding, -1))
-    starts = _each_epoch(by_block.select("s", "block", "tokens", "total", "budget", "epochs")).select(
-        "s", "block", "epoch", (F.coalesce(before, F.lit(0)) + F.col("epoch") * F.col("total")).alias("block_start")
-    )
+    starts = _block_starts(cut_lineage(by_block, "blocks"), seed)
     copies = _each_epoch(blocked.select("row", "doc_id", "source", "s", "block", "tokens", "weight", "budget", "epochs"))
     in_block = Window.partitionBy("s", "block", "epoch").orderBy(F.xxhash64("row", "epoch", F.lit(seed)), "row")
     earlier = F.coalesce(F.sum("tokens").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

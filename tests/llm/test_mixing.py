@@ -1,7 +1,9 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import mixing
 
@@ -100,3 +102,29 @@ def test_epochs_come_in_ranges(spark, monkeypatch):
     monkeypatch.setattr(mixing, "EPOCH_RANGE", 3)
     _, cut, _ = mixing.mixture(docs, budget=1000)
     assert sorted(cut.collect(), key=str) == want and max(r.epoch for r in want) > 9
+
+
+def test_blocks_start_where_one_running_sum_puts_them(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_BITS", 3)  # ranges of many blocks, as large sources have
+    rng = random.Random(5)
+    blocks = [(s, b, rng.randint(1, 9), s == "a") for s, n in (("a", 200), ("b", 3), ("", 1)) for b in range(n)]
+    table = spark.createDataFrame(blocks, "s string, block long, tokens long, twice boolean")
+    total = table.groupBy("s").agg(F.sum("tokens").alias("total"))
+    by_block = table.join(total, "s").select("s", "block", "tokens", "total", F.when(F.col("twice"), 2).otherwise(0).cast("long").alias("epochs"))
+    got = {(r.s, r.block, r.epoch): r.block_start for r in mixing._block_starts(by_block, 7).collect()}
+    each = by_block.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "epochs")).alias("epoch"))
+    rows = each.withColumn("place", F.xxhash64("s", "block", "epoch", F.lit(7))).collect()
+    want, so_far = {}, {}
+    for r in sorted(rows, key=lambda r: (r.s, r.epoch, r.place, r.block)):
+        key = (r.s, r.epoch)
+        want[r.s, r.block, r.epoch] = r.epoch * r.total + so_far.get(key, 0)
+        so_far[key] = so_far.get(key, 0) + r.tokens
+    assert got == want and len(want) == 3 * 200 + 3 + 1
+
+
+def test_null_and_long_texts_ties_and_clashing_columns(spark):
+    rows = [(1, "a", "w " * 300_000, 1, "x"), (1, "a", "w " * 300_000, 1, "x"), (None, None, None, None, None), (2, "a", "", 2, "y"), (3, "b", "one two", 3, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, epoch int, weight string")
+    got = mixing.mixed_documents(docs, max_repeats=1.0).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
+    assert mixing.mixed_documents(docs.limit(0)).columns == docs.columns
