@@ -59,8 +59,12 @@ def line_reject_reason() -> Column:
 
 
 def split_rejects(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Quarantine mode: (lines that load, lines that would fail the load with the reason)."""
-    marked = items.withColumn("reject_reason", line_reject_reason())
+    """Quarantine mode: (lines that load, lines that would fail the load with the reason).
+
+    The reason is the one element of an array: a filter on it stays above, where on a plain column it would
+    be moved below whatever ``items`` computes, and repeat that for each mention of a price.
+    """
+    marked = items.select("*", F.explode(F.array(line_reject_reason())).alias("reject_reason"))
     good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.where(F.col("reject_reason").isNotNull())
 
