@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import dates
 from tallyhouse.functions.clean import (
     UNKNOWN_DATE_KEY,
+    WIDE_DECIMAL,
     blank_to_null,
     date_key_or_unknown,
     key_or_unknown,
@@ -28,24 +29,42 @@ def milestone_key(column: str, mode: str = "strict") -> Column:
     return date_key_or_unknown(dates.date_key(text_to_date(column, mode)))
 
 
-def line_measures(items: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity: int = 1) -> DataFrame:
-    """Replace the raw amounts of order lines by typed, derived measures. A blank price fails;
-    a blank freight value means that none was charged. ``price`` is that of one piece; amount, cost
-    and profit are those of ``quantity`` pieces."""
+def typed_amounts(items: DataFrame) -> DataFrame:
+    """Typed ``price`` and ``freight_value`` of order lines, and in ``_exact`` the price where its text has
+    more digits than the column keeps. A blank price fails; a blank freight value means that none was
+    charged."""
     wide = items.withColumn("_wide", required(text_to_decimal("price"), "price"))
     wide = wide.withColumn("price", within("_wide", MONEY))
-    price = F.col("_wide") if quantity == 1 else F.col("_wide") * quantity
     return wide.select(
         *[c for c in items.columns if c not in ("price", "freight_value")],
-        F.lit(quantity).alias("quantity"),
         "price",
         within(F.coalesce(text_to_decimal("freight_value"), F.lit(0)), MONEY).alias("freight_value"),
+        F.when(F.col("_wide") != F.col("price"), F.col("_wide")).alias("_exact"),
+    )
+
+
+def derived_amounts(lines: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity: int = 1) -> DataFrame:
+    """Typed lines with amount, cost and profit of ``quantity`` pieces in place of ``_exact``."""
+    exact = F.coalesce("_exact", F.col("price").cast(WIDE_DECIMAL))
+    price = exact if quantity == 1 else exact * quantity
+    return lines.select(
+        *[c for c in lines.columns if c not in ("price", "freight_value", "_exact")],
+        F.lit(quantity).alias("quantity"),
+        "price",
+        "freight_value",
         (F.col("price") if quantity == 1 else within(F.col("price") * quantity, MONEY)).alias("sales_amount"),
         estimated_cost(price, cost_ratio).cast(MONEY).alias("product_cost"),
         estimated_profit(price, cost_ratio).cast(MONEY).alias("profit"),
     )
 
 
+def line_measures(items: DataFrame, cost_ratio: Decimal = COST_RATIO, quantity: int = 1) -> DataFrame:
+    """Replace the raw amounts of order lines by typed, derived measures. A blank price fails;
+    a blank freight value means that none was charged. ``price`` is that of one piece; amount, cost
+    and profit are those of ``quantity`` pieces."""
+    return derived_amounts(typed_amounts(items), cost_ratio, quantity)
+
+
 def line_reject_reason() -> Column:
     """Why an order line would fail the load, NULL where it loads."""
     price = text_to_decimal("price", mode="lenient")
@@ -75,8 +94,12 @@ def resolve_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     Write it once and hand it to both, so that orders and customers, each as long as the order
     book, are parsed and joined once.
     """
+    # Dates are a fifth as long as their texts: typed first, they pass the shuffle.
+    typed = orders.select(
+        "customer_id", "order_id", "order_status", *[text_to_date(column).alias(name) for name, column in MILESTONES.items()]
+    )
     resolved = skew_join(
-        orders.select("customer_id", "order_id", "order_status", *MILESTONES.values()),
+        typed,
         dim_customer.select("customer_id", F.col("customer_pk").alias("customer_fk")),
         "customer_id",
         "left",
@@ -85,7 +108,7 @@ def resolve_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return resolved.select(
         "order_id",
         key_or_unknown("customer_fk").alias("customer_fk"),
-        *[text_to_date(column).alias(name) for name, column in MILESTONES.items()],
+        *MILESTONES,
         "order_status",
     )
 
@@ -98,26 +121,35 @@ def build_fact_sales(
     cost_ratio: Decimal = COST_RATIO,
     channel: str = "Website",
     quantity: int = 1,
+    by_month: bool = False,
 ) -> DataFrame:
     """One row per order line with an order; unmatched dimension keys become the unknown member.
 
-    Customers come with the orders (``resolve_orders``): they are looked up on the shorter side.
+    Customers come with the orders (``resolve_orders``): they are looked up on the shorter side. Lines get
+    their keys before they meet the orders, and what follows from price or is constant after the last
+    shuffle, so that what is moved stays narrow. ``by_month`` adds ``sale_month`` and rebalances by it.
     """
     headers = resolved_orders.select(
         "order_id", "order_status", date_key_or_unknown(dates.date_key("order_date")).alias("date_fk"), "customer_fk"
     )
-    lines = line_measures(
-        items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
-        cost_ratio,
-        quantity,
+    lines = typed_amounts(
+        items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
     ).withColumn("order_item_id", required(text_to_int("order_item_id"), "order_item_id"))
-    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders)
-    lines = skew_join(
-        lines, dim_product.select("product_id", F.col("product_pk").alias("product_fk")), "product_id", "left", probe=items
-    )
+    # Where an amount may be out of range though the price is not, lines without an order are checked too.
+    early = quantity != 1 or not 0 <= cost_ratio <= 1
+    if early:
+        lines = derived_amounts(lines, cost_ratio, quantity)
     lines = skew_join(
         lines, dim_store.select("seller_id", F.col("store_pk").alias("store_fk")), "seller_id", "left", probe=items
-    )
+    ).drop("seller_id")
+    lines = skew_join(
+        lines, dim_product.select("product_id", F.col("product_pk").alias("product_fk")), "product_id", "left", probe=items
+    ).drop("product_id")
+    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders)
+    if by_month:
+        lines = lines.withColumn("sale_month", dates.month_of_date_key("date_fk")).hint("rebalance", F.col("sale_month"))
+    if not early:
+        lines = derived_amounts(lines, cost_ratio, quantity)
     return lines.select(
         "order_id",
         "order_item_id",
@@ -133,6 +165,7 @@ def build_fact_sales(
         "sales_amount",
         "product_cost",
         "profit",
+        *(["sale_month"] if by_month else []),
     )
 
 

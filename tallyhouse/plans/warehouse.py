@@ -11,7 +11,6 @@ from functools import cache, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import dates
 from tallyhouse.functions.measures import COST_RATIO
 from tallyhouse.operators.keys import assign_keys
 from tallyhouse.operators.validate import Parents, broken_contract
@@ -100,9 +99,9 @@ class Warehouse:
         if layer == STAGING:
             self._routed.pop(name, None)
             return publish(self.raw(name), layer, name, self.prefix)
-        df, contract = self.build(layer, name), CONTRACTS[layer][name]
-        if layer == CORE and name == "fact_sales":
-            df = df.withColumn("sale_month", dates.month_of_date_key("date_fk"))
+        contract = CONTRACTS[layer][name]
+        by_month = layer == CORE and name == "fact_sales"
+        df = self._sales(by_month) if by_month else self.build(layer, name)
         identity = None
         if contract.key not in df.columns:
             if contract.natural_key:
@@ -112,7 +111,14 @@ class Warehouse:
         check = partial(
             broken_contract, contract=contract, unique_key=identity is None, parents=self.parents(layer, contract), lengths=self._check_lengths
         )
-        return publish(df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check)
+        return publish(
+            df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check, rebalanced=by_month
+        )
+
+    def _sales(self, by_month: bool = False) -> DataFrame:
+        items, orders = self._input("raw_order_items"), self.resolved_orders()
+        product, store = self.core("dim_product"), self.core("dim_store")
+        return facts.build_fact_sales(items, orders, product, store, self.cost_ratio, self.channel, by_month=by_month)
 
     def parents(self, layer: str, contract: Contract) -> Parents:
         """The published tables that a table's foreign keys refer to, in its own layer or else in core."""
@@ -149,14 +155,7 @@ class Warehouse:
                 self._input("raw_products"), self._input("raw_product_category_translation"), give_keys=self._keys_of(name)
             ),
             (CORE, "dim_store"): lambda: dims.build_dim_store(self._input("raw_sellers"), self._keys_of(name)),
-            (CORE, "fact_sales"): lambda: facts.build_fact_sales(
-                self._input("raw_order_items"),
-                self.resolved_orders(),
-                self.core("dim_product"),
-                self.core("dim_store"),
-                self.cost_ratio,
-                self.channel,
-            ),
+            (CORE, "fact_sales"): self._sales,
             (MART, "dim_month"): lambda: dims.build_dim_month(self.core("dim_date")),
             (MART, "dim_product"): lambda: dims.narrow(
                 self.core("dim_product"), list(CONTRACTS[MART]["dim_product"].columns)

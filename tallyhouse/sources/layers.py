@@ -185,13 +185,14 @@ def publish(
     reload: bool = True,
     identity: str | None = None,
     check: Callable[[DataFrame], list[str]] | None = None,
+    rebalanced: bool = False,
 ) -> DataFrame:
     """Replace a table by a new version, then return it as read back. Raises ``ConflictingWrite`` where
     another load has committed since this one began; that one's rows stay.
 
     With ``partition_by`` the rows are rebalanced by that column first, so that each partition
     gets few, even files; AQE cuts a partition value that holds much of the data into several
-    tasks. ``identity`` names a row id that is given after the last shuffle, by the tasks that
+    tasks; ``rebalanced`` says that the plan does so itself. ``identity`` names a row id that is given after the last shuffle, by the tasks that
     write: a repeated task replaces its rows and ids together. ``check`` gets the written rows and returns what is
     wrong with them; if anything is, the version is deleted and the table stays as it was.
 
@@ -206,7 +207,7 @@ def publish(
     log = _log_of(spark, folder)
     start = log.last()
     version = folder.below(f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
-    if partition_by:
+    if partition_by and not rebalanced:
         df = df.hint("rebalance", F.col(partition_by))
     if identity:
         df = insert_identity(df, identity)

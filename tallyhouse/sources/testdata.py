@@ -75,7 +75,7 @@ class TestTables:
         shipped = (
             self.source("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-            .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+            .agg(F.min(F.to_date("l_shipdate")).alias("first_ship"), F.max(F.to_date("l_shipdate")).alias("last_ship"))
         )
         key, status, day = F.col("o_orderkey"), F.col("o_orderstatus"), F.to_date("o_orderdate")
         approved = F.date_add(day, (key % 4).cast("int"))

@@ -1,8 +1,19 @@
 """Plans that stay narrow: what is computed once, and what passes a shuffle."""
 
+import uuid
+from datetime import date
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import validate
+from tallyhouse.operators.keys import assign_keys
 from tallyhouse.plans import facts
+from tallyhouse.session import work_root
+from tallyhouse.sources import raw
 
 
 def plan(df):
@@ -20,3 +31,70 @@ def test_rejects_compute_their_input_once(spark):
     assert {r.order_id: r.reject_reason for r in bad.collect()} == {"2": "bad price", "3": "bad order item", "4": "bad freight value", "5": "blank price"}
     for df in (facts.line_measures(good), bad):
         assert plan(df).count("R$") == 1
+
+
+def shuffled(df):
+    """What each shuffle of a plan moves, by the columns of the plan below it."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan().initialPlan()]
+    while nodes:
+        node = nodes.pop()
+        if "ShuffleExchange" in node.getClass().getSimpleName():
+            found.append({node.output().apply(i).name() for i in range(node.output().size())})
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def lines(spark):
+    return spark.createDataFrame(
+        [("o1", "1", "p1", "s1", "7.505", "1.00"), ("o1", "2", "p9", "s9", "0.10", ""), ("o2", "1", "p1", "s1", "3.00", ""), ("o9", "1", "p1", "s1", "3.00", "")],
+        "order_id string, order_item_id string, product_id string, seller_id string, price string, freight_value string",
+    )
+
+
+def orders(spark):
+    return spark.createDataFrame(
+        [("o1", "shipped", date(2017, 5, 6), 4), ("o2", "shipped", None, 5)], "order_id string, order_status string, order_date date, customer_fk long"
+    )
+
+
+def sales(spark, **options):
+    products = spark.createDataFrame([("p1", 11)], "product_id string, product_pk long")
+    stores = spark.createDataFrame([("s1", 21)], "seller_id string, store_pk long")
+    return facts.build_fact_sales(options.pop("items", lines(spark)), orders(spark), products, stores, **options)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_derived_amounts_pass_no_shuffle(spark, no_broadcast):
+    fact = sales(spark, by_month=True)
+    moved = shuffled(fact)
+    assert moved and all(not {"product_cost", "profit", "sales_amount", "quantity", "channel"} & columns for columns in moved)
+    got = {(r.order_id, r.order_item_id): r for r in fact.collect()}
+    assert set(got) == {("o1", 1), ("o1", 2), ("o2", 1)}
+    r = got["o1", 1]  # cost and profit are those of the price before it is rounded
+    assert (r.price, r.product_cost, r.profit, r.sale_month, r.product_fk, r.store_fk) == (Decimal("7.51"), Decimal("4.88"), Decimal("2.63"), 201705, 11, 21)
+    assert (got["o1", 2].product_fk, got["o1", 2].store_fk, got["o2", 1].date_fk) == (-1, -1, 19000101)
+
+
+@pytest.mark.parametrize("options, price", [({}, "x"), ({}, ""), ({"quantity": 3}, "60000000"), ({"cost_ratio": Decimal(3)}, "60000000")])
+def test_lines_without_an_order_are_checked_too(spark, options, price):
+    spoiled = lines(spark).withColumn("price", F.when(F.col("order_id") == "o9", price).otherwise(F.col("price")))
+    with pytest.raises(PySparkException):
+        sales(spark, items=spoiled, **options).collect()
+
+
+def test_order_dates_pass_the_shuffle_as_dates(spark, no_broadcast):
+    raw_orders = spark.createDataFrame(
+        [("c1", "o1", "shipped", "2017-05-06 10:00:00", "", "", "")],
+        "customer_id string, order_id string, order_status string, order_purchase_timestamp string, order_approved_at string, "
+        "order_delivered_carrier_date string, order_delivered_customer_date string",
+    )
+    resolved = facts.resolve_orders(raw_orders, spark.createDataFrame([("c1", 4)], "customer_id string, customer_pk long"))
+    assert not any("order_purchase_timestamp" in columns for columns in shuffled(resolved))
+    assert resolved.collect() == [("o1", 4, date(2017, 5, 6), None, None, None, "shipped")]
