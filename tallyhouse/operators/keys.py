@@ -21,18 +21,21 @@ def first_keys(counted: DataFrame, columns: list[str], count: str) -> DataFrame:
     position in the own bucket. Digests spread evenly, so buckets are even however the natural
     keys are distributed, and only the bucket sizes (at most 65,536 rows) meet in one place.
     """
-    marked = counted.withColumn("_d", row_digest(columns)).withColumn("_b", F.substring("_d", 1, _BUCKET_DIGITS))
+    bucket = F.conv(F.substring(row_digest(columns), 1, _BUCKET_DIGITS), 16, 10).cast("int")
+    bucketed = counted.withColumn("_b", bucket)
 
     lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over bucket sizes only
     offsets = (
-        marked.groupBy("_b")
+        bucketed.groupBy("_b")
         .agg(F.sum(count).alias("_size"))
         .select("_b", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_offset"))
     )
     up_to_here = (
         Window.partitionBy("_b").orderBy("_d", *columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = marked.withColumn("_last", F.sum(count).over(up_to_here)).join(F.broadcast(offsets), "_b")
+    # Rows move by bucket before they get the digest, which random as it is would double what is moved.
+    moved = bucketed.repartition("_b").withColumn("_d", F.unhex(row_digest(columns)))
+    placed = moved.withColumn("_last", F.sum(count).over(up_to_here)).join(F.broadcast(offsets), "_b")
     first = F.col("_offset") + F.col("_last") - F.col(count) + 1
     return placed.select(first.alias("_first"), *counted.columns)
 

@@ -98,3 +98,11 @@ def test_order_dates_pass_the_shuffle_as_dates(spark, no_broadcast):
     resolved = facts.resolve_orders(raw_orders, spark.createDataFrame([("c1", 4)], "customer_id string, customer_pk long"))
     assert not any("order_purchase_timestamp" in columns for columns in shuffled(resolved))
     assert resolved.collect() == [("o1", 4, date(2017, 5, 6), None, None, None, "shipped")]
+
+
+def test_digests_pass_no_shuffle(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "k string, v int")
+    for keyed in (assign_keys(df, "pk"), assign_keys(df, "pk", ["k", "v"]), assign_keys(df, "pk", unique=False)):
+        assert not any("_d" in columns for columns in shuffled(keyed))
+        digest = F.md5(F.concat_ws("|", F.coalesce("k", F.lit("")), F.col("v").cast("string")))
+        assert [r.pk for r in keyed.orderBy(digest).collect()] == [1, 2, 3, 4]
