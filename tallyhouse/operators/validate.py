@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.clean import UNKNOWN_DATE_KEY
 from tallyhouse.operators.profile import orphans, union_all
@@ -117,11 +118,15 @@ def missing_members(fact: DataFrame, parents: Parents) -> DataFrame:
     """Foreign keys without a member, for all foreign keys in one scan of the fact: column_name, key (as
     text), rows. Rows are counted per key before the shuffle, so a key that half of the rows carry is one
     row of it; NULLs refer to nothing."""
-    each = [F.struct(F.lit(fk).alias("column_name"), F.col(fk).cast("string").alias("key")) for fk in parents]
+    types = {*[fact.schema[fk].dataType for fk in parents], *[dim.schema[pk].dataType for dim, pk, _ in parents.values()]}
+    kind = "long" if all(isinstance(t, T.IntegralType) for t in types) else "string"  # numbers are counted as numbers
+    names = F.array(*[F.lit(fk) for fk in parents])
+    each = [F.struct(F.lit(i).alias("_i"), F.col(fk).cast(kind).alias("key")) for i, fk in enumerate(parents)]
     carried = fact.select(F.inline(F.array(*each))).where("key IS NOT NULL")
-    counted = carried.groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
-    members = union_all([dim.select(F.lit(fk).alias("column_name"), F.col(pk).cast("string").alias("key")) for fk, (dim, pk, _) in parents.items()])
-    return counted.join(members, ["column_name", "key"], "left_anti")
+    counted = carried.groupBy("_i", "key").agg(F.count(F.lit(1)).alias("rows"))
+    members = union_all([dim.select(F.lit(i).alias("_i"), F.col(pk).cast(kind).alias("key")) for i, (dim, pk, _) in enumerate(parents.values())])
+    missing = counted.join(members, ["_i", "key"], "left_anti")
+    return missing.select(F.get(names, F.col("_i")).alias("column_name"), F.col("key").cast("string").alias("key"), "rows")
 
 
 def fk_violations_of(fact: DataFrame, table: str, parents: Parents) -> DataFrame:

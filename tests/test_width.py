@@ -106,3 +106,11 @@ def test_digests_pass_no_shuffle(spark):
         assert not any("_d" in columns for columns in shuffled(keyed))
         digest = F.md5(F.concat_ws("|", F.coalesce("k", F.lit("")), F.col("v").cast("string")))
         assert [r.pk for r in keyed.orderBy(digest).collect()] == [1, 2, 3, 4]
+
+
+def test_integer_foreign_keys_are_counted_as_numbers(spark):
+    fact = spark.createDataFrame([(1, 7), (2, 7), (2, None)], "a long, b int")
+    dim = spark.createDataFrame([(1,), (3,)], "pk long")
+    missing = validate.missing_members(fact, {"a": (dim, "pk", "d.pk"), "b": (dim, "pk", "d.pk")})
+    assert "cast(a" not in plan(missing).lower()
+    assert sorted(missing.collect()) == [("a", "2", 2), ("b", "7", 2)]
