@@ -23,7 +23,7 @@ from tallyhouse.plans.warehouse import Warehouse, open_warehouse
 from tallyhouse.sources import raw as rawio
 from tallyhouse.sources.keymap import KeyMap
 from tallyhouse.sources.layers import database, layer_names, layer_tables, work_path
-from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, MART_CONTRACTS, RAW_SCHEMAS, STAGING
+from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, MART_CONTRACTS, MULTILINE_TABLES, RAW_SCHEMAS, STAGING
 from tallyhouse.sources.testdata import TestTables
 from tallyhouse.streaming import fulfilment
 
@@ -65,7 +65,7 @@ def csv_load_counts(w, t):
     loaded = {}
     for name in RAW_SCHEMAS:
         path = _scratch(w, name)
-        rawio.write_raw(w.staging(name), path)
+        rawio.write_raw(w.staging(name), path, gzip=name not in MULTILINE_TABLES)
         loaded[name] = rawio.load_raw(w.spark, name, path)
     return prof.row_counts(loaded)
 

@@ -11,6 +11,7 @@ from tallyhouse.sources.schemas import MULTILINE_TABLES, RAW_SCHEMAS
 
 # RFC 4180: fields in double quotes, a quote inside doubled.
 _CSV = {"header": True, "quote": '"', "escape": '"'}
+ROWS_PER_GZIP = 500_000
 
 
 def load_raw(spark: SparkSession, name: str, path: str, multiline: bool | None = None) -> DataFrame:
@@ -32,10 +33,12 @@ def load_raw(spark: SparkSession, name: str, path: str, multiline: bool | None =
     return rows.select(*[null_to_blank(c).alias(c) for c in rows.columns])
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Write a raw table as the CSV that ``load_raw`` reads."""
+def write_raw(df: DataFrame, path: str, gzip: bool = False) -> None:
+    """Write a raw table as the CSV that ``load_raw`` reads. With ``gzip`` files are compressed, which leaves
+    each to one reading task, and so hold no more than ``ROWS_PER_GZIP`` rows; for tables of short fields."""
+    packed = {"compression": "gzip", "maxRecordsPerFile": ROWS_PER_GZIP} if gzip else {}
     df.write.mode("overwrite").options(
-        **_CSV, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        **_CSV, **packed, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
 
 

@@ -114,3 +114,12 @@ def test_integer_foreign_keys_are_counted_as_numbers(spark):
     missing = validate.missing_members(fact, {"a": (dim, "pk", "d.pk"), "b": (dim, "pk", "d.pk")})
     assert "cast(a" not in plan(missing).lower()
     assert sorted(missing.collect()) == [("a", "2", 2), ("b", "7", 2)]
+
+
+def test_compressed_csv_is_cut_into_files(spark, monkeypatch):
+    monkeypatch.setattr(raw, "ROWS_PER_GZIP", 10)
+    path = f"{work_root(spark)}/{uuid.uuid4().hex}"
+    rows = spark.range(25).selectExpr(*[f"concat('{c} \"', id, '\"')  {c}" for c in raw.RAW_SCHEMAS["raw_sellers"].fieldNames()][:-1], "'' " + raw.RAW_SCHEMAS["raw_sellers"].fieldNames()[-1])
+    raw.write_raw(rows.coalesce(1), path, gzip=True)
+    assert len(list(Path(path).glob("*.csv.gz"))) == 3
+    assert sorted(raw.load_raw(spark, "raw_sellers", path).collect()) == sorted(rows.collect())
