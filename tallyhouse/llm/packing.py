@@ -23,6 +23,7 @@ from tallyhouse.llm.tokens import encoder
 CAPACITY = 2048
 OPEN_BINS = 1024
 _PER_TASK = 1 << 18  # pieces that one task packs, so that few bins stay open at the end of a task
+_SLICE = 1 << 19  # bytes of text tokenised together: the arrays over them take many times that
 END = 0  # the id after each document
 
 
@@ -41,7 +42,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
         encode = encoder(vocabulary).encode
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, _SLICE):
                 owner, piece, start, length, crc, ids = [], [], [], [], [], []
                 for k, doc in enumerate(encode(data, offsets[i : j + 1])):
                     doc = np.append(doc, np.uint32(END)).astype("<u4")
