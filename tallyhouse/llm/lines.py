@@ -23,11 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import FEW, cut_lineage, free_name, numbered
-from tallyhouse.llm.linking import link, shared
+from tallyhouse.llm.linking import link, open_buckets, shared
 
 MIN_WORDS = 5
 #: SimHash bits that may differ; edits of a tenth of the words turn 9 of 64 on average, seldom 20 (see README).
@@ -43,6 +43,9 @@ MOST_EDITS = 3
 SAMPLED, SHINGLE, LEAST_SHINGLE = 12, 6, 4
 #: Members of an open bucket that one task compares with as many others.
 BLOCK = 2000
+#: Open buckets of more members are dealt anew by the rarest words of each line.
+FEW_MEMBERS = 128
+FIRSTS = (8, 16, 32, 48, 64)  # words whose parity bits spare lines a comparison, besides those of all pairs
 _COUNTERS = (8, 16, 32)  # bits of a counter; lines of under half its range in words use it
 
 
@@ -190,11 +193,69 @@ def _linked(a: str, b: str) -> Column:
     return F.expr(f"case when {short} then {one_word} and {within('chars')} else {within('line')} end")
 
 
-def _met_in_blocks(still: DataFrame, facts: DataFrame) -> DataFrame:
+def _by_rare_words(still: DataFrame, facts: DataFrame) -> DataFrame:
+    """Open buckets (key, id, comp) that any two lines of a large bucket still share when they may be
+    linked, but that lines with no more than a passage in common seldom do.
+
+    Of a line of n words an edit distance within the rule leaves out at most n / 10, whichever of the
+    two is longer. So in any one order of all words (a line's second "the" is another word than its
+    first) the first that both lines have is among the first n / 10 + 1 of either. The order is by
+    how many lines have the word: the words of a passage that many lines share come late. Lines of
+    fewer than nine words keep their buckets, as they are linked by characters.
+    """
+    large = cut_lineage(still.groupBy("key").agg(F.count(F.lit(1)).alias("all")).where(f"all > {FEW_MEMBERS}").select("key"), "large")
+    if large.isEmpty():
+        return still
+    marked = still.join(large.withColumn("large", F.lit(True)), "key", "left").join(facts.select("id", "n"), "id")
+    moved = F.col("large").isNotNull() & (F.col("n") >= WHOLE_WORDS - 1)
+    marked = cut_lineage(marked.select("key", "id", "comp", moved.alias("moved")), "marked")
+    spelled = marked.where("moved").groupBy("id").agg(F.first("comp").alias("comp")).join(facts.select("id", "n", "line"), "id")
+    words = F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))
+    # Grouped by the id too, by which the rows lie, the words are counted where they are.
+    counted = spelled.select("id", "comp", "n", F.explode(words).alias("word")).groupBy("id", "comp", "n", "word").agg(F.count(F.lit(1)).alias("times"))
+    each = counted.select("id", "comp", "n", "word", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
+    each = each.select("id", "comp", "n", F.xxhash64("word", "time").alias("key"))
+    known = each.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("lines > 1")
+    known = known.groupBy("id", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("lines", "key"))).alias("some"))
+    need = F.greatest(F.floor(F.col("n") / 10), F.lit(1)).cast("int") + 1  # of nine words one may be another
+    first = F.greatest(F.lit(0), need - (F.col("n") - F.size("some")))  # words of one line only come before
+    dealt = known.select("id", "comp", F.explode(F.slice("some", F.lit(1), first)).alias("p")).select("p.key", "id", "comp")
+    dealt = open_buckets(cut_lineage(dealt, "dealt"))
+    columns = ["key", "id", "comp"]
+    return cut_lineage(marked.where("not moved").select(*columns).union(dealt.select(*columns)), "open")
+
+
+def _marks(ids: DataFrame, facts: DataFrame) -> DataFrame:
+    """Parity bits of lines: bit i is set when an odd number of hashes is i. Two longs over all pairs of
+    neighbouring words, one each over the first words."""
+    words = ids.join(facts.select("id", "line"), "id").select("id", _once(F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))).alias("words"))
+    hashes = F.transform("words", lambda w, i: F.struct(F.xxhash64(w).alias("word"), F.xxhash64(w, F.get("words", i + 1)).alias("pair")))
+    each = words.select("id", F.size("words").alias("n"), F.posexplode(hashes).alias("at", "h")).select("id", "n", "at", "h.word", "h.pair")
+
+    def parity(of: str, chosen: str) -> Column:
+        return F.expr(f"bit_xor(case when {chosen} then shiftleft(1L, cast({of} & 63 as int)) else 0L end)")
+
+    pairs = [parity("pair", f"at < n - 1 and pair & 64 {is_} 0").alias(m) for is_, m in (("=", "pairs_0"), ("!=", "pairs_1"))]
+    return each.groupBy("id").agg(*pairs, *[parity("word", f"at < {k}").alias(f"first_{k}") for k in FIRSTS])
+
+
+def _explained() -> Column:
+    """Whether as few edits as the rule allows can be all that two lines' marks (x, y) differ by.
+
+    An edit takes up to two pairs from a line and brings up to two. Of a line's first words it changes
+    two: one is replaced, or one more or less moves the last one out or in.
+    """
+    edits = f"greatest(floor(greatest(x.n, y.n) * {EDITS[0]} / {EDITS[1]}), 1)"  # of few words one may be another
+    pairs = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in ("pairs_0", "pairs_1"))
+    return F.expr(" and ".join([f"{pairs} <= 4 * {edits}", *[f"bit_count(x.first_{k} ^ y.first_{k}) <= 2 * {edits}" for k in FIRSTS]]))
+
+
+def _met_in_blocks(still: DataFrame, facts: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of near members of open buckets (key, id, comp) that are of different groups.
 
     The members outside a bucket's largest group are compared with all members, block by block, so
-    that no task gets a whole bucket.
+    that no task gets a whole bucket; a pair of several buckets comes from the one with the least key. With
+    ``marks`` of all members pairs are left out that no edits within the rule explain.
     """
     groups = still.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     sizes = groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"))
@@ -204,15 +265,19 @@ def _met_in_blocks(still: DataFrame, facts: DataFrame) -> DataFrame:
         F.ceil(F.col("all") / BLOCK).cast("int").alias("of_all"),
         F.ceil((F.col("all") - F.col("main.n") + 1) / BLOCK).cast("int").alias("of_few"),
     )
-    placed = cut_lineage(still.join(blocks, "key").join(facts.select("id", "sim", "n"), "id"), "placed")
+    facts = facts.select("id", "sim", "n").join(still.groupBy("id").agg(F.collect_list("key").alias("keys")), "id")
+    names = [] if marks is None else marks.columns[1:]
+    placed = cut_lineage(still.join(blocks, "key").join(facts if marks is None else facts.join(marks, "id"), "id"), "placed")
     few = F.pmod(F.xxhash64("id"), F.col("of_few")).cast("int")
     every = F.pmod(F.xxhash64("id"), F.col("of_all")).cast("int")
-    columns = ["key", "id", "comp", "main", "sim", "n"]
+    columns = ["key", "id", "comp", "main", "sim", "n", "keys", *names]
     x = placed.where("comp != main").select(*columns, few.alias("i"), F.explode(F.sequence(F.lit(0), F.col("of_all") - 1)).alias("j")).alias("x")
     y = placed.select(*columns, F.explode(F.sequence(F.lit(0), F.col("of_few") - 1)).alias("i"), every.alias("j")).alias("y")
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
     once = F.expr("x.comp != y.comp and (y.comp = y.main or x.id < y.id)")
-    met = x.join(y, [*same, once, _near("x", "y")])
+    least = F.expr("x.key = array_min(array_intersect(x.keys, y.keys))")
+    conditions = [*same, once, _near("x", "y"), *([] if marks is None else [_explained()]), least]
+    met = x.join(y, conditions)
     return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
@@ -271,7 +336,11 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         both = with_a.join(facts.select(F.col("id").alias("b"), fact.alias("y")), "b")
         return both.where(_near("x", "y")).where(_linked("x", "y")).select("a", "b")
 
-    labels = link(members, confirmed, lambda still: confirmed(_met_in_blocks(still, facts)))
+    def rest(still: DataFrame) -> DataFrame:
+        marks = cut_lineage(_marks(still.select("id").distinct(), facts), "marks")
+        return confirmed(_met_in_blocks(_by_rare_words(still, facts), facts, marks))
+
+    labels = link(members, confirmed, rest)
     groups = unique.join(labels, "id", "left").withColumn("keeper", F.coalesce("comp", "id"))
     groups = groups.where((F.col("copies") > 1) | (F.col("keeper") != F.col("id"))).select("h1", "h2", "keeper")
     dropped = (

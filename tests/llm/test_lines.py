@@ -183,3 +183,64 @@ def test_a_long_text_with_one_repeated_line(spark):
     docs = spark.createDataFrame([(0, "\n".join([line, *many, line, "end"]))], "doc_id long, text string")
     (row,) = lines.drop_repeated_lines(docs).collect()
     assert row.text == "\n".join([line, *many, "end"]) and row.n_lines == 60_003
+
+
+def test_lines_with_a_common_passage_are_not_all_compared(spark):
+    """A large open bucket gives the pairs that the rule may link and few others."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    passage = words[:20]
+    texts = []
+    for _ in range(300):
+        n = rng.randint(15, 90)
+        own = rng.sample(words, n)
+        at = rng.randrange(n)
+        texts.append(own[:at] + passage + own[at:])
+    for x in texts[:60]:
+        y = list(x)
+        for at in rng.sample(range(len(y)), len(y) // 10):
+            y[at] = rng.choice(["other", "the", y[0]])
+        if rng.random() < 0.5:
+            at = next(i for i in range(len(y)) if y[i] != x[i])
+            del y[at]
+        texts.append(y)
+    near = {(i, 300 + i) for i in range(60)}
+    assert all(distance(texts[i], texts[j]) <= max(len(texts[i]), len(texts[j])) // 10 for i, j in near)
+    said = F.col("words")
+    facts = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, words array<string>")
+    facts = facts.select("id", F.size(said).alias("n"), F.lit(7).cast("long").alias("sim"), lines._spelled(said).alias("line"))
+    still = spark.createDataFrame([(k, i, i) for k in (1, 2) for i in range(len(texts))], "key long, id long, comp long")
+    marks = lines._marks(still.select("id").distinct(), facts)
+    met = [tuple(sorted(p)) for p in lines._met_in_blocks(lines._by_rare_words(still, facts), facts, marks).collect()]
+    assert near <= set(met) and len(met) == len(set(met)) < 2 * len(texts)
+    # Neither step alone loses a pair.
+    for some in (lines._met_in_blocks(lines._by_rare_words(still, facts), facts), lines._met_in_blocks(still, facts, marks)):
+        assert near <= {tuple(sorted(p)) for p in some.collect()}
+
+
+def test_rare_words_and_marks_lose_no_pair_within_the_rule(spark):
+    """Lines from nine words on, with few different words or many, that differ as much as the rule allows."""
+    rng = random.Random(12)
+    texts = []
+    for n in list(range(9, 60)) * 3 + [200, 500]:
+        x = [f"w{rng.randrange(rng.choice((3, 30, 3000)))}" for _ in range(n)]
+        y = list(x)
+        for _ in range(rng.choice((n // 10, n // 9)) or 1):
+            at, kind = rng.randrange(len(y)), rng.random()
+            if kind < 0.4:
+                y[at] = f"w{rng.randrange(40)}"
+            elif kind < 0.7:
+                del y[at]
+            else:
+                y.insert(at, "w1")
+        texts += [x, y]
+    near = {(i, i + 1) for i in range(0, len(texts), 2) if distance(texts[i], texts[i + 1]) <= max(len(texts[i]), len(texts[i + 1])) // 10}
+    near |= {(i, i + 1) for i in range(0, len(texts), 2) if len(texts[i]) == len(texts[i + 1]) == 9 and distance(texts[i], texts[i + 1]) == 1}
+    assert len(near) > 100
+    said = F.col("words")
+    facts = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, words array<string>")
+    facts = facts.select("id", F.size(said).alias("n"), F.lit(7).cast("long").alias("sim"), lines._spelled(said).alias("line"))
+    still = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "key long, id long, comp long")
+    marks = lines._marks(still.select("id").distinct(), facts)
+    met = {tuple(sorted(p)) for p in lines._met_in_blocks(lines._by_rare_words(still, facts), facts, marks).collect()}
+    assert near <= met
