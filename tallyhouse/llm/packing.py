@@ -23,7 +23,7 @@ from tallyhouse.llm.tokens import encoder
 CAPACITY = 2048
 OPEN_BINS = 1024
 _PER_TASK = 1 << 18  # pieces that one task packs, so that few bins stay open at the end of a task
-_SLICE = 1 << 19  # bytes of text tokenised together: the arrays over them take many times that
+_SLICE = 1 << 20  # bytes of text tokenised together: the arrays over them take many times that
 END = 0  # the id after each document
 
 
