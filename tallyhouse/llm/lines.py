@@ -45,6 +45,7 @@ SAMPLED, SHINGLE, LEAST_SHINGLE = 12, 6, 4
 BLOCK = 2000
 #: Open buckets of more members are dealt anew by the rarest words of each line.
 FEW_MEMBERS = 128
+COMMON = (16, 64, 256, 1024, 4096, 16384, 65536)  # a word is the more common the more of these it is said more often than
 FIRSTS = (8, 16, 32, 48, 64)  # words whose parity bits spare lines a comparison, besides those of all pairs
 _COUNTERS = (8, 16, 32)  # bits of a counter; lines of under half its range in words use it
 
@@ -61,6 +62,11 @@ def _spelled(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
 
 
+def _without(line: Column, words: Column) -> Column:
+    """A spelled line without the words of another."""
+    return F.call_function("translate", line, words, F.lit(""))
+
+
 def _once(value: Column) -> Column:
     """A generated column, which later expressions read instead of computing the value again."""
     return F.explode(F.array(value))
@@ -198,28 +204,33 @@ def _by_rare_words(still: DataFrame, facts: DataFrame) -> DataFrame:
     linked, but that lines with no more than a passage in common seldom do.
 
     Of a line of n words an edit distance within the rule leaves out at most n / 10, whichever of the
-    two is longer. So in any one order of all words (a line's second "the" is another word than its
-    first) the first that both lines have is among the first n / 10 + 1 of either. The order is by
-    how many lines have the word: the words of a passage that many lines share come late. Lines of
-    fewer than nine words keep their buckets, as they are linked by characters.
+    two is longer. So in any one order of all words the first that both lines have is among the first
+    n / 10 + 1 of either; a word said twice takes two places. The order is by how common the words are
+    in all lines of open buckets: the words of a passage that many lines share come late. A line is
+    one character a word, and the common ones are texts of such characters, so each line is put in order
+    where it lies. Lines of fewer than nine words keep their buckets, as they are linked by characters.
     """
     large = cut_lineage(still.groupBy("key").agg(F.count(F.lit(1)).alias("all")).where(f"all > {FEW_MEMBERS}").select("key"), "large")
     if large.isEmpty():
         return still
+    words = F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))
+    said = facts.join(still.select("id").distinct(), "id", "left_semi").select(F.explode(words).alias("word"))
+    counts = said.groupBy("word").agg(F.count(F.lit(1)).alias("times")).where(f"times > {COMMON[0]}")
+    # At most a million words have characters of their own, so this is a row of a few MB.
+    levels = [F.array_join(F.collect_list(F.when(F.col("times") > k, F.col("word"))), "").alias(f"over_{k}") for k in COMMON]
+    common = cut_lineage(counts.agg(*levels), "common")
     marked = still.join(large.withColumn("large", F.lit(True)), "key", "left").join(facts.select("id", "n"), "id")
     moved = F.col("large").isNotNull() & (F.col("n") >= WHOLE_WORDS - 1)
     marked = cut_lineage(marked.select("key", "id", "comp", moved.alias("moved")), "marked")
     spelled = marked.where("moved").groupBy("id").agg(F.first("comp").alias("comp")).join(facts.select("id", "n", "line"), "id")
-    words = F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))
-    # Grouped by the id too, by which the rows lie, the words are counted where they are.
-    counted = spelled.select("id", "comp", "n", F.explode(words).alias("word")).groupBy("id", "comp", "n", "word").agg(F.count(F.lit(1)).alias("times"))
-    each = counted.select("id", "comp", "n", "word", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
-    each = each.select("id", "comp", "n", F.xxhash64("word", "time").alias("key"))
-    known = each.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("lines > 1")
-    known = known.groupBy("id", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("lines", "key"))).alias("some"))
+    left = [_without(F.col("line"), F.col(f"over_{k}")).alias(f"rarer_{k}") for k in COMMON]
+    spelled = spelled.crossJoin(F.broadcast(common)).select("id", "comp", "n", "line", *left)
+    rarer = [F.lit(""), *[F.col(f"rarer_{k}") for k in COMMON], F.col("line")]
+    of_level = [_without(more, fewer) for fewer, more in zip(rarer, rarer[1:])]
+    ordered = F.concat(*[F.sort_array(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))) for x in of_level])
     need = F.greatest(F.floor(F.col("n") / 10), F.lit(1)).cast("int") + 1  # of nine words one may be another
-    first = F.greatest(F.lit(0), need - (F.col("n") - F.size("some")))  # words of one line only come before
-    dealt = known.select("id", "comp", F.explode(F.slice("some", F.lit(1), first)).alias("p")).select("p.key", "id", "comp")
+    first = F.array_distinct(F.slice(ordered, F.lit(1), need))
+    dealt = spelled.select("id", "comp", F.explode(first).alias("word")).select(F.xxhash64("word").alias("key"), "id", "comp")
     dealt = open_buckets(cut_lineage(dealt, "dealt"))
     columns = ["key", "id", "comp"]
     return cut_lineage(marked.where("not moved").select(*columns).union(dealt.select(*columns)), "open")
@@ -321,8 +332,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         found = (
             stored.select(F.col(row).alias("row"), "text")
             .join(_few_places(places), "row")
-            .select(each_line.alias("all"), F.explode("places").alias("p"))
-            .select(F.col("p.line_id").alias("id"), _once(words_of(F.get("all", F.col("p.pos")))).alias("words"))
+            .select("places", _once(each_line).alias("all"))
+            .select(F.explode(F.transform("places", lambda p: F.struct(p["line_id"].alias("id"), F.get("all", p["pos"]).alias("line")))).alias("p"))
+            .select("p.id", _once(words_of(F.col("p.line"))).alias("words"))
         )
         n = F.size("words")
         chars = F.when(n < WHOLE_WORDS, F.array_join("words", " "))
@@ -340,7 +352,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         marks = cut_lineage(_marks(still.select("id").distinct(), facts), "marks")
         return confirmed(_met_in_blocks(_by_rare_words(still, facts), facts, marks))
 
-    labels = link(members, confirmed, rest)
+    labels = link(members, confirmed, rest, few=FEW_MEMBERS)
     groups = unique.join(labels, "id", "left").withColumn("keeper", F.coalesce("comp", "id"))
     groups = groups.where((F.col("copies") > 1) | (F.col("keeper") != F.col("id"))).select("h1", "h2", "keeper")
     dropped = (

@@ -83,14 +83,15 @@ def with_leader(members: DataFrame, rank: F.Column) -> DataFrame:
     return met.select(F.col("id").alias("a"), F.col("best.b").alias("b")).distinct()
 
 
-def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3) -> DataFrame:
+def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3, few: int = 0) -> DataFrame:
     """Groups (id, comp) of the ids that share a bucket and whose link ``verify`` confirms.
 
     ``members`` (key, id) is a stored table. ``verify`` gets pairs (a, b) and returns those that
     are links. The first round's leaders are the members with the most company over all their
     buckets, as the middle of a cloud of copies has; later ones belong to the largest group and
     differ by bucket. ``rest`` gets the members (key, id, comp) of buckets that are open after
-    that and returns all links between their groups, so no link within a bucket is lost.
+    that and returns all links between their groups, so no link within a bucket is lost. Buckets of
+    at most ``few`` members, which have few pairs, go from the first round straight to ``rest``.
     """
     members = cut_lineage(shared(members), "members")
     company = cut_lineage(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "company")
@@ -99,9 +100,13 @@ def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3) -> D
     links = cut_lineage(verify(with_leader(ranked, F.struct("degree", -F.col("id")))), "verified")
     labels = cut_lineage(components(links), "labels")
     still = cut_lineage(open_buckets(labelled(members, labels)), "open")
+    small, moved = still.limit(0), False
+    if few:
+        large = cut_lineage(still.groupBy("key").agg(F.count(F.lit(1)).alias("all")).where(F.col("all") > few).select("key"), "large")
+        small, still = still.join(large, "key", "left_anti"), cut_lineage(still.join(large, "key", "left_semi"), "open")
     for i in range(1, rounds):
         if still.isEmpty():
-            return labels
+            break
         size = cut_lineage(still.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "sizes")
         sized = still.join(size, "comp")
         rank = F.struct("size", "comp", F.xxhash64("key", "id", F.lit(i)))
@@ -110,7 +115,11 @@ def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3) -> D
             continue
         links = cut_lineage(links.union(new), "verified")
         labels = cut_lineage(components(links), "labels")
+        moved = True
         still = cut_lineage(open_buckets(labelled(still.select("key", "id"), labels)), "open")
+    if few:
+        small = open_buckets(labelled(small.select("key", "id"), labels)) if moved else small
+        still = cut_lineage(still.unionByName(small), "open")
     if still.isEmpty():
         return labels
     return components(links.union(rest(still)))

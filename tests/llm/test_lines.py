@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import lines
+from tallyhouse.llm import lines, linking
 
 
 def norm(line):
@@ -244,3 +244,48 @@ def test_rare_words_and_marks_lose_no_pair_within_the_rule(spark):
     marks = lines._marks(still.select("id").distinct(), facts)
     met = {tuple(sorted(p)) for p in lines._met_in_blocks(lines._by_rare_words(still, facts), facts, marks).collect()}
     assert near <= met
+
+
+def test_only_the_rarest_words_of_a_line_become_rows(spark):
+    """A large bucket is dealt by n / 10 + 1 words of each line, those that fewest lines have."""
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(40_000)]
+    texts = [words[:20] + rng.sample(words[20:], 40) for _ in range(200)]
+    said = F.col("words")
+    facts = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, words array<string>")
+    facts = facts.select("id", F.size(said).alias("n"), lines._spelled(said).alias("line"))
+    still = spark.createDataFrame([(k, i, i) for k in (1, 2) for i in range(len(texts))], "key long, id long, comp long")
+    made = []
+    keep = lines.cut_lineage
+
+    def kept(df, name):
+        made.append((name, out := keep(df, name)))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lines, "cut_lineage", kept)
+        dealt = lines._by_rare_words(still, facts)
+    assert "times" not in "".join(",".join(df.columns) for _, df in made)  # no row for each time of each word
+    assert dict(made)["dealt"].count() == 7 * len(texts)
+    assert dealt.groupBy("key").count().agg(F.max("count")).first()[0] < 20
+
+
+def test_few_members_go_to_the_rest_after_the_first_round(spark):
+    """Small open buckets are compared in full at once; large ones get further leaders first."""
+    members = spark.createDataFrame([(1, i) for i in range(4)] + [(2, i) for i in range(10, 30)], "key long, id long")
+    met, left = [], []
+
+    def verify(pairs):
+        met.append({x for r in pairs.collect() for x in r})
+        return pairs.where(F.col("a") % 5 == F.col("b") % 5)
+
+    def rest(still):
+        left.append({(r.key, r.id) for r in still.collect()})
+        x, y = still.alias("x"), still.alias("y")
+        return x.join(y, F.expr("x.key = y.key and x.id < y.id and x.id % 5 = y.id % 5")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+    labels = {r.id: r.comp for r in linking.link(members, verify, rest, few=10).collect()}
+    assert labels == {i: 10 + i % 5 for i in range(10, 30)}
+    assert all(min(m) >= 10 for m in met[1:]) and len(met) == 3 and {(1, i) for i in range(4)} <= left[0]
+    whole = {r.id: r.comp for r in linking.link(members, verify, rest).collect()}
+    assert whole == labels
