@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tallyhouse.llm import packing
+from tallyhouse.llm import packing, tokens
 from tallyhouse.llm.common import slices, text_buffer
 from tallyhouse.llm.tokens import Encoder
 
@@ -91,3 +92,16 @@ def test_nulls_long_texts_and_other_columns(spark, tokenizer):
 def test_repeated_rows_and_empty_tables(spark, n):
     docs = spark.createDataFrame([(None, "a b")] * n, "doc_id long, text string")
     assert packing.pack_documents(docs, PATH).count() == n
+
+
+def test_the_table_of_classes_takes_little_memory():
+    """A worker builds it when it starts, beside all that its executor holds."""
+    tokens.process_memo().pop("classes", None)
+    tracemalloc.start()
+    try:
+        table = tokens._classes()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40_000_000 and len(table) == 0x110000
+    assert [int(table[ord(c)]) for c in "aé7½  .\U0001f600"] == [1, 1, 2, 2, 3, 3, 4, 4]
