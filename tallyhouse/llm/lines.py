@@ -21,6 +21,7 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,19 +48,24 @@ BLOCK = 2000
 FEW_MEMBERS = 128
 COMMON = (16, 64, 256, 1024, 4096, 16384, 65536)  # a word is the more common the more of these it is said more often than
 FIRSTS = (8, 16, 32, 48, 64)  # words whose parity bits spare lines a comparison, besides those of all pairs
-_COUNTERS = (8, 16, 32)  # bits of a counter; lines of under half its range in words use it
+COUNTED = 127  # words that counters of eight bits count
 
 
 def words_of(line: Column) -> Column:
     """The words of a line that is in lower case already."""
-    return F.array_remove(F.split(line, r"[\x00-@\[-`{-\x7F]+"), "")
+    return F.array_remove(F.split(line, r"[\x00-`{-\x7F]+"), "")
+
+
+def _characters(line: Column) -> Column:
+    """The characters of a text, none of an empty one."""
+    return F.array_remove(F.split(line, ""), "")
 
 
 def _spelled(words: Column) -> Column:
     """A text with one character for each word, so that edits of words are edits of characters. Two
     words share a character with a chance of one in a million."""
-    codes = F.transform(words, lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(1 << 20)) + (1 << 16)), 8, "0"))
-    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
+    codes = F.transform(words, lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(15 << 16)) + (1 << 16)))  # of five digits
+    return F.decode(F.unhex(F.concat(F.lit("000"), F.array_join(codes, "000"))), "UTF-32")
 
 
 def _without(line: Column, words: Column) -> Column:
@@ -72,56 +78,41 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def _sums(hashes: Column, bits: int) -> Column:
-    """Counts of set bits over an array of hashes. A long holds 64 / ``bits`` counters, so ``bits``
-    sums count all bits."""
-    ones = F.lit(sum(1 << (bits * lane) for lane in range(64 // bits)))
-
-    def total(k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(ones))
-
-    return F.array(*[total(k) for k in range(bits)])
+def simhashes(df: DataFrame) -> DataFrame:
+    """Columns id and sim, the 64-bit SimHash of the words of each row of ``df`` (id, words); none of no words.
 
-
-def _majority(sums: Column, n: Column, bits: int) -> Column:
-    """Bit i is set when more than half of ``n`` hashes have it; counter i div b of sum i mod b.
-
-    Adding to each counter what a bare majority lacks to its highest bit sets that bit where there
-    is one. The highest bit of all is turned before and after, so that no sum overflows.
+    A word is a row for as long as its task counts it. Eight sums of eight counters each count the set
+    bits of ``COUNTED`` words, and those of a line are added up in counters of 32 bits.
     """
-    ones = sum(1 << (bits * lane) for lane in range(64 // bits))
+    each = df.select("id", F.posexplode("words").alias("at", "word")).select("id", F.floor(F.col("at") / COUNTED).alias("part"), F.xxhash64("word").alias("h"))
+    ones = F.lit(0x0101010101010101)
+    counted = each.groupBy("id", "part").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(ones)).alias(f"s{k}") for k in range(8)]
+    )
+    pair = F.lit(0x000000FF000000FF)
+    wide = [F.sum(F.shiftrightunsigned(f"s{k}", 8 * j).bitwiseAND(pair)).alias(f"s{k}_{j}") for k in range(8) for j in range(4)]
+    lines = counted.groupBy("id").agg(F.sum("n").alias("n"), *wide)
+    # Adding to each counter what a bare majority lacks to its highest bit sets that bit where there
+    # is one. The highest bit of all is turned before and after, so that no sum overflows.
     top = F.lit(-(1 << 63))
-    lacking = (F.lit(ones) * ((1 << (bits - 1)) - 1 - F.floor(n / 2))).bitwiseOR(top)
-    highest = F.lit((ones << (bits - 1)) - (1 << 64))
+    lacking = (F.lit((1 << 32) + 1) * ((1 << 31) - 1 - F.floor(F.col("n") / 2))).bitwiseOR(top)
+    lines = lines.withColumn("lacking", lacking)
 
-    def spread(out: Column, k: Column) -> Column:
-        reached = (F.get(sums, k) + lacking).bitwiseXOR(top).bitwiseAND(highest)
-        return out.bitwiseOR(F.call_function("shiftleft", F.shiftrightunsigned(reached, bits - 1), k))
+    def bits(k: int, j: int) -> Column:
+        reached = (F.col(f"s{k}_{j}") + F.col("lacking")).bitwiseXOR(top)
+        return F.shiftleft(F.shiftrightunsigned(reached, 31).bitwiseAND(F.lit((1 << 32) + 1)), k + 8 * j)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), F.lit(0).cast("long"), spread)
+    return lines.select("id", functools.reduce(Column.bitwiseOR, [bits(k, j) for k in range(8) for j in range(4)]).alias("sim"))
 
 
 def with_simhash(df: DataFrame, words: Column) -> DataFrame:
     """Adds ``sim``, the 64-bit SimHash of an array of words of any length."""
-    hashed = df.withColumn("_h", _once(F.transform(words, lambda w: F.xxhash64(w))))
-    n, h = F.size("_h"), F.col("_h")
-    sums = _sums(h, _COUNTERS[-1])
-    for bits in reversed(_COUNTERS[:-1]):
-        sums = F.when(n < 1 << (bits - 1), _sums(h, bits)).otherwise(sums)
-    counted = hashed.select(*df.columns, n.alias("_n"), _once(sums).alias("_s"))
-    sums, count = F.col("_s"), F.col("_n")
-    sim = _majority(sums, count, _COUNTERS[-1])
-    for bits in reversed(_COUNTERS[:-1]):
-        sim = F.when(F.size(sums) == bits, _majority(sums, count, bits)).otherwise(sim)
-    return counted.withColumn("sim", sim).drop("_n", "_s")
-
+    named = cut_lineage(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.monotonically_increasing_id().alias("id"), words.alias("words")), "named")
+    found = named.select("id", "row").join(simhashes(named), "id", "left")
+    return found.select("row.*", F.coalesce("sim", F.lit(0)).alias("sim"))
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-
-def _block_starts(n: Column, m: Column, edits: int) -> list[tuple[int, Column]]:
+def _block_starts(n: int, m: int, edits: int) -> list[tuple[int, int]]:
     """Number and start of the blocks of ``m`` words in which two lines may agree after ``edits`` edits.
 
     Of blocks 0 to ``edits`` of the shorter line one, i, is untouched with exactly i edits before it
@@ -137,47 +128,68 @@ def _block_starts(n: Column, m: Column, edits: int) -> list[tuple[int, Column]]:
     return starts
 
 
-def block_keys(words: Column) -> Column:
-    """Bucket keys of a line: an array that two lines share an entry of when the rule may link them.
+def _blocks(n: int) -> list[int]:
+    """Blocks of a line of n words, each as edits and number of block, start (6 bits) and words (6 bits).
 
     The longer line says how many words may be edited, so a line has keys for its own number of
     edits and for that of the longest line it may be linked with. Blocks are as long as the shorter
     line allows; the longer one has those of each length that the shorter may have.
     """
-    n = F.size(words)
-    none = F.array().cast("array<bigint>")
+    found = []
+    for edits in range(1, MOST_EDITS + 1):
+        if n * 10 // 9 >= 10 * edits and n < 10 * (edits + 1):
+            lengths = {n // (edits + 1)} | ({(n - edits) // (edits + 1)} if n >= 10 * edits else set())
+            found += [(edits * 4 + i, at, m) for m in sorted(lengths) for i, at in _block_starts(n, m, edits) if 0 <= at <= n - m]
+    return list(dict.fromkeys((kind << 12) + (at << 6) + m for kind, at, m in found))
 
-    def key(kind: int, i: int, start: Column, m: Column) -> Column:
-        inside = (start >= 0) & (start + m <= n)
-        return F.when(inside, F.xxhash64(F.lit(kind), F.lit(i), F.slice(words, F.greatest(start, F.lit(0)) + 1, m)))
 
-    def blocks(edits: int) -> Column:
-        own = F.floor(n / (edits + 1)).cast("int")
-        other = F.floor((n - edits) / (edits + 1)).cast("int")
-        as_either = F.array(*[key(edits, i, at, own) for i, at in _block_starts(n, own, edits)])
-        as_longer = F.array(*[key(edits, i, at, other) for i, at in _block_starts(n, other, edits)])
-        both = F.when((n >= 10 * edits) & (own != other), F.concat(as_either, as_longer)).otherwise(as_either)
-        return F.when((F.floor(n * 10 / 9) >= 10 * edits) & (n < 10 * (edits + 1)), both).otherwise(none)
+def _cut_keys(words: Column) -> Column:
+    """Keys of a line that is not too long to be cut into blocks, and null in places that it has no block for.
+    Compiled code, as no part of it is within a higher-order function."""
+    n = F.size(words)
+    blocks = [_blocks(k) for k in range(10 * (MOST_EDITS + 1))]
+    table = F.expr("array(" + ", ".join(f"cast(array({', '.join(map(str, b))}) as array<int>)" for b in blocks) + ")")
 
     def all_but(i: int) -> Column:
         rest = F.xxhash64(F.lit(0), F.lit(i), F.slice(words, 1, i), F.slice(words, F.lit(i + 2), F.greatest(n - i - 1, F.lit(0))))
         return F.when(n > i, rest)
 
-    def sampled(hashes: Column) -> Column:
-        def place(h: Column) -> Column:
-            return (F.call_function("array_position", hashes, h) - 1).cast("int")
+    def block(k: int) -> Column:
+        which = F.get(F.get(table, n), F.lit(k))
+        at, m = F.shiftright(which, 6).bitwiseAND(F.lit(63)), which.bitwiseAND(F.lit(63))
+        return F.when(which.isNotNull(), F.xxhash64(F.shiftright(which, 12), F.slice(words, at + 1, m)))
+
+    short = F.array(*[all_but(i) for i in range(WHOLE_WORDS - 1)])
+    some = F.array(*[block(k) for k in range(max(map(len, blocks)))])
+    both = F.when(n < WHOLE_WORDS - 1, short).when(n < WHOLE_WORDS, F.concat(short, some)).when(n < len(blocks), some)
+    return F.array_distinct(both)
+
+
+def _hashes(words: Column) -> Column:
+    """Hashes of the words of lines that have sampled keys, else null."""
+    long = F.floor(F.size(words) * 10 / 9) >= 10 * (MOST_EDITS + 1)
+    return F.when(long, F.transform(words, lambda w: F.xxhash64(w)))
 
-        def shingle(at: Column) -> Column:  # a slice within a lambda would read the whole array
-            some = [F.get(hashes, at + i) for i in range(SHINGLE)]
-            return F.when(some[LEAST_SHINGLE - 1].isNotNull(), F.xxhash64(F.lit(MOST_EDITS + 1), *some))
 
-        return F.transform(F.transform(F.slice(F.sort_array(F.array_distinct(hashes)), 1, SAMPLED), place), shingle)
+def _smallest(hashes: Column) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SAMPLED)
 
-    short = F.when(n < WHOLE_WORDS, F.array(*[all_but(i) for i in range(WHOLE_WORDS - 1)])).otherwise(none)
-    cut = F.when(n < 10 * (MOST_EDITS + 1), F.concat(short, *[blocks(k) for k in range(1, MOST_EDITS + 1)])).otherwise(none)
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    long = F.when(F.floor(n * 10 / 9) >= 10 * (MOST_EDITS + 1), _bound(hashes, sampled)).otherwise(none)
-    return F.array_distinct(F.array_compact(F.concat(cut, long)))
+
+def _sampled_keys(hashes: Column, smallest: Column) -> Column:
+    """Keys of the shingles that begin with the words of smallest hashes; null where a line ends too soon."""
+
+    def shingle(k: int) -> Column:
+        at = F.call_function("array_position", hashes, F.get(smallest, F.lit(k))).cast("int")
+        return F.when(at <= F.size(hashes) - LEAST_SHINGLE + 1, F.xxhash64(F.lit(MOST_EDITS + 1), F.slice(hashes, at, SHINGLE)))
+
+    return F.when(hashes.isNotNull(), F.array_distinct(F.array(*[shingle(k) for k in range(SAMPLED)])))
+
+
+def block_keys(words: Column) -> Column:
+    """Bucket keys of a line: an array that two lines share an entry of when the rule may link them."""
+    none = F.array().cast("array<bigint>")
+    hashes = _hashes(words)
+    return F.array_compact(F.concat(F.coalesce(_cut_keys(words), none), F.coalesce(_sampled_keys(hashes, _smallest(hashes)), none)))
 
 
 def _near(a: str, b: str) -> Column:
@@ -206,28 +218,28 @@ def _by_rare_words(still: DataFrame, facts: DataFrame) -> DataFrame:
     Of a line of n words an edit distance within the rule leaves out at most n / 10, whichever of the
     two is longer. So in any one order of all words the first that both lines have is among the first
     n / 10 + 1 of either; a word said twice takes two places. The order is by how common the words are
-    in all lines of open buckets: the words of a passage that many lines share come late. A line is
+    in all lines that are dealt anew: the words of a passage that many of them share come late. A line is
     one character a word, and the common ones are texts of such characters, so each line is put in order
     where it lies. Lines of fewer than nine words keep their buckets, as they are linked by characters.
     """
     large = cut_lineage(still.groupBy("key").agg(F.count(F.lit(1)).alias("all")).where(f"all > {FEW_MEMBERS}").select("key"), "large")
     if large.isEmpty():
         return still
-    words = F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))
-    said = facts.join(still.select("id").distinct(), "id", "left_semi").select(F.explode(words).alias("word"))
+    marked = still.join(large.withColumn("large", F.lit(True)), "key", "left").join(facts.select("id", "n"), "id")
+    moved = F.col("large").isNotNull() & (F.col("n") >= WHOLE_WORDS - 1)
+    marked = cut_lineage(marked.select("key", "id", "comp", moved.alias("moved")), "marked")
+    spelled = marked.where("moved").groupBy("id").agg(F.first("comp").alias("comp"))
+    spelled = cut_lineage(spelled.join(facts.select("id", "n", "line"), "id"), "spelled")
+    said = spelled.select(F.explode(F.split("line", "")).alias("word"))
     counts = said.groupBy("word").agg(F.count(F.lit(1)).alias("times")).where(f"times > {COMMON[0]}")
     # At most a million words have characters of their own, so this is a row of a few MB.
     levels = [F.array_join(F.collect_list(F.when(F.col("times") > k, F.col("word"))), "").alias(f"over_{k}") for k in COMMON]
     common = cut_lineage(counts.agg(*levels), "common")
-    marked = still.join(large.withColumn("large", F.lit(True)), "key", "left").join(facts.select("id", "n"), "id")
-    moved = F.col("large").isNotNull() & (F.col("n") >= WHOLE_WORDS - 1)
-    marked = cut_lineage(marked.select("key", "id", "comp", moved.alias("moved")), "marked")
-    spelled = marked.where("moved").groupBy("id").agg(F.first("comp").alias("comp")).join(facts.select("id", "n", "line"), "id")
     left = [_without(F.col("line"), F.col(f"over_{k}")).alias(f"rarer_{k}") for k in COMMON]
     spelled = spelled.crossJoin(F.broadcast(common)).select("id", "comp", "n", "line", *left)
     rarer = [F.lit(""), *[F.col(f"rarer_{k}") for k in COMMON], F.col("line")]
     of_level = [_without(more, fewer) for fewer, more in zip(rarer, rarer[1:])]
-    ordered = F.concat(*[F.sort_array(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))) for x in of_level])
+    ordered = F.concat(*[F.sort_array(_characters(x)) for x in of_level])
     need = F.greatest(F.floor(F.col("n") / 10), F.lit(1)).cast("int") + 1  # of nine words one may be another
     first = F.array_distinct(F.slice(ordered, F.lit(1), need))
     dealt = spelled.select("id", "comp", F.explode(first).alias("word")).select(F.xxhash64("word").alias("key"), "id", "comp")
@@ -239,7 +251,7 @@ def _by_rare_words(still: DataFrame, facts: DataFrame) -> DataFrame:
 def _marks(ids: DataFrame, facts: DataFrame) -> DataFrame:
     """Parity bits of lines: bit i is set when an odd number of hashes is i. Two longs over all pairs of
     neighbouring words, one each over the first words."""
-    words = ids.join(facts.select("id", "line"), "id").select("id", _once(F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))).alias("words"))
+    words = ids.join(facts.select("id", "line"), "id").select("id", _once(_characters(F.col("line"))).alias("words"))
     hashes = F.transform("words", lambda w, i: F.struct(F.xxhash64(w).alias("word"), F.xxhash64(w, F.get("words", i + 1)).alias("pair")))
     each = words.select("id", F.size("words").alias("n"), F.posexplode(hashes).alias("at", "h")).select("id", "n", "at", "h.word", "h.pair")
 
@@ -306,24 +318,29 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     stored, row = numbered(docs, "documents")
     each_line = F.split(F.lower("text"), "\n", -1)
-    lines = (
-        stored.select(F.col(row).alias("row"), F.posexplode(each_line).alias("pos", "line"))
-        .select("row", "pos", _once(words_of(F.col("line"))).alias("words"))
-        .where(F.size("words") >= MIN_WORDS)
-        .select(
-            "row",
-            "pos",
-            F.xxhash64("words").alias("h1"),
-            F.xxhash64(F.lit(1), "words").alias("h2"),
-            block_keys(F.col("words")).alias("keys"),
-            F.monotonically_increasing_id().alias("line_id"),
-        )
+    split_lines = stored.select(F.col(row).alias("row"), F.posexplode(each_line).alias("pos", "line"))
+    worded = split_lines.select("row", "pos", _once(words_of(F.col("line"))).alias("words")).where(F.size("words") >= MIN_WORDS)
+    # A step for each thing that a later one reads several times; the steps are compiled.
+    hashed = worded.select(
+        "row", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), _cut_keys(F.col("words")).alias("cut"), _hashes(F.col("words")).alias("hashes")
+    )
+    sampled = hashed.select("*", _once(_smallest(F.col("hashes"))).alias("smallest"))
+    lines = sampled.select(
+        "row",
+        "pos",
+        "h1",
+        "h2",
+        F.array_compact("cut").alias("cut"),
+        _sampled_keys(F.col("hashes"), F.col("smallest")).alias("sampled"),
+        F.monotonically_increasing_id().alias("line_id"),
     )
     lines = cut_lineage(lines, "lines")
     unique = cut_lineage(lines.groupBy("h1", "h2").agg(F.min("line_id").alias("id"), F.count(F.lit(1)).alias("copies")), "unique")
     first = unique.select(F.col("id").alias("line_id")).hint("shuffle_hash")
-    members = lines.select("line_id", "keys").join(first, "line_id", "left_semi").select(F.explode("keys").alias("key"), F.col("line_id").alias("id"))
-    members = cut_lineage(shared(members), "members")
+    none = F.array().cast("array<bigint>")
+    keys = F.concat(F.coalesce("cut", none), F.coalesce("sampled", none))
+    members = lines.select("line_id", keys.alias("keys")).join(first, "line_id", "left_semi").select(F.explode("keys").alias("key"), F.col("line_id").alias("id"))
+    members = cut_lineage(shared(members.where("key is not null")), "members")
 
     def facts_of(ids: DataFrame) -> DataFrame:
         """Words, characters, SimHash and number of words of the lines that share a bucket, in one scan."""
@@ -336,9 +353,11 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
             .select(F.explode(F.transform("places", lambda p: F.struct(p["line_id"].alias("id"), F.get("all", p["pos"]).alias("line")))).alias("p"))
             .select("p.id", _once(words_of(F.col("p.line"))).alias("words"))
         )
+        found = cut_lineage(found, "found")
         n = F.size("words")
         chars = F.when(n < WHOLE_WORDS, F.array_join("words", " "))
-        return with_simhash(found, F.col("words")).select("id", n.alias("n"), "sim", _spelled(F.col("words")).alias("line"), chars.alias("chars"))
+        spelled = found.select("id", n.alias("n"), _spelled(F.col("words")).alias("line"), chars.alias("chars"))
+        return spelled.join(simhashes(found), "id").select("id", "n", "sim", "line", "chars")
 
     facts = cut_lineage(facts_of(members.select(F.col("id").alias("line_id")).distinct()), "facts")
 

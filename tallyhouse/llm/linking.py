@@ -59,9 +59,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def shared(members: DataFrame) -> DataFrame:
     """The members (key, id) of buckets that hold two or more different ids. The rows move once."""
-    bucket = Window.partitionBy("key").orderBy("id")
-    company = F.coalesce(F.lag("id").over(bucket), F.lead("id").over(bucket)).isNotNull()
-    return members.withColumn("company", company).where("company").select("key", "id")
+    bucket = Window.partitionBy("key")
+    ids = members.withColumns({"lo": F.min("id").over(bucket), "hi": F.max("id").over(bucket)})
+    return ids.where("lo < hi").select("key", "id")
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:

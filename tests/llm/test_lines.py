@@ -289,3 +289,36 @@ def test_few_members_go_to_the_rest_after_the_first_round(spark):
     assert all(min(m) >= 10 for m in met[1:]) and len(met) == 3 and {(1, i) for i in range(4)} <= left[0]
     whole = {r.id: r.comp for r in linking.link(members, verify, rest).collect()}
     assert whole == labels
+
+
+def test_keys_and_simhashes_are_compiled(spark):
+    """No higher-order function is around the work of each word, so Spark compiles it."""
+    stored = spark.createDataFrame([(0, ["a"] * 50, [7] * 50, [7])], "id long, words array<string>, hashes array<long>, smallest array<long>")
+    steps = [
+        stored.select(lines._cut_keys(F.col("words"))),
+        stored.select(lines._sampled_keys(F.col("hashes"), F.col("smallest"))),
+        lines.simhashes(stored),
+    ]
+    assert not any("lambda" in s._jdf.queryExecution().optimizedPlan().toString() for s in steps)
+
+
+def test_simhashes_of_lines_of_any_length(spark):
+    rng = random.Random(14)
+    texts = [[f"w{rng.randrange(60)}" for _ in range(n)] for n in (1, 2, 64, 127, 128, 254, 255, 256, 700, 20_000)] + [["one"] * 300]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, words array<string>")
+    got = {r.id: r.sim for r in lines.simhashes(frame).collect()}
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in {w for t in texts for w in t}], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    for i, words in enumerate(texts):
+        assert got[i] & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * sum(hashes[w] >> b & 1 for w in words) > len(words))
+
+
+def test_every_line_has_keys_and_none_for_places_outside(spark):
+    frame = spark.createDataFrame([(n, [f"w{i}" for i in range(n)]) for n in range(5, 60)], "n int, words array<string>")
+    rows = frame.select("n", lines.block_keys(F.col("words")).alias("keys")).collect()
+    assert all(r["keys"] and None not in r["keys"] and len(set(r["keys"])) == len(r["keys"]) for r in rows)
+    assert all(0 <= at <= at + m <= n and m > 0 for n in range(10, 40) for b in lines._blocks(n) for at, m in [(b >> 6 & 63, b & 63)])
+
+
+def test_a_member_met_twice_is_no_company(spark):
+    members = spark.createDataFrame([(1, 5), (1, 5), (2, 6), (2, 7), (2, 7), (3, 8)], "key long, id long")
+    assert sorted(tuple(r) for r in linking.shared(members).collect()) == [(2, 6), (2, 7), (2, 7)]
