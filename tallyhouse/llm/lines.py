@@ -81,28 +81,35 @@ def _once(value: Column) -> Column:
 def simhashes(df: DataFrame) -> DataFrame:
     """Columns id and sim, the 64-bit SimHash of the words of each row of ``df`` (id, words); none of no words.
 
-    A word is a row for as long as its task counts it. Eight sums of eight counters each count the set
-    bits of ``COUNTED`` words, and those of a line are added up in counters of 32 bits.
+    A word is a row for as long as its task counts it. Sum k of eight counts bits k, k + 8 and so on of up to
+    ``COUNTED`` words in counters of eight bits. Those of longer lines are added up in counters of 32 bits, a
+    row for each k: steps of wide rows make methods that take a compiler gigabytes.
     """
-    each = df.select("id", F.posexplode("words").alias("at", "word")).select("id", F.floor(F.col("at") / COUNTED).alias("part"), F.xxhash64("word").alias("h"))
+    each = df.select("id", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    each = each.select("id", "n", F.floor(F.col("at") / COUNTED).alias("part"), F.xxhash64("word").alias("h"))
     ones = F.lit(0x0101010101010101)
-    counted = each.groupBy("id", "part").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(ones)).alias(f"s{k}") for k in range(8)]
-    )
-    pair = F.lit(0x000000FF000000FF)
-    wide = [F.sum(F.shiftrightunsigned(f"s{k}", 8 * j).bitwiseAND(pair)).alias(f"s{k}_{j}") for k in range(8) for j in range(4)]
-    lines = counted.groupBy("id").agg(F.sum("n").alias("n"), *wide)
-    # Adding to each counter what a bare majority lacks to its highest bit sets that bit where there
-    # is one. The highest bit of all is turned before and after, so that no sum overflows.
+    counted = each.groupBy("id", "n", "part").agg(*[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(ones)).alias(f"s{k}") for k in range(8)])
+    counted = cut_lineage(counted, "counted")
     top = F.lit(-(1 << 63))
-    lacking = (F.lit((1 << 32) + 1) * ((1 << 31) - 1 - F.floor(F.col("n") / 2))).bitwiseOR(top)
-    lines = lines.withColumn("lacking", lacking)
 
-    def bits(k: int, j: int) -> Column:
-        reached = (F.col(f"s{k}_{j}") + F.col("lacking")).bitwiseXOR(top)
-        return F.shiftleft(F.shiftrightunsigned(reached, 31).bitwiseAND(F.lit((1 << 32) + 1)), k + 8 * j)
+    def majority(counters: Column, bits: int) -> Column:
+        """The highest bit of each counter moved to its lowest, set where the count is more than half of n.
 
-    return lines.select("id", functools.reduce(Column.bitwiseOR, [bits(k, j) for k in range(8) for j in range(4)]).alias("sim"))
+        Adding to each counter what a bare majority lacks to its highest bit sets that bit where there
+        is one. The highest bit of all is turned before and after, so that no sum overflows.
+        """
+        ones = sum(1 << (bits * lane) for lane in range(64 // bits))
+        lacking = (F.lit(ones) * ((1 << (bits - 1)) - 1 - F.floor(F.col("n") / 2))).bitwiseOR(top)
+        return F.shiftrightunsigned((counters + lacking).bitwiseXOR(top), bits - 1).bitwiseAND(F.lit(ones))
+
+    few = [F.shiftleft(majority(F.col(f"s{k}"), 8), k) for k in range(8)]
+    short = counted.where(f"n <= {COUNTED}").select("id", functools.reduce(Column.bitwiseOR, few).alias("sim"))
+    long = counted.where(f"n > {COUNTED}").select("id", "n", F.posexplode(F.array(*[f"s{k}" for k in range(8)])).alias("k", "s"))
+    pair = F.lit(0x000000FF000000FF)
+    wide = long.groupBy("id", "n", "k").agg(*[F.sum(F.shiftrightunsigned("s", 8 * j).bitwiseAND(pair)).alias(f"s{j}") for j in range(4)])
+    set_bits = functools.reduce(Column.bitwiseOR, [F.shiftleft(majority(F.col(f"s{j}"), 32), 8 * j) for j in range(4)])
+    found = wide.select("id", F.call_function("shiftleft", set_bits, F.col("k")).alias("sim")).groupBy("id").agg(F.bit_or("sim").alias("sim"))
+    return short.union(found)
 
 
 def with_simhash(df: DataFrame, words: Column) -> DataFrame:
