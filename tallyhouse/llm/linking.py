@@ -78,7 +78,11 @@ def open_buckets(members: DataFrame) -> DataFrame:
 def with_leader(members: DataFrame, rank: F.Column) -> DataFrame:
     """Pairs (a, b): each member with the highest ranked one of its bucket, unless they are of one
     group already. One row per pair, however many buckets it shares."""
-    best = members.groupBy("key").agg(F.max(F.struct(rank.alias("r"), F.col("id").alias("b"), F.col("comp").alias("to"))).alias("best"))
+    return with_best(members, members.groupBy("key").agg(F.max(F.struct(rank.alias("r"), F.col("id").alias("b"), F.col("comp").alias("to"))).alias("best")))
+
+
+def with_best(members: DataFrame, best: DataFrame) -> DataFrame:
+    """As ``with_leader``, for leaders (key, best) that are found already."""
     met = members.join(cut_lineage(best, "leaders"), "key").where(F.col("comp") != F.col("best.to"))
     return met.select(F.col("id").alias("a"), F.col("best.b").alias("b")).distinct()
 
@@ -108,9 +112,10 @@ def link(members: DataFrame, verify: Verify, rest: Verify, rounds: int = 3, few:
         if still.isEmpty():
             break
         size = cut_lineage(still.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "sizes")
-        sized = still.join(size, "comp")
-        rank = F.struct("size", "comp", F.xxhash64("key", "id", F.lit(i)))
-        new = cut_lineage(verify(with_leader(sized, rank)), "verified")
+        # A group's own best member first, so that sizes are joined to the groups of a bucket, not to its members.
+        own = still.groupBy("key", "comp").agg(F.max(F.struct(F.xxhash64("key", "id", F.lit(i)).alias("r"), F.col("id").alias("b"))).alias("own")).join(size, "comp")
+        best = own.groupBy("key").agg(F.max(F.struct("size", F.col("comp").alias("to"), "own.r", "own.b")).alias("best"))
+        new = cut_lineage(verify(with_best(still, best)), "verified")
         if new.isEmpty():
             continue
         links = cut_lineage(links.union(new), "verified")
