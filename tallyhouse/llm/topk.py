@@ -7,7 +7,9 @@ their inner product: (|x|^2 + |y|^2 - bound^2) / 2. A query's candidates are eva
 of that bound until the next bound is below the k-th best score, so nothing is approximate.
 
 Candidates and queries are packed into blocks. Every block of queries meets every block of
-candidates, as the query set is given; a task holds one block of either at a time.
+candidates, as the query set is given; a task holds one block of either at a time. Blocks meet by a
+shuffle and never pass the driver, however small their files are; what the driver gets is the sample
+that pivots are chosen from, of a size that does not grow with the table.
 """
 
 from __future__ import annotations
@@ -100,6 +102,24 @@ def _blocks(size: int, width: int, pivots: np.ndarray):
 _BLOCK = "block long, rows array<long>, ids array<long>, vectors binary, pivot_table binary"
 
 
+def _likely(source: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """Rows (``rows`` in all) among which the first ``wanted`` in the order of their hashes are. Each task
+    sends its first ``wanted`` to the driver, so of a table in many tasks only these rows are asked."""
+    share = 4 * wanted + 100  # so many more that the first are left out by no chance worth naming
+    if rows <= share:
+        return source
+    return source.where(F.xxhash64("row") < (share << 64) // rows - (1 << 63))
+
+
+def _meet(x: DataFrame, q: DataFrame, groups: int) -> DataFrame:
+    """Each block of candidates with each block of queries. Queries are repeated for each of ``groups``, which
+    Spark's estimate of their size does not see; the hint keeps it from copying them by way of the driver."""
+    names = {"rows": "rows", "ids": "ids", "vectors": "vectors", "pivot_table": "table"}
+    left = x.select(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), *[F.col(a).alias(f"x_{b}") for a, b in names.items()])
+    right = q.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"), *[F.col(a).alias(f"q_{b}") for a, b in names.items()])
+    return left.join(right.hint("merge"), "g").drop("g")
+
+
 def _scores(x: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     return x @ q if exact else (x.astype(object) * [int(v) for v in q]).sum(axis=1)
 
@@ -165,8 +185,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, pivots: int = PIVOTS,
     spark = vectors.sparkSession
     source, row = numbered(vectors, "vectors")
     source = usable(source).select(F.col(row).alias("row"), F.col("vec_id").cast("long").alias("vec_id"), whole().alias("v"), queries.alias("asks"))
-    width = source.agg(F.max(F.size("v"))).first()[0] or 0
-    sample = source.orderBy(F.xxhash64("row"), "row").limit(pivot_sample).select("v").collect()
+    width, count = source.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
+    width = width or 0
+    sample = _likely(source, count, pivot_sample).orderBy(F.xxhash64("row"), "row").limit(pivot_sample).select("v").collect()
     matrix = np.zeros((len(sample), width))
     for i, r in enumerate(sample):
         matrix[i, : len(r[0])] = r[0]
@@ -176,11 +197,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, pivots: int = PIVOTS,
     x = cut_lineage(rows.mapInArrow(_blocks(_CANDIDATES, width, chosen), _BLOCK), "candidates")
     q = cut_lineage(rows.where(source["asks"]).mapInArrow(_blocks(_QUERIES, width, chosen), _BLOCK), "queries")
     groups = max(1, min(x.count(), 4 * spark.sparkContext.defaultParallelism))
-    names = {"rows": "rows", "ids": "ids", "vectors": "vectors", "pivot_table": "table"}
-    left = x.select(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), *[F.col(a).alias(f"x_{b}") for a, b in names.items()])
-    right = q.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"), *[F.col(a).alias(f"q_{b}") for a, b in names.items()])
-    met = left.join(right, "g").drop("g")
     with small_batches(spark, 1):
-        found = cut_lineage(met.mapInArrow(_best(width, k), "query_row long, query_id long, row long, vec_id long, score long"), "found")
+        found = cut_lineage(_meet(x, q, groups).mapInArrow(_best(width, k), "query_row long, query_id long, row long, vec_id long, score long"), "found")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

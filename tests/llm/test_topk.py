@@ -58,3 +58,22 @@ def test_sample_vectors(spark):
     rows = [(r.vec_id, r.embedding) for r in frame.collect()]
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
     assert sorted((tuple(r) for r in got), key=repr) == by_force(rows)
+
+
+def test_blocks_of_queries_do_not_pass_the_driver(spark):
+    """Their estimate is small, as it is made before they are repeated."""
+    blocks = spark.range(3).selectExpr(
+        "id AS block", "array(id) AS rows", "array(id) AS ids", "cast(id AS string) AS v"
+    ).selectExpr("block", "rows", "ids", "cast(v AS binary) AS vectors", "cast(v AS binary) AS pivot_table")
+    met = topk._meet(blocks, blocks, 2)
+    assert met.count() == 9
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [0, 50, 20_000])
+def test_few_rows_are_asked_for_the_sample(spark, rows):
+    source = spark.range(0, rows, 1, 16).select(F.col("id").alias("row"))
+    order = F.xxhash64("row"), "row"
+    likely = topk._likely(source, rows, 20)
+    assert likely.count() <= min(rows, 400)  # of 16 tasks that would send 20 each
+    assert likely.orderBy(*order).limit(20).collect() == source.orderBy(*order).limit(20).collect()
