@@ -2,42 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET_DIGITS = 4  # 16**4 = 65,536 key buckets
 _COPIES_PER_TASK = 1 << 20
 
+#: Writes an intermediate result under a name and goes on from what was written.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 def row_digest(columns: list[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
-def first_keys(counted: DataFrame, columns: list[str], count: str) -> DataFrame:
+def _bucket(columns: list[str]) -> Column:
+    return F.conv(F.substring(row_digest(columns), 1, _BUCKET_DIGITS), 16, 10).cast("int")
+
+
+def first_keys(counted: DataFrame, columns: list[str], count: str, keep: Keep | None = None) -> DataFrame:
     """Adds ``_first``, the first of ``count`` keys for each row, dense from 1 in the order of a digest.
 
     The key of a row depends on the data only: not on partitioning, retries or the load before.
     Rows fall into buckets by the first digest digits; a key is the rows in lower buckets plus the
     position in the own bucket. Digests spread evenly, so buckets are even however the natural
     keys are distributed, and only the bucket sizes (at most 65,536 rows) meet in one place.
-    """
-    bucket = F.conv(F.substring(row_digest(columns), 1, _BUCKET_DIGITS), 16, 10).cast("int")
-    bucketed = counted.withColumn("_b", bucket)
 
-    lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over bucket sizes only
-    offsets = (
-        bucketed.groupBy("_b")
-        .agg(F.sum(count).alias("_size"))
-        .select("_b", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_offset"))
-    )
+    Without ``keep`` the input is computed twice, for the bucket sizes too. With it rows are written
+    when they have their place in the bucket, and the sizes are read from there.
+    """
+    bucketed = counted.withColumn("_b", _bucket(columns))
+    placed = _in_bucket(bucketed.repartition("_b"), columns, count)
+    if keep is None:
+        sizes = bucketed.groupBy("_b").agg(F.sum(count).alias("_size"))
+    else:
+        placed, sizes = _kept(placed, keep)
+    return _after_lower_buckets(placed, sizes, count).select("_first", *counted.columns)
+
+
+def _in_bucket(moved: DataFrame, columns: list[str], count: str) -> DataFrame:
+    """Adds ``_last``, the position in the bucket up to which a row goes. Rows have moved by bucket before they
+    get the digest, which random as it is would double what is moved."""
     up_to_here = (
         Window.partitionBy("_b").orderBy("_d", *columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Rows move by bucket before they get the digest, which random as it is would double what is moved.
-    moved = bucketed.repartition("_b").withColumn("_d", F.unhex(row_digest(columns)))
-    placed = moved.withColumn("_last", F.sum(count).over(up_to_here)).join(F.broadcast(offsets), "_b")
+    return moved.withColumn("_d", F.unhex(row_digest(columns))).withColumn("_last", F.sum(count).over(up_to_here)).drop("_d")
+
+
+def _kept(placed: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
+    """Rows with their place in the bucket, written, and the bucket sizes."""
+    placed = keep(placed, "placed")
+    return placed, placed.groupBy("_b").agg(F.max("_last").alias("_size"))
+
+
+def _after_lower_buckets(placed: DataFrame, sizes: DataFrame, count: str) -> DataFrame:
+    lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over bucket sizes only
+    offsets = sizes.select("_b", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_offset"))
     first = F.col("_offset") + F.col("_last") - F.col(count) + 1
-    return placed.select(first.alias("_first"), *counted.columns)
+    return placed.join(F.broadcast(offsets), "_b").withColumn("_first", first)
 
 
 def unrolled(runs: DataFrame, name: str, columns: list[str]) -> DataFrame:
@@ -59,7 +83,9 @@ def unrolled(runs: DataFrame, name: str, columns: list[str]) -> DataFrame:
     )
 
 
-def assign_keys(df: DataFrame, name: str, columns: list[str] | None = None, unique: bool = True) -> DataFrame:
+def assign_keys(
+    df: DataFrame, name: str, columns: list[str] | None = None, unique: bool = True, keep: Keep | None = None
+) -> DataFrame:
     """Dense keys 1..N in the order of a digest of the row (see ``first_keys``).
 
     ``unique=False`` allows whole-row copies: they are counted before the shuffle and numbered
@@ -67,10 +93,19 @@ def assign_keys(df: DataFrame, name: str, columns: list[str] | None = None, uniq
     """
     columns = columns or df.columns
     if unique:
-        placed = first_keys(df.withColumn("_n", F.lit(1).cast("long")), columns, "_n")
+        placed = first_keys(df.withColumn("_n", F.lit(1).cast("long")), columns, "_n", keep)
         return placed.select(F.col("_first").alias(name), *df.columns)
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return unrolled(first_keys(counted, columns, "_n"), name, df.columns)
+    return unrolled(first_keys(counted, columns, "_n", keep), name, df.columns)
+
+
+def assign_group_keys(df: DataFrame, name: str, columns: list[str], sums: dict[str, Column], keep: Keep) -> DataFrame:
+    """``assign_keys`` of the groups of ``df`` by ``columns``, with one shuffle: rows move to the bucket of their
+    group and are summed there. They are not summed before they move, so this is for groups of few rows."""
+    moved = df.withColumn("_b", _bucket(columns)).repartition("_b")
+    grouped = moved.groupBy("_b", *columns).agg(F.lit(1).cast("long").alias("_n"), *[s.alias(c) for c, s in sums.items()])
+    placed = _after_lower_buckets(*_kept(_in_bucket(grouped, columns, "_n"), keep), "_n")
+    return placed.select(F.col("_first").alias(name), *columns, *sums)
 
 
 def insert_identity(df: DataFrame, name: str) -> DataFrame:

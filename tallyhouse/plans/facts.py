@@ -21,8 +21,10 @@ from tallyhouse.functions.clean import (
     within,
 )
 from tallyhouse.functions.measures import COST_RATIO, MONEY, MONTHLY_MONEY, estimated_cost, estimated_profit
-from tallyhouse.operators.skew import skew_join
+from tallyhouse.operators.keys import Keep, assign_group_keys, assign_keys
+from tallyhouse.operators.skew import hot_keys, skew_join
 from tallyhouse.plans.dims import MILESTONES
+from tallyhouse.session import fits_broadcast, shuffle_width
 
 
 def milestone_key(column: str, mode: str = "strict") -> Column:
@@ -122,12 +124,15 @@ def build_fact_sales(
     channel: str = "Website",
     quantity: int = 1,
     by_month: bool = False,
+    keep: Keep | None = None,
 ) -> DataFrame:
     """One row per order line with an order; unmatched dimension keys become the unknown member.
 
     Customers come with the orders (``resolve_orders``): they are looked up on the shorter side. Lines get
     their keys before they meet the orders, and what follows from price or is constant after the last
     shuffle, so that what is moved stays narrow. ``by_month`` adds ``sale_month`` and rebalances by it.
+    ``keep`` gets the lines when they were shuffled for stores, and when for orders, as the shuffles of all joins
+    and of the rebalance would else be on disk together.
     """
     headers = resolved_orders.select(
         "order_id", "order_status", date_key_or_unknown(dates.date_key("order_date")).alias("date_fk"), "customer_fk"
@@ -139,13 +144,15 @@ def build_fact_sales(
     early = quantity != 1 or not 0 <= cost_ratio <= 1
     if early:
         lines = derived_amounts(lines, cost_ratio, quantity)
-    lines = skew_join(
-        lines, dim_store.select("seller_id", F.col("store_pk").alias("store_fk")), "seller_id", "left", probe=items
-    ).drop("seller_id")
-    lines = skew_join(
-        lines, dim_product.select("product_id", F.col("product_pk").alias("product_fk")), "product_id", "left", probe=items
-    ).drop("product_id")
-    lines = skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders)
+
+    def kept(joined: DataFrame, side: DataFrame) -> DataFrame:
+        return joined if keep is None or fits_broadcast(side) else keep(joined, "lines")
+
+    stores = dim_store.select("seller_id", F.col("store_pk").alias("store_fk"))
+    lines = kept(skew_join(lines, stores, "seller_id", "left", probe=items).drop("seller_id"), stores)
+    products = dim_product.select("product_id", F.col("product_pk").alias("product_fk"))
+    lines = skew_join(lines, products, "product_id", "left", probe=items).drop("product_id")
+    lines = kept(skew_join(lines, headers, "order_id", "inner", probe=items, right_probe=resolved_orders), headers)
     if by_month:
         lines = lines.withColumn("sale_month", dates.month_of_date_key("date_fk")).hint("rebalance", F.col("sale_month"))
     if not early:
@@ -169,22 +176,53 @@ def build_fact_sales(
     )
 
 
-def build_monthly(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Additive measures by product, store and month; lines without a date are left out."""
+_MONTHLY_GRAIN = ["month_fk", "product_fk", "store_fk"]
+
+
+def _monthly_sums() -> dict[str, Column]:
+    return {
+        "quantity": within(F.sum("quantity"), "int"),
+        "revenue": within(F.sum("sales_amount"), MONTHLY_MONEY),
+        "cost": within(F.sum("product_cost"), MONTHLY_MONEY),
+        "profit": within(F.sum("profit"), MONTHLY_MONEY),
+    }
+
+
+def _monthly_lines(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Lines with their month; those without a date are left out."""
     months = dim_date.select(F.col("date_id").alias("date_fk"), dates.month_key("year", "month").alias("month_fk"))
     dated = fact_sales.where(F.col("date_fk") != UNKNOWN_DATE_KEY)
-    return (
-        skew_join(dated, months, "date_fk", "inner")
-        .groupBy("month_fk", "product_fk", "store_fk")
-        .agg(
-            within(F.sum("quantity"), "int").alias("quantity"),
-            within(F.sum("sales_amount"), MONTHLY_MONEY).alias("revenue"),
-            within(F.sum("product_cost"), MONTHLY_MONEY).alias("cost"),
-            within(F.sum("profit"), MONTHLY_MONEY).alias("profit"),
-        )
+    return skew_join(dated, months, "date_fk", "inner").select(
+        *_MONTHLY_GRAIN, "quantity", "sales_amount", "product_cost", "profit"
     )
 
 
+def _summed(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(*_MONTHLY_GRAIN).agg(*[s.alias(c) for c, s in _monthly_sums().items()])
+
+
+def build_monthly(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Additive measures by product, store and month; lines without a date are left out."""
+    return _summed(_monthly_lines(fact_sales, dim_date))
+
+
+def summing_pays(lines: DataFrame) -> bool:
+    """Whether lines become much fewer when tasks sum them before they are shuffled, or one group holds more
+    than a shuffle partition's share of them."""
+    groups = lines.select(F.xxhash64(*_MONTHLY_GRAIN).alias("g"))
+    rows, different = groups.agg(F.count(F.lit(1)), F.approx_count_distinct("g")).first()
+    return 2 * different <= rows or any(hot_keys([groups], "g", max(2, shuffle_width(lines.sparkSession))))
+
+
+def build_keyed_monthly(fact_sales: DataFrame, dim_date: DataFrame, key: str, keep: Keep) -> DataFrame:
+    """``build_monthly`` with repeatable keys (``assign_keys``), in parts that are written by ``keep``. Where few
+    lines share a group they are shuffled once for both."""
+    lines = _monthly_lines(fact_sales, dim_date)
+    if summing_pays(lines):
+        return assign_keys(keep(_summed(lines), "summed"), key, _MONTHLY_GRAIN, keep=keep)
+    return assign_group_keys(lines, key, _MONTHLY_GRAIN, _monthly_sums(), keep)
+
+
 def build_fulfilment(resolved_orders: DataFrame) -> DataFrame:
     """One row per order: four milestone keys and the calendar days between them.
 

@@ -12,12 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.measures import COST_RATIO
-from tallyhouse.operators.keys import assign_keys
+from tallyhouse.operators.keys import Keep, assign_keys
 from tallyhouse.operators.validate import Parents, broken_contract
 from tallyhouse.plans import dims, facts
 from tallyhouse.plans.rejects import REASONS, Routed, route
 from tallyhouse.sources.keymap import KeyMap
-from tallyhouse.sources.layers import cut_lineage, ensure_layers, has_table, layers_root, publish, read_table, work_path
+from tallyhouse.sources.layers import (
+    Steps,
+    cut_lineage,
+    ensure_layers,
+    has_table,
+    last_commit,
+    layers_root,
+    publish,
+    read_table,
+    shuffles_released,
+    work_path,
+)
 from tallyhouse.sources.schemas import CONTRACTS, CORE, MART, RAW_SCHEMAS, STAGING, Contract
 from tallyhouse.sources.testdata import TestTables
 
@@ -90,8 +101,17 @@ class Warehouse:
     def load(self, layer: str, name: str, reload: bool = False) -> DataFrame:
         """Build one table from the published ones and replace it, if it keeps its contract.
 
-        A staging table that exists is the audit copy: only ``reload`` replaces it.
+        A staging table that exists is the audit copy: only ``reload`` replaces it. On disk are the shuffle files
+        of one query at a time, and of the facts one part of the query (``Steps``).
         """
+        steps = Steps(self.spark)
+        try:
+            with shuffles_released(self.spark):
+                return self._load(layer, name, reload, steps)
+        finally:
+            steps.drop()
+
+    def _load(self, layer: str, name: str, reload: bool, steps: Steps) -> DataFrame:
         if layer == STAGING and not reload and has_table(self.spark, layer, name, self.prefix):
             return read_table(self.spark, layer, name, self.prefix)
         if name in ("raw_orders", "dim_customer"):
@@ -100,25 +120,31 @@ class Warehouse:
             self._routed.pop(name, None)
             return publish(self.raw(name), layer, name, self.prefix)
         contract = CONTRACTS[layer][name]
+        since = last_commit(self.spark, layer, name, self.prefix)
         by_month = layer == CORE and name == "fact_sales"
-        df = self._sales(by_month) if by_month else self.build(layer, name)
+        if by_month:
+            df = self._sales(by_month, steps)
+        elif (layer, name) == (MART, "fact_revenue_by_month"):
+            df = facts.build_keyed_monthly(self.core("fact_sales"), self.core("dim_date"), contract.key, steps)
+        else:
+            df = self.build(layer, name, steps)
         identity = None
         if contract.key not in df.columns:
             if contract.natural_key:
-                df = assign_keys(df, contract.key, list(contract.natural_key))
+                df = assign_keys(df, contract.key, list(contract.natural_key), keep=steps)
             else:
                 identity = contract.key
         check = partial(
             broken_contract, contract=contract, unique_key=identity is None, parents=self.parents(layer, contract), lengths=self._check_lengths
         )
         return publish(
-            df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check, rebalanced=by_month
+            df, layer, name, self.prefix, partition_by=contract.partition_by, identity=identity, check=check, rebalanced=by_month, since=since
         )
 
-    def _sales(self, by_month: bool = False) -> DataFrame:
+    def _sales(self, by_month: bool = False, keep: Keep | None = None) -> DataFrame:
         items, orders = self._input("raw_order_items"), self.resolved_orders()
         product, store = self.core("dim_product"), self.core("dim_store")
-        return facts.build_fact_sales(items, orders, product, store, self.cost_ratio, self.channel, by_month=by_month)
+        return facts.build_fact_sales(items, orders, product, store, self.cost_ratio, self.channel, by_month=by_month, keep=keep)
 
     def parents(self, layer: str, contract: Contract) -> Parents:
         """The published tables that a table's foreign keys refer to, in its own layer or else in core."""
@@ -143,18 +169,18 @@ class Warehouse:
         first, last = (F.lit(day).cast("date") for day in self.calendar)
         return self.spark.range(0, 1, 1, 1).select(first.alias("start"), last.alias("end"))
 
-    def _keys_of(self, name: str) -> dims.GiveKeys:
-        return KeyMap(self.spark, f"{self._key_folder}/{name}").keyed if self._key_folder else assign_keys
+    def _keys_of(self, name: str, keep: Keep | None) -> dims.GiveKeys:
+        return KeyMap(self.spark, f"{self._key_folder}/{name}").keyed if self._key_folder else partial(assign_keys, keep=keep)
 
-    def build(self, layer: str, name: str) -> DataFrame:
+    def build(self, layer: str, name: str, keep: Keep | None = None) -> DataFrame:
         """The plan of a core or mart table over published inputs; fact row ids come at load time."""
         builders: dict[tuple[str, str], Callable[[], DataFrame]] = {
             (CORE, "dim_date"): lambda: dims.build_dim_date(self._calendar_bounds(), self.holidays),
-            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self._input("raw_customers"), self._keys_of(name)),
+            (CORE, "dim_customer"): lambda: dims.build_dim_customer(self._input("raw_customers"), self._keys_of(name, keep)),
             (CORE, "dim_product"): lambda: dims.build_dim_product(
-                self._input("raw_products"), self._input("raw_product_category_translation"), give_keys=self._keys_of(name)
+                self._input("raw_products"), self._input("raw_product_category_translation"), give_keys=self._keys_of(name, keep)
             ),
-            (CORE, "dim_store"): lambda: dims.build_dim_store(self._input("raw_sellers"), self._keys_of(name)),
+            (CORE, "dim_store"): lambda: dims.build_dim_store(self._input("raw_sellers"), self._keys_of(name, keep)),
             (CORE, "fact_sales"): self._sales,
             (MART, "dim_month"): lambda: dims.build_dim_month(self.core("dim_date")),
             (MART, "dim_product"): lambda: dims.narrow(

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from tallyhouse.sources.schemas import LAYERS, STAGING
 
 _LOG = "_log"
 _KEPT_VERSIONS = 2  # the current one, and the one that running queries may still read
+_CODEC = "zstd"  # tables stay on disk while others are built from them
 _ABANDONED = 24 * 3600  # seconds after which a version that was never committed is that of a dead load
 
 
@@ -176,6 +178,50 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within the block the shuffle files of a query are deleted as soon as it ends; else they stay until the
+    driver happens to collect its garbage, and those of many queries are on disk at once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+class Steps:
+    """Intermediate results of one load, each computed from nothing else that is kept here but the one before,
+    which is deleted once the next is written. A query that is cut in this way has the shuffle files of one of
+    its parts on disk and not those of all."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._last: _Folder | None = None
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        folder = _Folder(self._spark, work_path(self._spark, f"{name}-{uuid.uuid4().hex}"))
+        try:
+            df.write.option("compression", _CODEC).parquet(folder.path)
+        except BaseException:
+            folder.delete()
+            raise
+        self.drop()
+        self._last = folder
+        return self._spark.read.schema(df.schema).parquet(folder.path)
+
+    def drop(self) -> None:
+        if self._last:
+            self._last.delete()
+        self._last = None
+
+
+def last_commit(spark: SparkSession, layer: str, name: str, prefix: str = "") -> int:
+    """What ``publish`` takes as ``since``."""
+    return _log_of(spark, _table_folder(spark, layer, name, prefix)).last()
+
+
 def publish(
     df: DataFrame,
     layer: str,
@@ -186,9 +232,11 @@ def publish(
     identity: str | None = None,
     check: Callable[[DataFrame], list[str]] | None = None,
     rebalanced: bool = False,
+    since: int | None = None,
 ) -> DataFrame:
     """Replace a table by a new version, then return it as read back. Raises ``ConflictingWrite`` where
-    another load has committed since this one began; that one's rows stay.
+    another load has committed since this one began; that one's rows stay. A load that has computed parts of
+    ``df`` before says with ``since`` where it began.
 
     With ``partition_by`` the rows are rebalanced by that column first, so that each partition
     gets few, even files; AQE cuts a partition value that holds much of the data into several
@@ -205,14 +253,15 @@ def publish(
         raise ValueError(f"staging table {name} is kept across reloads")
     folder = _table_folder(spark, layer, name, prefix)
     log = _log_of(spark, folder)
-    start = log.last()
+    start = log.last() if since is None else since
     version = folder.below(f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
     if partition_by and not rebalanced:
         df = df.hint("rebalance", F.col(partition_by))
     if identity:
         df = insert_identity(df, identity)
     try:
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer = df.write.option("compression", _CODEC)
+        writer = writer.partitionBy(partition_by) if partition_by else writer
         writer.parquet(version.path)
         wrong = check(spark.read.parquet(version.path)) if check else []
         if wrong:

@@ -1,5 +1,6 @@
 """Plans that stay narrow: what is computed once, and what passes a shuffle."""
 
+import time
 import uuid
 from datetime import date
 from decimal import Decimal
@@ -10,10 +11,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import validate
-from tallyhouse.operators.keys import assign_keys
+from tallyhouse.operators.keys import assign_group_keys, assign_keys
 from tallyhouse.plans import facts
+from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import work_root
 from tallyhouse.sources import raw
+from tallyhouse.sources.layers import Steps, read_table
+from tallyhouse.sources.schemas import CORE, MART, RAW_SCHEMAS
 
 
 def plan(df):
@@ -123,3 +127,80 @@ def test_compressed_csv_is_cut_into_files(spark, monkeypatch):
     raw.write_raw(rows.coalesce(1), path, gzip=True)
     assert len(list(Path(path).glob("*.csv.gz"))) == 3
     assert sorted(raw.load_raw(spark, "raw_sellers", path).collect()) == sorted(rows.collect())
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def kept_folders(spark):
+    """Intermediate results that are in the work folder."""
+    return {str(p) for name in ("lines", "summed", "placed") for p in Path(work_root(spark)).rglob(f"{name}-*")}
+
+
+def raw_tables(spark):
+    dates = ["2017-05-06 08:15:00", "2017-05-07 00:00:00", "", "", "2017-05-20 00:00:00"]
+    rows = {
+        "raw_orders": [(f"o{i}", f"c{i % 7}", "shipped", *dates) for i in range(40)] + [("o98", "c1", "shipped", "", *dates[1:])],
+        "raw_order_items": [(f"o{i % 42}", str(i), f"p{i % 9}", f"s{i % 4}", "", f"{i}.50", "") for i in range(300)] + [("o98", "1", "p1", "s1", "", "7.00", "")],
+        "raw_products": [(f"p{i}", "a", *["1"] * 7) for i in range(8)],
+        "raw_product_category_translation": [("a", "A")],
+        "raw_sellers": [(f"s{i}", "1", "x", "y") for i in range(3)],
+        "raw_customers": [(f"c{i}", f"u{i}", "1", "x", "y") for i in range(6)],
+    }
+    return {name: spark.createDataFrame(data, RAW_SCHEMAS[name]) for name, data in rows.items()}
+
+
+def test_a_load_leaves_no_shuffle_files_and_no_steps(spark, no_broadcast):
+    tables, name = raw_tables(spark), uuid.uuid4().hex[:8]
+    w = Warehouse(spark, lambda n: tables[n], prefix=f"n{name}_", root=f"{work_root(spark)}/{name}")
+    files, folders = shuffle_files(spark), kept_folders(spark)
+    w.load(MART, "fact_revenue_by_month")
+    for _ in range(100):  # they are deleted in the background
+        left = shuffle_files(spark) - files
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and kept_folders(spark) <= folders
+
+    sales, monthly = (read_table(spark, *t, f"n{name}_") for t in ((CORE, "fact_sales"), (MART, "fact_revenue_by_month")))
+    again = w.build(CORE, "fact_sales")
+    assert sales.select(*again.columns).exceptAll(again).isEmpty() and again.exceptAll(sales.select(*again.columns)).isEmpty()
+    expected = assign_keys(w.build(MART, "fact_revenue_by_month"), "revenue_fact_pk", ["month_fk", "product_fk", "store_fk"])
+    assert sorted(monthly.select(*expected.columns).collect()) == sorted(expected.collect())
+    assert validate.mart_reconciliation(monthly, sales).first()["difference"] == 0
+
+
+@pytest.mark.parametrize("same", [1, 40])
+def test_keyed_groups_are_those_of_summed_lines(spark, no_broadcast, same):
+    calendar = spark.createDataFrame([(20170506, 2017, 5), (20170607, 2017, 6)], "date_id int, year int, month int")
+    fact = spark.range(200).selectExpr(
+        "IF(id % 3 = 0, 20170506, 20170607) AS date_fk", f"id DIV {same} AS product_fk", "id % 1 AS store_fk", "1 AS quantity",
+        *[f"cast(id as decimal(10,2)) AS {c}" for c in ("sales_amount", "product_cost", "profit")],
+    )
+    grain = ["month_fk", "product_fk", "store_fk"]
+    assert facts.summing_pays(facts._monthly_lines(fact, calendar)) == (same > 1)
+    steps = Steps(spark)
+    keyed = facts.build_keyed_monthly(fact, calendar, "pk", steps)
+    assert sorted(keyed.collect()) == sorted(assign_keys(facts.build_monthly(fact, calendar), "pk", grain).collect())
+    steps.drop()
+
+
+def test_a_hot_group_is_summed_before_it_moves(spark):
+    rows = spark.range(1000).selectExpr("1 AS month_fk", "IF(id % 3 = 0, -1, id) AS product_fk", "1 AS store_fk")
+    assert facts.summing_pays(rows)
+    assert not facts.summing_pays(rows.where("product_fk >= 0"))
+
+
+def test_groups_get_their_keys_with_one_shuffle_of_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), (None, 5)], "k string, v long")
+    written = []
+
+    def keep(rows, name):
+        written.append((rows, name))
+        return rows
+
+    keyed = assign_group_keys(df, "pk", ["k"], {"v": F.sum("v")}, keep)
+    assert sorted(keyed.collect(), key=str) == sorted(assign_keys(df.groupBy("k").agg(F.sum("v").alias("v")), "pk", ["k"]).collect(), key=str)
+    assert [len(shuffled(rows)) for rows, _ in written] == [1]
